@@ -5,6 +5,6 @@ and routes such feeds, folds them into keyed tables, stores the tables as Parque
 Every function takes and returns DataFrames; the caller owns the session.
 """
 
-from rowtide.spec import TableSpec
+from rowtide.spec import TableSpec, image_of_types
 
-__all__ = ["TableSpec"]
+__all__ = ["TableSpec", "image_of_types"]

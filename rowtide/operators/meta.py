@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from rowtide.functions.ordered import dense_index
 from rowtide.spec import COMMIT, TableSpec
 
 SEQNO, RECORD_KEY, PARTITION_PATH = "_commit_seqno", "_record_key", "_partition_path"
 
-# 16 bits of the key digest: the rows of one commit in one partition are numbered in up to 65,536 buckets.
+# Hex digits of the key digest that make a numbering group: the rows of a commit are numbered in 65,536 groups.
 _DIGEST_DIGITS = 4
 
 
@@ -27,21 +27,14 @@ def partition_path(spec: TableSpec) -> Column:
 def with_meta(combined: DataFrame, spec: TableSpec) -> DataFrame:
     """Combined records with ``_commit_time, _commit_seqno, _record_key, _partition_path`` in front.
 
-    ``_commit_seqno`` is ``commit_partition_number``; inside a commit and partition the rows are numbered from 0 in the
-    order of their key digest. Digests spread evenly over their first digits, which makes those a bucket for numbering
-    a partition of any size.
+    ``_commit_seqno`` is ``commit_group_number``, unique in a table and the same on every run. The group is the front
+    of the key's digest, so the rows of a large commit or of a hot partition are numbered in many tasks.
     """
-    digest = F.md5(F.col(RECORD_KEY).cast("binary"))
     rows = combined.withColumns({RECORD_KEY: record_key(spec), PARTITION_PATH: partition_path(spec)})
-    rows = rows.withColumn("__digest", digest)
-    rows = dense_index(
-        rows,
-        group=(COMMIT, *spec.partition),
-        bucket=F.substring("__digest", 1, _DIGEST_DIGITS),
-        order=(F.col("__digest").asc(), F.col(RECORD_KEY).asc()),
-        name="__number",
-    )
-    seqno = F.concat_ws("_", COMMIT, *(F.col(p).cast("string") for p in spec.partition), F.col("__number"))
+    rows = rows.withColumn("__digest", F.md5(F.col(RECORD_KEY).cast("binary")))
+    rows = rows.withColumn("__group", F.conv(F.substring("__digest", 1, _DIGEST_DIGITS), 16, 10))
+    in_group = Window.partitionBy(COMMIT, "__group").orderBy("__digest", RECORD_KEY, PARTITION_PATH)
+    seqno = F.concat_ws("_", COMMIT, "__group", F.row_number().over(in_group) - 1)
     rest = [c for c in combined.columns if c != COMMIT]
     return rows.withColumn(SEQNO, seqno).select(COMMIT, SEQNO, RECORD_KEY, PARTITION_PATH, *rest)
 

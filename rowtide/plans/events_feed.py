@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.functions.epoch import ntz_epoch_seconds
 from rowtide.functions.instants import instant_from_millis
 from rowtide.functions.ordered import dense_index, previous_row
 from rowtide.operators.decode import parse
 from rowtide.operators.route import to_records
-from rowtide.spec import TableSpec
+from rowtide.spec import TableSpec, image_of_types
 
 USERS = TableSpec(
-    image="username string, password string, enabled int, ts bigint, country string",
+    image=image_of_types(username="string", password="string", enabled="integer", ts="long", country="string"),
     record_key=("username",),
     partition=("country",),
     order_by="ts",
@@ -29,19 +30,34 @@ FEED_PARTITIONS = 4
 SPAN = 1 << 20
 
 
-def _image(event_id: Column, epoch: Column, user_id: Column) -> Column:
+NUMBERED_USERS = TableSpec(
+    image=T.StructType([*USERS.image.fields, T.StructField("number", T.IntegerType())]),
+    record_key=USERS.record_key,
+    partition=USERS.partition,
+    order_by=USERS.order_by,
+)
+
+# The source table gets its ``number`` column at 2024-01-16.
+NUMBER_SINCE = 1_705_363_200
+
+
+def _image(event_id: Column, epoch: Column, user_id: Column, number_since: int | None) -> Column:
     moved = F.when(event_id % 7 == 0, 1).otherwise(0)
     country = (
         F.when((user_id + moved) % 3 == 0, "SG").when((user_id + moved) % 3 == 1, "ID").otherwise("MY")
     )
     late = F.when(event_id % 11 == 0, 432_000).otherwise(0)
-    return F.struct(
+    fields = [
         F.concat(F.lit("user"), user_id.cast("string")).alias("username"),
         F.concat(F.lit("pw"), event_id.cast("string")).alias("password"),
         (event_id % 2).cast("int").alias("enabled"),
         (epoch - late).alias("ts"),
         country.alias("country"),
-    )
+    ]
+    if number_since is not None:
+        # JSON leaves a null field out, as a source without the column does
+        fields.append(F.when(epoch >= number_since, (event_id % 100).cast("int")).alias("number"))
+    return F.struct(*fields)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,8 +66,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("event_id", "user_id", "event_type", ntz_epoch_seconds(F.col("ts")).alias("epoch"))
 
 
-def change_feed(spark: SparkSession, sf_dir: str, span: int = SPAN) -> DataFrame:
-    """``value, timestamp``: the feed."""
+def change_feed(
+    spark: SparkSession, sf_dir: str, span: int = SPAN, number_since: int | None = None
+) -> DataFrame:
+    """``value, timestamp``: the feed. From ``number_since`` on, images have one more column, ``number``."""
     rows = previous_row(events(spark, sf_dir), ["user_id"], "event_id", span, ["event_id", "epoch"])
     event_id, kind = F.col("event_id"), F.col("event_type")
     op = (
@@ -61,10 +79,10 @@ def change_feed(spark: SparkSession, sf_dir: str, span: int = SPAN) -> DataFrame
         .when(kind == "error", "d")
         .otherwise("u")
     )
-    own = _image(event_id, F.col("epoch"), F.col("user_id"))
+    own = _image(event_id, F.col("epoch"), F.col("user_id"), number_since)
     # the first event of a user stands in for its own past
     past = _image(
-        F.coalesce("prev_event_id", "event_id"), F.coalesce("prev_epoch", "epoch"), F.col("user_id")
+        F.coalesce("prev_event_id", "event_id"), F.coalesce("prev_epoch", "epoch"), F.col("user_id"), number_since
     )
     payload = F.struct(
         F.when(~op.isin("c", "r"), past).alias("before"),
@@ -95,13 +113,22 @@ def day_of_feed() -> Column:
 
 
 def parsed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse(change_feed(spark, sf_dir), USERS.schema)
+    return parse(change_feed(spark, sf_dir), USERS.image)
 
 
 def user_records(spark: SparkSession, sf_dir: str, follow_moves: bool = False) -> DataFrame:
     return to_records(parsed_feed(spark, sf_dir), USERS, day_of_feed(), follow_moves)
 
 
+def evolved_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a source that gained a column: the older part is decoded without it, the newer part with it."""
+    feed = change_feed(spark, sf_dir, number_since=NUMBER_SINCE)
+    older, newer = F.col("timestamp") < NUMBER_SINCE, F.col("timestamp") >= NUMBER_SINCE
+    without = to_records(parse(feed.filter(older), USERS.image), USERS, day_of_feed())
+    having = to_records(parse(feed.filter(newer), NUMBERED_USERS.image), NUMBERED_USERS, day_of_feed())
+    return having.unionByName(without, allowMissingColumns=True)
+
+
 def positioned_feed(spark: SparkSession, sf_dir: str, span: int = SPAN) -> DataFrame:
     """``event_id, partition, offset, timestamp``: the feed as a message queue with four partitions holds it."""
     rows = events(spark, sf_dir).select(

@@ -13,15 +13,23 @@ SRC_FILE, SRC_POS, SRC_ROW = "_src_file", "_src_pos", "_src_row"
 POSITION = (SRC_FILE, SRC_POS, SRC_ROW)
 
 
+def image_of_types(**types: str) -> T.StructType:
+    """Image schema from column names and simple type names (string, integer, long, double, ...), without a session."""
+    schema = T.StructType()
+    for name, data_type in types.items():
+        schema = schema.add(name, data_type)
+    return schema
+
+
 @dataclass(frozen=True)
 class TableSpec:
-    """``image`` is a ``StructType`` or a DDL string; the other fields name columns of it.
+    """``image`` is the schema of a row; the other fields name columns of it.
 
     ``record_key`` is unique inside a partition. ``partition`` may be empty for an unpartitioned table. ``order_by``
     ranks the versions of a key inside one commit; null ranks lowest and the source position breaks ties.
     """
 
-    image: T.StructType | str
+    image: T.StructType
     record_key: tuple[str, ...]
     partition: tuple[str, ...] = ()
     order_by: str = "ts"
@@ -34,13 +42,9 @@ class TableSpec:
         if not self.record_key:
             raise ValueError("a keyed table needs at least one record key column")
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.image) if isinstance(self.image, str) else self.image
-
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return self.image.fieldNames()
 
     @property
     def scope(self) -> tuple[str, ...]:
@@ -51,7 +55,7 @@ class TableSpec:
     def record_schema(self) -> T.StructType:
         """Schema of a stored record."""
         return T.StructType(
-            [T.StructField(f.name, f.dataType, True) for f in self.schema.fields]
+            [T.StructField(f.name, f.dataType, True) for f in self.image.fields]
             + [
                 T.StructField(DELETED, T.BooleanType()),
                 T.StructField(SRC_FILE, T.StringType()),

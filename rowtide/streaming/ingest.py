@@ -29,7 +29,7 @@ def stream_records(
     The commit is the time of the micro-batch, which the checkpoint keeps, so a replayed batch gets the same one.
     ``rejects`` names an observation that counts refused events per micro-batch.
     """
-    parsed = parse(feed, spec.schema)
+    parsed = parse(feed, spec.image)
     if rejects:
         parsed = observe_rejects(parsed, rejects)
     return to_records(parsed, spec, commit, follow_moves)

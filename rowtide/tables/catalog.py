@@ -16,7 +16,7 @@ def register_parquet(spark: SparkSession, name: str, path: str, spec: TableSpec)
     """External table over a folder of record files partitioned by the table's partition columns."""
     partition = set(spec.partition)
     columns = [f for f in spec.record_schema.fields if f.name not in partition]
-    columns += [spec.schema[p] for p in spec.partition]
+    columns += [spec.image[p] for p in spec.partition]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in spec.partition)})" if partition else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION '{path}'")

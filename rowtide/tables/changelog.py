@@ -38,6 +38,21 @@ class ChangelogTable:
         writer.parquet(f"{self.log_path}/{COMMIT}={commit}")
         self.timeline.enter(commit, folders.COMMITTED)
 
+    def append_history(self, records: DataFrame) -> None:
+        """Add many commits at once, each record under the commit it carries."""
+        if self.streamed:
+            raise ValueError("this log belongs to a stream; batch commits would be hidden by its sink")
+        pending = f"{self.path}/pending"
+        records.select(F.col(COMMIT).alias("instant")).distinct().write.mode("overwrite").parquet(pending)
+        instants = self.spark.read.schema("instant string").parquet(pending)
+        earliest = instants.agg(F.min("instant")).first()[0]
+        if earliest is None:
+            return
+        self.timeline.check_newer(earliest)
+        batch = combine(records, self.spec)
+        batch.write.mode("append").partitionBy(COMMIT, *self.spec.partition).parquet(self.log_path)
+        self.timeline.enter_all(instants, folders.COMMITTED)
+
     def commits(self) -> DataFrame:
         if self.streamed:
             return self._log().select(COMMIT).distinct()

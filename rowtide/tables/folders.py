@@ -71,6 +71,9 @@ class Timeline:
         entry = self.spark.range(0, 1, 1, 1).select(F.lit(instant).alias("instant"), F.lit(action).alias("action"))
         entry.write.mode("append").parquet(self.path)
 
+    def enter_all(self, instants: DataFrame, action: str) -> None:
+        instants.select("instant", F.lit(action).alias("action")).write.mode("append").parquet(self.path)
+
     def last(self, action: str, until: str | None = None) -> str | None:
         found = self.entries().filter(F.col("action") == action)
         if until is not None:

@@ -32,7 +32,7 @@ class RewriteTable:
 
     @property
     def _slices_schema(self) -> T.StructType:
-        schema = self.spec.schema
+        schema = self.spec.image
         fields = [T.StructField(VERSION, T.StringType())] + [schema[p] for p in self.spec.partition]
         return T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
 
