@@ -63,12 +63,12 @@ def to_records(
     routed = routed.filter(F.col("reason") == d.OK)
     op = F.col("op")
     own = _record(d.image_of(op, F.col("before"), F.col("after")), op.isin(*d.DELETE_OPS), spec)
-    records = F.array(own)
     if follow_moves and spec.partition:
-        left_behind = _record(F.col("before"), F.lit(True), spec)
-        records = F.when((op == "u") & _moved(spec), F.array(own, left_behind)).otherwise(records)
+        left_behind = F.struct(*_record(F.col("before"), F.lit(True), spec))
+        both = F.when((op == "u") & _moved(spec), F.array(F.struct(*own), left_behind))
+        own = [F.inline(both.otherwise(F.array(F.struct(*own))))]
     return routed.select(
-        F.inline(records),
+        *own,
         F.col("source.file").alias(SRC_FILE),
         F.col("source.pos").alias(SRC_POS),
         F.col("source.row").alias(SRC_ROW),
@@ -76,5 +76,5 @@ def to_records(
     )
 
 
-def _record(row: Column, deleted: Column, spec: TableSpec) -> Column:
-    return F.struct(*(row[c].alias(c) for c in spec.columns), deleted.alias(DELETED))
+def _record(row: Column, deleted: Column, spec: TableSpec) -> list[Column]:
+    return [*(row[c].alias(c) for c in spec.columns), deleted.alias(DELETED)]

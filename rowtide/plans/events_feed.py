@@ -41,23 +41,19 @@ NUMBERED_USERS = TableSpec(
 NUMBER_SINCE = 1_705_363_200
 
 
-def _image(event_id: Column, epoch: Column, user_id: Column, number_since: int | None) -> Column:
-    moved = F.when(event_id % 7 == 0, 1).otherwise(0)
-    country = (
-        F.when((user_id + moved) % 3 == 0, "SG").when((user_id + moved) % 3 == 1, "ID").otherwise("MY")
-    )
-    late = F.when(event_id % 11 == 0, 432_000).otherwise(0)
-    fields = [
-        F.concat(F.lit("user"), user_id.cast("string")).alias("username"),
-        F.concat(F.lit("pw"), event_id.cast("string")).alias("password"),
-        (event_id % 2).cast("int").alias("enabled"),
-        (epoch - late).alias("ts"),
-        country.alias("country"),
-    ]
+def _image(event_id: str, epoch: str, number_since: int | None) -> str:
+    """SQL of the user row an event leaves behind."""
+    number = ""
     if number_since is not None:
         # JSON leaves a null field out, as a source without the column does
-        fields.append(F.when(epoch >= number_since, (event_id % 100).cast("int")).alias("number"))
-    return F.struct(*fields)
+        number = f", if({epoch} >= {number_since}, cast({event_id} % 100 as int), null) as number"
+    return f"""struct(
+        concat('user', user_id) as username,
+        concat('pw', {event_id}) as password,
+        cast({event_id} % 2 as int) as enabled,
+        {epoch} - if({event_id} % 11 = 0, 432000, 0) as ts,
+        decode((user_id + if({event_id} % 7 = 0, 1, 0)) % 3, 0, 'SG', 1, 'ID', 'MY') as country
+        {number})"""
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,39 +67,29 @@ def change_feed(
 ) -> DataFrame:
     """``value, timestamp``: the feed. From ``number_since`` on, images have one more column, ``number``."""
     rows = previous_row(events(spark, sf_dir), ["user_id"], "event_id", span, ["event_id", "epoch"])
-    event_id, kind = F.col("event_id"), F.col("event_type")
-    op = (
-        F.when(event_id % 97 == 0, "t")
-        .when(kind == "signup", "c")
-        .when(kind == "view", "r")
-        .when(kind == "error", "d")
-        .otherwise("u")
-    )
-    own = _image(event_id, F.col("epoch"), F.col("user_id"), number_since)
-    # the first event of a user stands in for its own past
-    past = _image(
-        F.coalesce("prev_event_id", "event_id"), F.coalesce("prev_epoch", "epoch"), F.col("user_id"), number_since
-    )
-    payload = F.struct(
-        F.when(~op.isin("c", "r"), past).alias("before"),
-        F.when(op != "d", own).alias("after"),
-        F.struct(
-            F.lit("auth").alias("db"),
-            F.lit("users").alias("table"),
-            F.lit("log.000001").alias("file"),
-            event_id.alias("pos"),
-            F.lit(0).alias("row"),
-            (F.col("epoch") * 1000).alias("ts_ms"),
-        ).alias("source"),
-        op.alias("op"),
-        (F.col("epoch") * 1000).alias("ts_ms"),
+    changes = rows.selectExpr(
+        "event_id",
+        "epoch",
+        """case when event_id % 97 = 0 then 't' when event_type = 'signup' then 'c' when event_type = 'view' then 'r'
+           when event_type = 'error' then 'd' else 'u' end as op""",
+        f"{_image('event_id', 'epoch', number_since)} as own",
+        # the first event of a user stands in for its own past
+        f"{_image('coalesce(prev_event_id, event_id)', 'coalesce(prev_epoch, epoch)', number_since)} as past",
     )
-    value = (
-        F.when(event_id % 101 == 0, F.concat(F.lit("{broken "), event_id.cast("string")))
-        .when(event_id % 103 == 0, F.lit(None))
-        .otherwise(F.to_json(F.struct(payload.alias("payload"))))
+    return changes.selectExpr(
+        """case
+             when event_id % 101 = 0 then concat('{broken ', event_id)
+             when event_id % 103 = 0 then null
+             else to_json(struct(struct(
+               if(op in ('c', 'r'), null, past) as before,
+               if(op = 'd', null, own) as after,
+               struct('auth' as db, 'users' as `table`, 'log.000001' as file, event_id as pos, 0 as row,
+                 epoch * 1000 as ts_ms) as source,
+               op,
+               epoch * 1000 as ts_ms) as payload))
+           end as value""",
+        "epoch as timestamp",
     )
-    return rows.select(value.alias("value"), F.col("epoch").alias("timestamp"))
 
 
 def day_of_feed() -> Column:

@@ -100,13 +100,13 @@ ORACLES: dict[str, str] = {
     + """ select pos as _src_pos, op, epoch * 1000 as ts_ms,
           case when op not in ('c', 'r') then username end as before_username,
           case when op not in ('c', 'r') then b_password end as before_password,
-          case when op not in ('c', 'r') then b_enabled end as before_enabled,
-          case when op not in ('c', 'r') then b_ts end as before_ts,
+          case when op not in ('c', 'r') then cast(b_enabled as varchar) end as before_enabled,
+          case when op not in ('c', 'r') then cast(b_ts as varchar) end as before_ts,
           case when op not in ('c', 'r') then b_country end as before_country,
           case when op <> 'd' then username end as after_username,
           case when op <> 'd' then password end as after_password,
-          case when op <> 'd' then enabled end as after_enabled,
-          case when op <> 'd' then ts end as after_ts,
+          case when op <> 'd' then cast(enabled as varchar) end as after_enabled,
+          case when op <> 'd' then cast(ts as varchar) end as after_ts,
           case when op <> 'd' then country end as after_country
          from decoded""",
     "feed_malformed": _FEED
@@ -141,7 +141,7 @@ ORACLES: dict[str, str] = {
     "live_view": _EVENT_FOLD + f" select {_ROW} from cur where not is_deleted",
     "stream_upsert_fold": _EVENT_FOLD
     + " select username, password, enabled, ts, country from cur where not is_deleted",
-    "schema_evolution": _fold() + f" select {_ROW}, number from cur where not is_deleted",
+    "schema_evolution": _fold() + f" select {_ROW}, cast(number as varchar) as number from cur where not is_deleted",
     "snapshot": _SNAPSHOT,
     "compact_equivalence": _SNAPSHOT,
     "incremental": _SNAPSHOT + " and commit_time > '20240125000000000'",
@@ -164,7 +164,7 @@ ORACLES: dict[str, str] = {
           select {_RECORD} from v, floor
           where (successor is null or successor > floor.c) and not (is_deleted and commit_time <= floor.c)""",
     "quickstart_roundtrip": """
-      select count(*) as rows, 3 as commits,
+      select count(*) as rows, cast(3 as bigint) as commits,
         count(*) filter (where epoch(o_orderdate) >= 852076800 and epoch(o_orderdate) < 883612800) as updated
       from orders""",
     "limit_update": """

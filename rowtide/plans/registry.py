@@ -43,6 +43,11 @@ def _image(which: str, prefix: str = "") -> list:
     return [F.col(f"{which}.{c}").alias(f"{prefix}{c}") for c in USERS.columns]
 
 
+def _image_as_text(which: str, prefix: str) -> list:
+    """Numbers as text: a client may turn a numeric column with nulls into floating point."""
+    return [F.col(f"{which}.{c}").cast("string").alias(f"{prefix}{c}") for c in USERS.columns]
+
+
 # --- feed ------------------------------------------------------------------------------------------------------------
 
 
@@ -74,7 +79,11 @@ def feed_offsets_json(spark, sf_dir):
 
 def feed_decode(spark, sf_dir):
     return _decoded(spark, sf_dir).select(
-        F.col("source.pos").alias(SRC_POS), "op", "ts_ms", *_image("before", "before_"), *_image("after", "after_")
+        F.col("source.pos").alias(SRC_POS),
+        "op",
+        "ts_ms",
+        *_image_as_text("before", "before_"),
+        *_image_as_text("after", "after_"),
     )
 
 
@@ -155,7 +164,8 @@ def live_keyed_view(spark, sf_dir):
 
 
 def schema_evolution(spark, sf_dir):
-    return merge.fold(ef.evolved_records(spark, sf_dir), ef.NUMBERED_USERS).select(*ROW, "number")
+    rows = merge.fold(ef.evolved_records(spark, sf_dir), ef.NUMBERED_USERS)
+    return rows.select(*ROW, F.col("number").cast("string"))
 
 
 # --- reads -----------------------------------------------------------------------------------------------------------
