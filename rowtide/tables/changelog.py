@@ -107,7 +107,7 @@ class ChangelogTable:
         """
         if self.streamed:
             raise ValueError("files of a streamed log belong to its sink; compact it instead")
-        floor = self.timeline.oldest_of_last(keep)
+        floor = folders.oldest_of_last(self.commits(), COMMIT, keep)
         if floor is None:
             return None
         self.compact(floor)

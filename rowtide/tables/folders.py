@@ -50,6 +50,13 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def oldest_of_last(commits: DataFrame, column: str, keep: int) -> str | None:
+    """The oldest of the last ``keep`` commits."""
+    if keep < 1:
+        raise ValueError("at least one commit is kept")
+    return commits.orderBy(F.col(column).desc()).limit(keep).agg(F.min(column)).first()[0]
+
+
 class Timeline:
     """Which commits of a table are complete. Data is written first and entered here last.
 
@@ -89,9 +96,3 @@ class Timeline:
         floor = self.last(TRIMMED)
         if floor is not None and pad_instant(instant) < floor:
             raise ValueError(f"versions before {floor} were removed; cannot read as of {instant}")
-
-    def oldest_of_last(self, keep: int) -> str | None:
-        if keep < 1:
-            raise ValueError("at least one commit is kept")
-        newest = self.commits().orderBy(F.col("instant").desc()).limit(keep)
-        return newest.agg(F.min("instant")).first()[0]

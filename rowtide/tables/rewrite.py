@@ -2,8 +2,9 @@
 
 A slice is a partition value and a bucket of the record key. The number of buckets is fixed when the table is made and
 sets how much a small commit rewrites: a hot partition value spreads over all of them. Layout below the table path:
-``data/_version=<instant>/<partition>=<value>/_bucket=<n>/`` and ``slices/``, one small row per rewritten slice and
-commit. A slice entered without data is empty, so deleting all its rows cannot bring its previous version back.
+``data/_version=<instant>/<partition>=<value>/_bucket=<n>/`` and ``slices/_version=<instant>/``, one small row per
+rewritten slice. The slices of a commit are entered in one file after its data, which is what makes the commit visible.
+A slice entered without data is empty, so deleting all its rows cannot bring its previous version back.
 """
 
 from __future__ import annotations
@@ -30,18 +31,19 @@ class RewriteTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.spec.record_key), F.lit(self.buckets)).cast("int")
 
+    @property
+    def _slice_schema(self) -> T.StructType:
+        return T.StructType([*(self.spec.image[p] for p in self.spec.partition), T.StructField(BUCKET, T.IntegerType())])
+
     @property
     def _slices_schema(self) -> T.StructType:
-        schema = self.spec.image
-        fields = [T.StructField(VERSION, T.StringType())] + [schema[p] for p in self.spec.partition]
-        return T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
+        return T.StructType([*self._slice_schema.fields, T.StructField(VERSION, T.StringType())])
 
     def _slices(self) -> DataFrame:
-        """Slices of complete commits."""
+        """Rewritten slices of all commits."""
         if not folders.exists(self.spark, self.slices_path):
             return self.spark.createDataFrame([], self._slices_schema)
-        entered = self.spark.read.schema(self._slices_schema).parquet(self.slices_path)
-        return entered.join(self.timeline.commits().withColumnRenamed("instant", VERSION), VERSION, "left_semi")
+        return self.spark.read.schema(self._slices_schema).parquet(self.slices_path)
 
     def _newest(self, bound: Column) -> DataFrame:
         """The last version of every slice within ``bound``."""
@@ -69,22 +71,25 @@ class RewriteTable:
         validate_instant(commit)
         if overwrite:
             folders.remove(self.spark, self.path)
-        self.timeline.check_newer(commit)
+        last = self.commits().agg(F.max(COMMIT)).first()[0]
+        if last is not None and commit < last:
+            raise ValueError(f"commit {commit} is before the last commit {last}")
         batch = combine(records.withColumn(COMMIT, F.lit(commit)), self.spec).withColumn(BUCKET, self._bucket())
-        touched_path = f"{self.slices_path}/{VERSION}={commit}"
-        batch.select(*self.slice_key).distinct().coalesce(1).write.mode("overwrite").parquet(touched_path)
+        pending = f"{self.path}/pending/{VERSION}={commit}"
+        batch.select(*self.slice_key).distinct().write.mode("overwrite").parquet(pending)
         # read back: Spark now knows the size of this list, can broadcast it and prune folders with it
-        schema = T.StructType([f for f in self._slices_schema.fields if f.name != VERSION])
-        touched = self.spark.read.schema(schema).parquet(touched_path)
+        touched = self.spark.read.schema(self._slice_schema).parquet(pending)
         before = self._newest(F.col(VERSION) < commit)
         existing = self._stored(before.join(touched, list(self.slice_key), "left_semi"))
         merged = fold(existing.drop(VERSION).unionByName(batch), self.spec)
         writer = merged.hint("rebalance", *self.slice_key).write.mode("overwrite").partitionBy(*self.slice_key)
         writer.parquet(f"{self.data_path}/{VERSION}={commit}")
-        self.timeline.enter(commit, folders.COMMITTED)
+        touched.coalesce(1).write.mode("overwrite").parquet(f"{self.slices_path}/{VERSION}={commit}")
+        folders.remove(self.spark, pending)
 
     def commits(self) -> DataFrame:
-        return self.timeline.commits().withColumnRenamed("instant", COMMIT)
+        """Commits that changed something."""
+        return self._slices().select(F.col(VERSION).alias(COMMIT)).distinct()
 
     def as_of(self, instant: str) -> DataFrame:
         self.timeline.check_kept(instant)
@@ -98,13 +103,16 @@ class RewriteTable:
         return self.snapshot().filter(F.col(COMMIT) > validate_instant(begin))
 
     def retain(self, keep: int) -> str | None:
-        """Keep the last ``keep`` commits readable; remove versions that hold no slice those commits need."""
-        floor = self.timeline.oldest_of_last(keep)
+        """Keep the last ``keep`` commits readable; remove versions that hold no slice those commits need.
+
+        Returns the oldest commit kept. Run it while no reader works on an older version.
+        """
+        floor = folders.oldest_of_last(self.commits(), COMMIT, keep)
         if floor is None:
             return None
         self.timeline.enter(floor, folders.TRIMMED)
-        needed = self._newest(F.col(VERSION) <= floor).select(VERSION).distinct()
-        older = self.commits().filter(F.col(COMMIT) < floor).withColumnRenamed(COMMIT, VERSION)
+        needed = self._newest(F.col(VERSION) <= floor).select(VERSION)
+        older = self._slices().filter(F.col(VERSION) < floor).select(VERSION).distinct()
         for row in older.join(needed, VERSION, "left_anti").toLocalIterator():
             folders.remove(self.spark, f"{self.data_path}/{VERSION}={row[VERSION]}")
         return floor
