@@ -134,7 +134,10 @@ def reject_counts(feed: DataFrame, image: T.StructType | str, required: tuple[st
 
 
 def observe_rejects(parsed: DataFrame, observation: Observation | str) -> DataFrame:
-    """Count refused events while the plan runs, with no second pass. A name is needed for streams."""
+    """Count refused events while the plan runs, with no second pass. A name is needed for streams.
+
+    Only ``with_routing_reason`` tells unknown operations and missing keys; apply it first to have them counted.
+    """
     metrics = [
         F.count_if(F.col("reason") == name).alias(name)
         for name in (TOMBSTONE, BLANK, MALFORMED, NO_OP, UNKNOWN_OP, NULL_KEY)

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from rowtide.spec import COMMIT, TableSpec
 
 SEQNO, RECORD_KEY, PARTITION_PATH = "_commit_seqno", "_record_key", "_partition_path"
+FILE_NAME = "_file_name"
 
 # Hex digits of the key digest that make a numbering group: the rows of a commit are numbered in 65,536 groups.
 _DIGEST_DIGITS = 4
@@ -41,7 +42,7 @@ def with_meta(combined: DataFrame, spec: TableSpec) -> DataFrame:
 
 def with_file_name(stored: DataFrame) -> DataFrame:
     """Add ``_file_name``, the file each row of a stored table comes from."""
-    return stored.withColumn("_file_name", F.col("_metadata.file_name"))
+    return stored.withColumn(FILE_NAME, F.col("_metadata.file_name"))
 
 
 def commits(records: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from rowtide.operators.decode import observe_rejects, parse
+from rowtide.operators.decode import observe_rejects, parse, with_routing_reason
 from rowtide.operators.route import to_records
 from rowtide.spec import COMMIT, POSITION, TableSpec
 
@@ -31,7 +31,7 @@ def stream_records(
     """
     parsed = parse(feed, spec.image)
     if rejects:
-        parsed = observe_rejects(parsed, rejects)
+        parsed = observe_rejects(with_routing_reason(parsed, spec.scope), rejects)
     return to_records(parsed, spec, commit, follow_moves)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
 from rowtide.operators.merge import combine, fold
+from rowtide.operators.meta import FILE_NAME, with_file_name
 from rowtide.plans import reads
 from rowtide.spec import COMMIT, TableSpec
 from rowtide.tables import folders
@@ -19,9 +20,17 @@ from rowtide.tables import folders
 
 class ChangelogTable:
     def __init__(
-        self, spark: SparkSession, path: str, spec: TableSpec, policy: str = "commit", streamed: bool = False
+        self,
+        spark: SparkSession,
+        path: str,
+        spec: TableSpec,
+        policy: str = "commit",
+        streamed: bool = False,
+        file_names: bool = False,
     ):
+        """``streamed``: the log is written by a stream. ``file_names`` adds ``_file_name`` to every read."""
         self.spark, self.path, self.spec, self.policy, self.streamed = spark, path.rstrip("/"), spec, policy, streamed
+        self.file_names = file_names
         self.log_path, self.base_path = f"{self.path}/log", f"{self.path}/base"
         self.timeline = folders.Timeline(spark, self.path)
 
@@ -62,19 +71,27 @@ class ChangelogTable:
         schema = self.spec.record_schema
         if not folders.exists(self.spark, self.log_path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.log_path).select(*schema.fieldNames())
+        return self._scan(self.log_path)
+
+    def _scan(self, path: str) -> DataFrame:
+        schema = self.spec.record_schema
+        stored = self.spark.read.schema(schema).parquet(path)
+        columns = schema.fieldNames()
+        if self.file_names:
+            stored, columns = with_file_name(stored), [*columns, FILE_NAME]
+        return stored.select(*columns)
 
     def records(self, instant: str = LAST_INSTANT) -> DataFrame:
         """The records that decide the table at ``instant``: the last base up to it, and the log since that base."""
         self.timeline.check_kept(instant)
         log = self._log().filter(F.col(COMMIT) <= pad_instant(instant))
         if not self.streamed:
-            log = log.join(self.commits(), COMMIT, "left_semi").select(*self.spec.record_schema.fieldNames())
+            log = log.join(self.commits(), COMMIT, "left_semi").select(*log.columns)
         base = self.timeline.last(folders.COMPACTED, instant)
         if base is None:
             return log
-        stored = self.spark.read.schema(self.spec.record_schema).parquet(f"{self.base_path}/_base_time={base}")
-        return stored.select(*log.columns).unionByName(log.filter(F.col(COMMIT) > base))
+        stored = self._scan(f"{self.base_path}/_base_time={base}")
+        return stored.unionByName(log.filter(F.col(COMMIT) > base), allowMissingColumns=True)
 
     def snapshot(self) -> DataFrame:
         return reads.snapshot(self.records(), self.spec, policy=self.policy)
@@ -92,6 +109,7 @@ class ChangelogTable:
             return
         # late events of an event-ordered table may still meet a delete, so its base keeps them
         current = fold(self.records(upto), self.spec, self.policy, keep_deletes=self.policy == "event")
+        current = current.drop(FILE_NAME)
         if self.spec.partition:
             current = current.hint("rebalance", *self.spec.partition)
         writer = current.write.mode("overwrite")

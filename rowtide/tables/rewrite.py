@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
 from rowtide.operators.merge import combine, fold
+from rowtide.operators.meta import FILE_NAME, with_file_name
 from rowtide.spec import COMMIT, TableSpec
 from rowtide.tables import folders
 
@@ -22,8 +23,12 @@ VERSION, BUCKET = "_version", "_bucket"
 
 
 class RewriteTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 1):
+    def __init__(
+        self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 1, file_names: bool = False
+    ):
+        """``file_names`` adds ``_file_name``, the file a row is in, to every read."""
         self.spark, self.path, self.spec, self.buckets = spark, path.rstrip("/"), spec, buckets
+        self.file_names = file_names
         self.data_path, self.slices_path = f"{self.path}/data", f"{self.path}/slices"
         self.timeline = folders.Timeline(spark, self.path)
         self.slice_key = (*spec.partition, BUCKET)
@@ -54,7 +59,10 @@ class RewriteTable:
         if not folders.exists(self.spark, self.data_path):
             return self.spark.createDataFrame([], self._stored_schema)
         data = self.spark.read.schema(self._stored_schema).parquet(self.data_path)
-        return data.join(slices, [VERSION, *self.slice_key], "left_semi").select(*self._stored_schema.fieldNames())
+        columns = self._stored_schema.fieldNames()
+        if self.file_names:
+            data, columns = with_file_name(data), [*columns, FILE_NAME]
+        return data.join(slices, [VERSION, *self.slice_key], "left_semi").select(*columns)
 
     @property
     def _stored_schema(self) -> T.StructType:
@@ -81,7 +89,7 @@ class RewriteTable:
         touched = self.spark.read.schema(self._slice_schema).parquet(pending)
         before = self._newest(F.col(VERSION) < commit)
         existing = self._stored(before.join(touched, list(self.slice_key), "left_semi"))
-        merged = fold(existing.drop(VERSION).unionByName(batch), self.spec)
+        merged = fold(existing.drop(VERSION, FILE_NAME).unionByName(batch), self.spec)
         writer = merged.hint("rebalance", *self.slice_key).write.mode("overwrite").partitionBy(*self.slice_key)
         writer.parquet(f"{self.data_path}/{VERSION}={commit}")
         touched.coalesce(1).write.mode("overwrite").parquet(f"{self.slices_path}/{VERSION}={commit}")

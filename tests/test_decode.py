@@ -1,0 +1,100 @@
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from rowtide import TableSpec, image_of_types
+from rowtide.operators import decode as d
+from rowtide.operators.route import to_records
+from tests.helpers import USERS, event, feed, plan, records, rows, user
+
+
+def reasons(spark, *values, **options):
+    parsed = d.with_routing_reason(d.parse(feed(spark, *values), USERS.image, **options), USERS.scope)
+    return [r[0] for r in parsed.select("reason").collect()]
+
+
+@pytest.mark.parametrize(
+    "value, reason",
+    [
+        (None, "tombstone"),
+        ("", "blank"),
+        ("  ", "blank"),
+        ("{oops", "malformed"),
+        ("null", "malformed"),
+        ("[1]", "malformed"),
+        ('{"x":1}', "no_op"),
+        (event(None, after=user("a")), "no_op"),
+        (event("t", after=user("a")), "unknown_op"),
+        (event("c", after=None), "null_key"),
+        (event("c", after={"password": "x", "country": "SG"}), "null_key"),
+        (event("c", after={"username": "x"}), "null_key"),
+        (event("d", before=None, after=user("a")), "null_key"),
+        (event("c", after=user("a", enabled="1")), "malformed"),
+        (event("c", after=user("a", enabled="abc")), "malformed"),
+        (event("c", after=user("a", enabled=1.7)), "malformed"),
+        (event("c", after=user("a", enabled=True)), "malformed"),
+        (event("c", after=user("a", unknown=[1, {"x": 2}])), "ok"),
+        (event("r", after=user("a", ts=None)), "ok"),
+        (event("u", before=None, after=user("a")), "ok"),
+        (event("d", before=user("a")), "ok"),
+        (event("c", after=user("a")) + " trailing", "ok"),
+    ],
+)
+def test_reason(spark, value, reason):
+    assert reasons(spark, value) == [reason]
+
+
+def test_counts_and_quarantine_keep_every_refused_row(spark):
+    values = [None, "", "{oops", event("t", after=user("a")), event("c", after=user("a")), "{oops"]
+    source = feed(spark, *values, timestamp=9)
+    counts = d.reject_counts(source, USERS.image, USERS.scope)
+    assert rows(counts, "reason", "events") == [("blank", 1), ("malformed", 2), ("tombstone", 1), ("unknown_op", 1)]
+    refused = d.quarantine(source, USERS.image, USERS.scope)
+    assert refused.count() == 5 and refused.filter("value = '{oops' and timestamp = 9").count() == 2
+
+
+def test_lenient_reads_scalars_as_text(spark):
+    values = [event("c", after=user("a", enabled=e, pos=1), pos=i) for i, e in enumerate(["1", 1, "abc", "7 "])]
+    parsed = d.decode(feed(spark, *values), USERS.image, lenient=True)
+    assert [r[0] for r in parsed.orderBy("source.pos").select("after.enabled").collect()] == [1, 1, None, 7]
+    assert parsed.schema["after"].dataType == USERS.image
+
+
+def test_samples_without_ordering_and_partition_columns(spark):
+    """The image schema is an argument; fields missing from the text are null."""
+    spec = TableSpec(USERS.image, ("username",))
+    insert = event("c", after={"username": "user3", "password": "password3", "enabled": 1}, pos=1837)
+    row = to_records(d.parse(feed(spark, insert), spec.image), spec, "20230405000000").first()
+    assert (row.username, row.password, row.enabled, row.ts, row.country) == ("user3", "password3", 1, None, None)
+    assert (row._src_file, row._src_pos, row._src_row, row.is_deleted) == ("log.000001", 1837, 0, False)
+
+
+def test_second_table_with_another_image(spark):
+    spec = TableSpec(
+        image_of_types(username="string", authority="string", ts="long"), record_key=("username", "authority")
+    )
+    events = [event("c", after={"username": u, "authority": "ROLE_USER", "ts": 1}) for u in ("user1", "user2")]
+    got = records(spark, ("20240101000000", events), spec=spec)
+    assert rows(got, "username", "authority") == [("user1", "ROLE_USER"), ("user2", "ROLE_USER")]
+
+
+def test_json_is_parsed_once_and_without_python(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    feed(spark, event("c", after=user("a"))).write.parquet(path)
+    text = plan(to_records(d.parse(spark.read.parquet(path), USERS.image), USERS, "20240101000000"))
+    assert text.count("from_json") == 1
+    assert "Python" not in text and "Exchange" not in text
+
+
+def test_observed_counts_need_no_second_pass(spark):
+    seen = Observation("rejects")
+    parsed = d.with_routing_reason(d.parse(feed(spark, None, "{", event("c", after=user("a"))), USERS.image), USERS.scope)
+    to_records(d.observe_rejects(parsed, seen), USERS, "20240101000000").collect()
+    got = seen.get
+    assert (got["events"], got["tombstone"], got["malformed"], got["unknown_op"]) == (3, 1, 1, 0)
+
+
+def test_long_texts_are_decoded_whole(spark):
+    long = "x" * 300_000
+    got = records(spark, ("20240101000000", [event("c", after=user("a", password=long))]))
+    assert got.select(F.length("password")).first()[0] == 300_000

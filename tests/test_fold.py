@@ -1,0 +1,199 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowtide import TableSpec
+from rowtide.operators import merge, meta, route
+from rowtide.operators.decode import decode
+from rowtide.plans import reads
+from tests.helpers import C1, C2, C3, USERS, event, feed, plan, records, rows, user
+
+
+def live(spark, *commits, **options):
+    return rows(merge.fold(records(spark, *commits), USERS, **options), "country", "username", "password")
+
+
+def c(name, pos, op="c", **fields):
+    return event(op, after=user(name, **fields), pos=pos)
+
+
+def gone(name, pos, **fields):
+    return event("d", before=user(name, **fields), pos=pos)
+
+
+def test_insert_update_delete(spark):
+    insert, update = c("user3", 1837, password="password3"), c("user3", 2149, op="u", password="password4")
+    delete = gone("user3", 2472, password="password4")
+    assert live(spark, (C1, [insert])) == [("SG", "user3", "password3")]
+    assert live(spark, (C1, [insert]), (C2, [update])) == [("SG", "user3", "password4")]
+    assert live(spark, (C1, [insert]), (C2, [update]), (C3, [delete])) == []
+
+
+def test_ties_follow_the_source_position(spark):
+    changes = [c("a", 1), c("a", 2, op="u"), gone("a", 3)]
+    for order in (changes, changes[::-1]):
+        assert live(spark, (C1, order)) == []
+    assert live(spark, (C1, [gone("a", 1), c("a", 2)])) == [("SG", "a", "p")]
+
+
+def test_position_counts_after_the_log_file(spark):
+    old, new = event("c", after=user("a", "old"), pos=900, file="log.1"), event("u", after=user("a", "new"), pos=4, file="log.2")
+    assert live(spark, (C1, [new, old])) == [("SG", "a", "new")]
+
+
+def test_late_rows(spark):
+    on_time, late = c("a", 1, password="on time", ts=100), c("a", 2, op="u", password="late", ts=50)
+    assert live(spark, (C1, [on_time, late])) == [("SG", "a", "on time")]
+    assert live(spark, (C1, [on_time]), (C2, [late])) == [("SG", "a", "late")]
+    assert live(spark, (C1, [on_time]), (C2, [late]), policy="event") == [("SG", "a", "on time")]
+
+
+def test_null_order_ranks_lowest(spark):
+    assert live(spark, (C1, [c("a", 1, password="x", ts=-5), c("a", 2, password="y", ts=None)])) == [("SG", "a", "x")]
+
+
+def test_delete_of_nothing(spark):
+    assert live(spark, (C1, [gone("a", 1)])) == []
+
+
+def test_partition_move(spark):
+    first = (C1, [c("a", 1)])
+    move = (C2, [event("u", before=user("a"), after=user("a", country="ID"), pos=2)])
+    assert [r[0] for r in live(spark, first, move)] == ["ID", "SG"]
+    assert [r[0] for r in live(spark, first, move, by_partition=False)] == ["ID"]
+    followed = merge.fold(records(spark, first, move, follow_moves=True), USERS)
+    assert rows(followed, "country", "username") == [("ID", "a")]
+
+
+def test_moves_are_only_updates_with_both_keys(spark):
+    events = [
+        event("u", before=user("a"), after=user("a", country="ID")),
+        event("u", before=user("b"), after=user("b")),
+        event("u", before=None, after=user("c")),
+        event("r", before=user("d"), after=user("d", country="ID")),
+        event("u", before={"username": "e"}, after=user("e")),
+    ]
+    moves = route.partition_moves(decode(feed(spark, *events), USERS.image), USERS)
+    assert rows(moves, "after.username") == [("a",)]
+
+
+def _random_history(seed, n=400):
+    rnd = random.Random(seed)
+    commits = {k: [] for k in (C1, C2, C3)}
+    for pos in range(n):
+        # a third of all changes are of one key
+        name = "hot" if rnd.random() < 0.34 else f"u{rnd.randrange(40)}"
+        fields = dict(ts=rnd.choice([None, 1, 2, 3]), country=rnd.choice(["SG", "ID"]), password=f"p{pos}")
+        change = gone(name, pos, **fields) if rnd.random() < 0.25 else c(name, pos, **fields)
+        commits[rnd.choice(list(commits))].append((change, pos, name, fields, '"op": "d"' in change))
+    return commits
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("policy", ["commit", "event"])
+@pytest.mark.parametrize("by_partition", [True, False])
+def test_fold_against_a_dictionary(spark, seed, policy, by_partition):
+    history = _random_history(seed)
+    best = {}
+    for commit, changes in history.items():
+        for _, pos, name, fields, deleted in changes:
+            key = (fields["country"], name) if by_partition else name
+            rank = ((commit,) if policy == "commit" else ()) + (-1 if fields["ts"] is None else fields["ts"], pos)
+            if key not in best or rank > best[key][0]:
+                best[key] = (rank, (fields["country"], name, fields["password"]), deleted)
+    want = sorted(row for _, row, deleted in best.values() if not deleted)
+    df = records(spark, *((k, [v[0] for v in changes]) for k, changes in history.items()))
+    for shuffled in (df, df.repartition(5), df.orderBy(F.rand(3))):
+        got = merge.fold(shuffled, USERS, policy=policy, by_partition=by_partition)
+        assert rows(got, "country", "username", "password") == want
+
+
+def test_one_pick_equals_combine_then_fold(spark):
+    df = records(spark, *((k, [v[0] for v in ch]) for k, ch in _random_history(7).items()))
+    two_steps = merge.fold(merge.combine(df, USERS), USERS, keep_deletes=True)
+    one_step = merge.fold(df, USERS, keep_deletes=True)
+    assert one_step.exceptAll(two_steps).count() == 0 and two_steps.exceptAll(one_step).count() == 0
+
+
+def test_hot_keys_are_reduced_before_the_shuffle(spark, tmp_path):
+    records(spark, (C1, [c("a", 1)])).write.parquet(str(tmp_path / "r"))
+    df = spark.read.parquet(str(tmp_path / "r"))
+    for query in (merge.fold(df, USERS), merge.combine(df, USERS), merge.fold(df, USERS, by_partition=False)):
+        text = plan(query)
+        assert text.count("Exchange") == 1
+        below = text[text.index("Exchange") :]
+        assert "WindowGroupLimit" in below and "Partial" in below
+
+
+@pytest.mark.parametrize("policy", ["commit", "event"])
+def test_retention_keeps_every_kept_version(spark, policy):
+    df = records(spark, *((k, [v[0] for v in ch]) for k, ch in _random_history(11).items())).cache()
+    kept = merge.changelog_until(df, USERS, C2, policy)
+    for instant in (C2, C3):
+        want = reads.as_of(df, USERS, instant, policy=policy)
+        got = reads.as_of(kept, USERS, instant, policy=policy)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert kept.count() < df.count()
+    assert meta.commits(kept).count() == 3  # rows current at the floor keep their own commit
+
+
+def test_retention_drops_old_deletes(spark):
+    df = records(spark, (C1, [c("a", 1), c("b", 2)]), (C2, [gone("a", 3)]), (C3, [gone("b", 4)]))
+    kept = merge.changelog_until(df, USERS, meta.oldest_of_last(df, 2))
+    assert rows(kept, "username", "is_deleted") == [("b", False), ("b", True)]
+
+
+def test_event_policy_keeps_deletes_that_hold_back_late_rows(spark):
+    early = records(spark, (C1, [gone("a", 5, ts=100)]), (C2, [c("x", 6)]))
+    late = records(spark, (C3, [c("a", 7, ts=50)]))
+    kept = merge.changelog_until(early, USERS, C2, "event").unionByName(late)
+    assert rows(merge.fold(kept, USERS, "event"), "username") == [("x",)]
+
+
+def test_meta_columns(spark):
+    df = merge.combine(records(spark, (C1, [c("a", 1), c("b", 2, country="ID")]), (C2, [c("a", 3)])), USERS)
+    got = meta.with_meta(df, USERS)
+    assert got.columns[:4] == ["_commit_time", "_commit_seqno", "_record_key", "_partition_path"]
+    assert rows(got, "_record_key", "_partition_path", "_commit_time") == [
+        ("a", "country=SG", C1), ("a", "country=SG", C2), ("b", "country=ID", C1),
+    ]
+    assert got.select("_commit_seqno").distinct().count() == 3
+    assert got.filter("_commit_seqno not like concat(_commit_time, '\\\\_%\\\\_0')").count() == 0
+
+
+def test_meta_numbers_are_unique_and_dense_in_a_group(spark):
+    df = spark.range(20_000).selectExpr(
+        "concat('user', id % 7000) username", "'p' password", "1 enabled", "id ts",
+        "if(id < 7000, 'SG', if(id < 14000, 'ID', 'MY')) country", "false is_deleted", "'f' _src_file",
+        "id _src_pos", "0 _src_row", f"'{C1}' _commit_time",
+    )
+    got = meta.with_meta(df, USERS)
+    parts = F.split("_commit_seqno", "_")
+    groups = got.groupBy(parts[1].alias("g")).agg(F.count("*").alias("n"), F.max(parts[2].cast("int")).alias("m"))
+    assert got.select("_commit_seqno").distinct().count() == 20_000
+    assert groups.filter("m != n - 1").count() == 0
+
+
+def test_composite_and_unpartitioned_keys(spark):
+    spec = TableSpec(USERS.image, ("username", "country"))
+    got = meta.with_meta(merge.combine(records(spark, (C1, [c("a", 1)]), spec=spec), spec), spec)
+    assert rows(got, "_record_key", "_partition_path") == [("username:a,country:SG", "")]
+
+
+def test_rows_per_partition_and_commits(spark):
+    df = records(spark, (C1, [c("a", 1), c("b", 2, country="ID")]), (C2, [c("z", 3)]))
+    assert rows(meta.rows_per_partition(df, USERS), "country", "rows") == [("ID", 1), ("SG", 2)]
+    assert rows(meta.commits(df), "_commit_time") == [(C1,), (C2,)]
+
+
+def test_bad_arguments(spark):
+    df = records(spark, (C1, [c("a", 1)]))
+    with pytest.raises(ValueError):
+        merge.fold(df, USERS, policy="latest")
+    with pytest.raises(ValueError):
+        TableSpec(USERS.image, ("nobody",))
+    with pytest.raises(ValueError):
+        TableSpec(USERS.image, ())
+    with pytest.raises(ValueError):
+        meta.oldest_of_last(df, 0)

@@ -1,0 +1,87 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from rowtide.functions import (
+    dense_index,
+    instant_from_millis,
+    normalize_epoch,
+    ntz_epoch_seconds,
+    pad_instant,
+    previous_row,
+    to_millis,
+    validate_instant,
+)
+
+EPOCHS = [1, 1_704_067_200, 4_294_967_295, 4_294_967_296, 1_704_067_200_123, 0, -5]
+
+
+def test_normalize_epoch(spark):
+    df = spark.createDataFrame([(e,) for e in EPOCHS], "e long")
+    got = [r[0] for r in df.select(normalize_epoch(F.col("e"))).collect()]
+    assert got == [1000, 1_704_067_200_000, 4_294_967_295_000, 4_294_967_296, 1_704_067_200_123, 0, -5]
+    assert got == [to_millis(e) for e in EPOCHS]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Kolkata"])
+def test_times_do_not_follow_the_session_zone(spark, zone):
+    times = [dt.datetime(2018, 11, 4, 0, 30, 1, 250_000), dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(2024, 2, 29)]
+    want_seconds = [int((t.replace(microsecond=0) - dt.datetime(1970, 1, 1)).total_seconds()) for t in times]
+    millis = [1_541_291_401_250, -1000, 1_709_164_800_000]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ntz = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+        assert [r[0] for r in ntz.select(ntz_epoch_seconds(F.col("t"))).collect()] == want_seconds
+        ms = spark.createDataFrame([(m,) for m in millis], "m long")
+        assert [r[0] for r in ms.select(instant_from_millis(F.col("m"))).collect()] == [
+            "20181104003001250",
+            "19691231235959000",
+            "20240229000000000",
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_instants():
+    assert pad_instant("20240115000000") == "20240115000000999"
+    assert pad_instant("20240115000000123") == "20240115000000123"
+    for bad in ("2024", "2024011500000x", "202401150000001", 20240115000000, ""):
+        with pytest.raises(ValueError):
+            validate_instant(bad)
+
+
+def _skewed(spark, n=3000, seed=5):
+    """A third of the rows in one group, many groups of one row, ids with gaps."""
+    rnd = random.Random(seed)
+    ids = rnd.sample(range(20 * n), n)
+    groups = [("hot" if rnd.random() < 0.34 else f"g{rnd.randrange(n // 3)}") for _ in ids]
+    rows = [(g, i, rnd.random()) for g, i in zip(groups, ids)]
+    return spark.createDataFrame(rows, "g string, id long, v double").repartition(7)
+
+
+@pytest.mark.parametrize("span", [1, 50, 4096, 1 << 20])
+def test_previous_row_is_lag(spark, span):
+    df = _skewed(spark)
+    whole = Window.partitionBy("g").orderBy("id")
+    want = df.select("*", F.lag("id").over(whole).alias("prev_id"), F.lag("v").over(whole).alias("prev_v"))
+    got = previous_row(df, ["g"], "id", span, ["id", "v"])
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("span", [1, 50, 4096, 1 << 20])
+def test_dense_index_is_row_number(spark, span):
+    df = _skewed(spark).withColumn("g", F.when(F.col("g") != "g1", F.col("g")))
+    want = df.withColumn("n", (F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1).cast("long"))
+    got = dense_index(df, ["g"], F.floor(F.col("id") / span), [F.col("id").asc()], "n")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_no_window_task_holds_more_than_a_bucket(spark):
+    """The hot group is spread: no (group, bucket) has more rows than the span, so no window does."""
+    df = _skewed(spark)
+    largest = df.groupBy("g", F.floor(F.col("id") / 50)).count().agg(F.max("count")).first()[0]
+    assert df.filter("g = 'hot'").count() > 900 and largest <= 50
