@@ -34,13 +34,21 @@ class ChangelogTable:
         self.log_path, self.base_path = f"{self.path}/log", f"{self.path}/base"
         self.timeline = folders.Timeline(spark, self.path)
 
-    def append(self, records: DataFrame, commit: str, max_records_per_file: int = 0) -> None:
-        """Add one commit. Repeating a commit replaces it, so a failed job can simply run again."""
+    def append(
+        self, records: DataFrame, commit: str, combine_first: bool = True, max_records_per_file: int = 0
+    ) -> None:
+        """Add one commit. Repeating a commit replaces it, so a failed job can simply run again.
+
+        ``combine_first`` stores one record per key. Without it nothing is shuffled and readers do the combining; the
+        rows read are the same.
+        """
         validate_instant(commit)
         if self.streamed:
             raise ValueError("this log belongs to a stream; batch commits would be hidden by its sink")
         self.timeline.check_newer(commit)
-        batch = combine(records.withColumn(COMMIT, F.lit(commit)), self.spec)
+        batch = records.withColumn(COMMIT, F.lit(commit))
+        if combine_first:
+            batch = combine(batch, self.spec)
         writer = batch.drop(COMMIT).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
         if self.spec.partition:
             writer = writer.partitionBy(*self.spec.partition)
@@ -67,6 +75,10 @@ class ChangelogTable:
             return self._log().select(COMMIT).distinct()
         return self.timeline.commits().withColumnRenamed("instant", COMMIT)
 
+    def _readable_commits(self) -> DataFrame:
+        floor = self.timeline.last(folders.TRIMMED)
+        return self.commits() if floor is None else self.commits().filter(F.col(COMMIT) >= floor)
+
     def _log(self) -> DataFrame:
         schema = self.spec.record_schema
         if not folders.exists(self.spark, self.log_path):
@@ -83,15 +95,19 @@ class ChangelogTable:
 
     def records(self, instant: str = LAST_INSTANT) -> DataFrame:
         """The records that decide the table at ``instant``: the last base up to it, and the log since that base."""
+        return self._since_base(self.timeline.last(folders.COMPACTED, instant), instant)
+
+    def _since_base(self, base: str | None, instant: str = LAST_INSTANT) -> DataFrame:
         self.timeline.check_kept(instant)
         log = self._log().filter(F.col(COMMIT) <= pad_instant(instant))
         if not self.streamed:
             log = log.join(self.commits(), COMMIT, "left_semi").select(*log.columns)
-        base = self.timeline.last(folders.COMPACTED, instant)
         if base is None:
             return log
-        stored = self._scan(f"{self.base_path}/_base_time={base}")
-        return stored.unionByName(log.filter(F.col(COMMIT) > base), allowMissingColumns=True)
+        return self._base(base).unionByName(log.filter(F.col(COMMIT) > base), allowMissingColumns=True)
+
+    def _base(self, base: str) -> DataFrame:
+        return self._scan(f"{self.base_path}/_base_time={base}")
 
     def snapshot(self) -> DataFrame:
         return reads.snapshot(self.records(), self.spec, policy=self.policy)
@@ -100,7 +116,19 @@ class ChangelogTable:
         return reads.as_of(self.records(instant), self.spec, instant, policy=self.policy)
 
     def incremental(self, begin: str) -> DataFrame:
-        return reads.incremental(self.records(), self.spec, begin, policy=self.policy)
+        base = self.timeline.last(folders.COMPACTED)
+        if self.policy == "commit" and base is not None and base <= begin:
+            base = None  # nothing in it is after begin
+        return reads.incremental(self._since_base(base), self.spec, begin, policy=self.policy)
+
+    def compact_after(self, delta_commits: int) -> bool:
+        """Compact at the last commit if that many commits came since the last base."""
+        base = self.timeline.last(folders.COMPACTED)
+        new = self.commits() if base is None else self.commits().filter(F.col(COMMIT) > base)
+        if new.count() < delta_commits:
+            return False
+        self.compact(LAST_INSTANT)
+        return True
 
     def compact(self, instant: str) -> None:
         """Write the base at the last commit up to ``instant``, from the base before it and the log between the two."""
@@ -118,13 +146,16 @@ class ChangelogTable:
         writer.parquet(f"{self.base_path}/_base_time={upto}")
         self.timeline.enter(upto, folders.COMPACTED)
 
-    def retain(self, keep: int) -> str | None:
+    def retain(self, keep: int, above: int | None = None) -> str | None:
         """Keep the last ``keep`` commits readable and remove what only older ones need. Returns the oldest kept.
 
-        Run it while no reader works on an older version.
+        With ``above`` nothing happens until there are more commits than that. Run it while no reader works on an
+        older version.
         """
         if self.streamed:
             raise ValueError("files of a streamed log belong to its sink; compact it instead")
+        if above is not None and self._readable_commits().count() <= above:
+            return None
         floor = folders.oldest_of_last(self.commits(), COMMIT, keep)
         if floor is None:
             return None

@@ -107,14 +107,24 @@ class RewriteTable:
         return self.as_of(LAST_INSTANT)
 
     def incremental(self, begin: str) -> DataFrame:
-        """Rows written after ``begin``. A rewritten row keeps the commit of its last change."""
-        return self.snapshot().filter(F.col(COMMIT) > validate_instant(begin))
+        """Rows of the current table whose last commit is after ``begin``.
 
-    def retain(self, keep: int) -> str | None:
+        A rewritten row keeps the commit of its last change, and such a row can only be in a slice rewritten after
+        ``begin``, so the other slices are not opened.
+        """
+        validate_instant(begin)
+        changed = self._newest(F.lit(True)).filter(F.col(VERSION) > begin)
+        return self._stored(changed).drop(VERSION, BUCKET).filter(F.col(COMMIT) > begin)
+
+    def retain(self, keep: int, above: int | None = None) -> str | None:
         """Keep the last ``keep`` commits readable; remove versions that hold no slice those commits need.
 
-        Returns the oldest commit kept. Run it while no reader works on an older version.
+        Returns the oldest commit kept. With ``above`` nothing happens until there are more commits than that. Run it
+        while no reader works on an older version.
         """
+        last_floor = self.timeline.last(folders.TRIMMED) or ""
+        if above is not None and self.commits().filter(F.col(COMMIT) >= last_floor).count() <= above:
+            return None
         floor = folders.oldest_of_last(self.commits(), COMMIT, keep)
         if floor is None:
             return None

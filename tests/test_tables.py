@@ -113,6 +113,33 @@ def test_retention(spark, table):
     assert ("SG", "a", "p9") in state(table.snapshot())
 
 
+def test_retention_waits_for_enough_commits(spark, table):
+    """Of more than three commits, the last two are kept."""
+    kept = []
+    for commit in (C1, C2, C3, C4, "20240105000000000"):
+        table.put(upserts(spark, user("a", commit)), commit)
+        kept.append(table.retain(2, above=3))
+    assert kept == [None, None, None, C3, None]
+    assert state(table.as_of(C3)) == [("SG", "a", C3)]
+
+
+def test_incremental_from_any_commit(spark, table):
+    for number, commit in enumerate((C1, C2, C3)):
+        table.put(upserts(spark, user(f"u{number}"), user("all", commit), country_user(number)), commit)
+    if isinstance(table, ChangelogTable):
+        table.compact(C2)
+    whole = table.snapshot()
+    for begin in ("19700101000000", C1, C2, C3):
+        assert same(table.incremental(begin), whole.filter(F.col("_commit_time") > begin))
+    if isinstance(table, ChangelogTable):
+        assert any("/base/" in f for f in table.incremental(C1).inputFiles())
+        assert not any("/base/" in f for f in table.incremental(C2).inputFiles())
+
+
+def country_user(number):
+    return user("mover", country=f"C{number}")
+
+
 def _data_folders(table):
     parent = table.log_path if isinstance(table, ChangelogTable) else table.data_path
     return set(os.listdir(parent))
@@ -149,6 +176,26 @@ def test_reads_after_compaction_leave_the_old_log_alone(spark, tmp_path):
     assert sum(f.split("/")[0].endswith("base") or "/base/" in f for f in files) == 1
 
 
+def test_compaction_after_every_second_commit(spark, tmp_path):
+    table = ChangelogTable(spark, str(tmp_path / "t"), USERS)
+    done = []
+    for commit in (C1, C2, C3, C4):
+        table.append(upserts(spark, user("a", commit)), commit)
+        done.append(table.compact_after(2))
+    assert done == [False, True, False, True]
+    assert sorted(f for f in os.listdir(table.base_path)) == [f"_base_time={C2}", f"_base_time={C4}"]
+    assert state(table.as_of(C3)) == [("SG", "a", C3)] and state(table.snapshot()) == [("SG", "a", C4)]
+
+
+def test_uncombined_log_reads_the_same(spark, tmp_path):
+    batch = upserts(spark, user("a", "p1", ts=1), user("a", "p3", ts=3), user("a", "p2", ts=2), user("b"))
+    tables = [ChangelogTable(spark, str(tmp_path / name), USERS) for name in ("x", "y")]
+    for table, combine_first in zip(tables, (True, False)):
+        table.append(batch, C1, combine_first=combine_first)
+    assert [t.records().count() for t in tables] == [2, 4]
+    assert state(tables[0].snapshot()) == state(tables[1].snapshot()) == [("SG", "a", "p3"), ("SG", "b", "p")]
+
+
 def test_compaction_between_commits_of_one_second(spark, tmp_path):
     table = ChangelogTable(spark, str(tmp_path / "t"), USERS)
     table.append(upserts(spark, user("a")), "20240101000000100")
