@@ -26,7 +26,8 @@ def stream_records(
 ) -> DataFrame:
     """Records of a streamed feed. One narrow stage: no shuffle and no state.
 
-    The commit is the time of the micro-batch, which the checkpoint keeps, so a replayed batch gets the same one.
+    The commit is the time of the micro-batch, which the checkpoint keeps, so a replayed batch gets the same one. A
+    ``commit`` column in its place must not fall back to a commit that was compacted already.
     ``rejects`` names an observation that counts refused events per micro-batch.
     """
     parsed = parse(feed, spec.image)

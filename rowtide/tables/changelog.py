@@ -45,10 +45,10 @@ class ChangelogTable:
         validate_instant(commit)
         if self.streamed:
             raise ValueError("this log belongs to a stream; batch commits would be hidden by its sink")
-        self.timeline.check_newer(commit)
-        batch = records.withColumn(COMMIT, F.lit(commit))
+        self._check_newer(commit)
+        batch = folders.require_keys(records, self.spec).withColumn(COMMIT, F.lit(commit))
         if combine_first:
-            batch = combine(batch, self.spec)
+            batch = combine(batch, self.spec).hint("rebalance", *self.spec.partition)
         writer = batch.drop(COMMIT).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
         if self.spec.partition:
             writer = writer.partitionBy(*self.spec.partition)
@@ -65,8 +65,10 @@ class ChangelogTable:
         earliest = instants.agg(F.min("instant")).first()[0]
         if earliest is None:
             return
-        self.timeline.check_newer(earliest)
-        batch = combine(records, self.spec)
+        self._check_newer(earliest)
+        batch = combine(folders.require_keys(records, self.spec), self.spec)
+        # one shuffle more, so that a task writes to few folders; adaptive execution splits the large ones
+        batch = batch.hint("rebalance", COMMIT, *self.spec.partition)
         batch.write.mode("append").partitionBy(COMMIT, *self.spec.partition).parquet(self.log_path)
         self.timeline.enter_all(instants, folders.COMMITTED)
 
@@ -75,6 +77,12 @@ class ChangelogTable:
             return self._log().select(COMMIT).distinct()
         return self.timeline.commits().withColumnRenamed("instant", COMMIT)
 
+    def _check_newer(self, commit: str) -> None:
+        self.timeline.check_newer(commit)
+        base = self.timeline.last(folders.COMPACTED)
+        if base is not None and commit <= base:
+            raise ValueError(f"commit {commit} is already compacted")
+
     def _readable_commits(self) -> DataFrame:
         floor = self.timeline.last(folders.TRIMMED)
         return self.commits() if floor is None else self.commits().filter(F.col(COMMIT) >= floor)
@@ -133,13 +141,12 @@ class ChangelogTable:
     def compact(self, instant: str) -> None:
         """Write the base at the last commit up to ``instant``, from the base before it and the log between the two."""
         upto = self.commits().filter(F.col(COMMIT) <= pad_instant(instant)).agg(F.max(COMMIT)).first()[0]
-        if upto is None:
+        if upto is None or upto == self.timeline.last(folders.COMPACTED, upto):
             return
         # late events of an event-ordered table may still meet a delete, so its base keeps them
         current = fold(self.records(upto), self.spec, self.policy, keep_deletes=self.policy == "event")
         current = current.drop(FILE_NAME)
-        if self.spec.partition:
-            current = current.hint("rebalance", *self.spec.partition)
+        current = current.hint("rebalance", *self.spec.partition)
         writer = current.write.mode("overwrite")
         if self.spec.partition:
             writer = writer.partitionBy(*self.spec.partition)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.functions.instants import pad_instant
+from rowtide.spec import TableSpec
 
 TIMELINE_SCHEMA = T.StructType([T.StructField("instant", T.StringType()), T.StructField("action", T.StringType())])
 
@@ -50,6 +51,18 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def require_keys(records: DataFrame, spec: TableSpec) -> DataFrame:
+    """Fail the job on a record without key or partition value; a folder name cannot tell null from empty text."""
+    checked = {}
+    for column in spec.scope:
+        value = F.col(column)
+        missing = value.isNull()
+        if column in spec.partition:
+            missing = missing | (value.cast("string") == "")
+        checked[column] = F.when(missing, F.raise_error(F.lit(f"record without {column}"))).otherwise(value)
+    return records.withColumns(checked)
+
+
 def oldest_of_last(commits: DataFrame, column: str, keep: int) -> str | None:
     """The oldest of the last ``keep`` commits."""
     if keep < 1:

@@ -82,7 +82,8 @@ class RewriteTable:
         last = self.commits().agg(F.max(COMMIT)).first()[0]
         if last is not None and commit < last:
             raise ValueError(f"commit {commit} is before the last commit {last}")
-        batch = combine(records.withColumn(COMMIT, F.lit(commit)), self.spec).withColumn(BUCKET, self._bucket())
+        records = folders.require_keys(records, self.spec).withColumn(COMMIT, F.lit(commit))
+        batch = combine(records, self.spec).withColumn(BUCKET, self._bucket())
         pending = f"{self.path}/pending/{VERSION}={commit}"
         batch.select(*self.slice_key).distinct().write.mode("overwrite").parquet(pending)
         # read back: Spark now knows the size of this list, can broadcast it and prune folders with it

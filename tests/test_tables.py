@@ -80,6 +80,38 @@ def test_delete_on_an_empty_table_and_emptied_partition(spark, table):
     assert state(table.snapshot()) == [("ID", "b", "p2")]
 
 
+@pytest.mark.parametrize("bad", [{"country": ""}, {"country": None}, {"name": None}])
+def test_records_without_key_fail_the_commit(spark, table, bad):
+    table.put(upserts(spark, user("a")), C1)
+    broken = upserts(spark, user("b")).withColumns(
+        {"username" if k == "name" else k: F.lit(v).cast("string") for k, v in bad.items()}
+    )
+    with pytest.raises(Exception, match="record without"):
+        table.put(broken, C2)
+    assert state(table.snapshot()) == [("SG", "a", "p")]
+
+
+def test_odd_partition_values(spark, table):
+    odd = ["a/b=c", "x y", "%", "Ж", "1", "null"]
+    table.put(upserts(spark, *(user("u", country=c) for c in odd)), C1)
+    table.put(upserts(spark, *(user("u", "p2", country=c) for c in odd)), C2)
+    assert state(table.snapshot()) == sorted((c, "u", "p2") for c in odd)
+    assert state(table.as_of(C1)) == sorted((c, "u", "p") for c in odd)
+
+
+@pytest.mark.parametrize("kind", [ChangelogTable, RewriteTable])
+def test_unpartitioned_table(spark, tmp_path, kind):
+    spec = TableSpec(USERS.image, ("username",))
+    table = kind(spark, str(tmp_path / "t"), spec)
+    put = table.append if kind is ChangelogTable else table.apply
+    put(records(spark, (C1, [event("c", after=user("a")), event("c", after=user("b"))]), spec=spec), C1)
+    put(records(spark, (C2, [event("u", after=user("a", country="ID"), pos=1)]), spec=spec), C2)
+    assert state(table.snapshot()) == [("ID", "a", "p"), ("SG", "b", "p")]
+    assert state(table.as_of(C1)) == [("SG", "a", "p"), ("SG", "b", "p")]
+    assert table.retain(1) == C2
+    assert state(table.snapshot()) == [("ID", "a", "p"), ("SG", "b", "p")]
+
+
 def test_new_table_is_empty(spark, table):
     assert table.snapshot().count() == 0 and table.commits().count() == 0
 
@@ -187,6 +219,18 @@ def test_compaction_after_every_second_commit(spark, tmp_path):
     assert state(table.as_of(C3)) == [("SG", "a", C3)] and state(table.snapshot()) == [("SG", "a", C4)]
 
 
+def test_compacted_commits_are_final(spark, tmp_path):
+    table = ChangelogTable(spark, str(tmp_path / "t"), USERS)
+    for commit in (C1, C2):
+        table.append(upserts(spark, user("a", commit)), commit)
+    table.compact(C2)
+    table.compact(C2)
+    with pytest.raises(ValueError, match="already compacted"):
+        table.append(upserts(spark, user("a", "other")), C2)
+    assert table.retain(1) == C2
+    assert state(table.snapshot()) == [("SG", "a", C2)]
+
+
 def test_uncombined_log_reads_the_same(spark, tmp_path):
     batch = upserts(spark, user("a", "p1", ts=1), user("a", "p3", ts=3), user("a", "p2", ts=2), user("b"))
     tables = [ChangelogTable(spark, str(tmp_path / name), USERS) for name in ("x", "y")]
