@@ -82,6 +82,15 @@ bounds as (
 _SNAPSHOT = _fold() + f" select {_ROW} from cur where not is_deleted"
 _AS_OF_MID_MONTH = _fold("commit_time <= '20240115000000000'") + f" select {_ROW} from cur where not is_deleted"
 
+_RETENTION = (
+    _COMBINED
+    + f""", floor as (select min(c) as c from (select distinct commit_time as c from rows order by 1 desc limit 3)),
+      v as (select *, lead(commit_time) over (partition by country, username order by commit_time) as successor
+        from comb)
+      select {_RECORD} from v, floor
+      where (successor is null or successor > floor.c) and not (is_deleted and commit_time <= floor.c)"""
+)
+
 ORACLES: dict[str, str] = {
     "feed_scan_bounded": _POSITIONS
     + """ select event_id, feed_partition, feed_offset, "timestamp" from f join bounds using (feed_partition)
@@ -157,12 +166,8 @@ ORACLES: dict[str, str] = {
               partition by commit_time, digest[1:4] order by digest, username, country) - 1 as varchar)
               as _commit_seqno
           from k""",
-    "retention": _COMBINED
-    + f""", floor as (select min(c) as c from (select distinct commit_time as c from rows order by 1 desc limit 3)),
-          v as (select *, lead(commit_time) over (partition by country, username order by commit_time) as successor
-            from comb)
-          select {_RECORD} from v, floor
-          where (successor is null or successor > floor.c) and not (is_deleted and commit_time <= floor.c)""",
+    "retention": _RETENTION,
+    "retention_stored": _RETENTION,
     "quickstart_roundtrip": """
       select count(*) as rows, cast(3 as bigint) as commits,
         count(*) filter (where epoch(o_orderdate) >= 852076800 and epoch(o_orderdate) < 883612800) as updated
@@ -177,4 +182,7 @@ ORACLES: dict[str, str] = {
       select 'after', c_custkey, case when c_acctbal < 0 then 0 else c_acctbal end, c_mktsegment,
         case when c_acctbal < 0 then '20240103000000000' else '20240101000000000' end
       from customer where c_mktsegment <> 'FURNITURE'""",
+    "rewrite_incremental": """
+      select c_custkey, c_name, cast(0 as double) as c_acctbal, c_mktsegment, '20240103000000000' as _commit_time
+      from customer where c_acctbal < 0 and c_mktsegment <> 'FURNITURE'""",
 }

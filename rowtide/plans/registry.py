@@ -220,6 +220,13 @@ def retention(spark, sf_dir):
     return kept.select(*RECORD)
 
 
+def retention_stored(spark, sf_dir):
+    table = ChangelogTable(spark, shared_folder(spark, "users-kept"), USERS)
+    table.append_history(_records(spark, sf_dir))
+    table.retain(KEPT_COMMITS)
+    return table.records().select(*RECORD)
+
+
 def stream_upsert_fold(spark, sf_dir):
     folder = shared_folder(spark, "users-stream")
     land(ef.change_feed(spark, sf_dir), f"{folder}/feed")
@@ -243,6 +250,11 @@ def rewrite_versions(spark, sf_dir):
     return business.customer_versions(spark, sf_dir)
 
 
+def rewrite_incremental(spark, sf_dir):
+    changed = business.stored_customers(spark, sf_dir).incremental(business.LOADED)
+    return changed.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", COMMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_scan_bounded": feed_scan_bounded,
     "feed_decode": feed_decode,
@@ -270,6 +282,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_count": table_count,
     "compact_equivalence": compact_equivalence,
     "retention": retention,
+    "retention_stored": retention_stored,
     "schema_evolution": schema_evolution,
     "snapshot": snapshot,
     "incremental": incremental,
@@ -278,4 +291,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_view": live_keyed_view,
     "stream_upsert_fold": stream_upsert_fold,
     "rewrite_versions": rewrite_versions,
+    "rewrite_incremental": rewrite_incremental,
 }
