@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.epoch import normalize_epoch, to_millis
+from rowtide.functions.lists import broadcast_if_short
 
 # Start and end arguments.
 LATEST, EARLIEST = -1, -2
@@ -85,14 +86,13 @@ def replay_window(feed: DataFrame, start: int, end: int, max_literal: int = MAX_
     """The feed rows with ``lo <= offset < hi``.
 
     The bounds are planned first, as one row per feed partition. Up to ``max_literal`` of them turn into a filter that
-    reaches the scan of a landed feed and needs no shuffle. A feed with more partitions is joined with its bounds;
-    a partition that holds much of it is then split by the skew join of adaptive execution.
+    reaches the scan of a landed feed and needs no shuffle. A feed with more partitions is joined with its bounds.
     """
     by = _feed_partition(feed)
     bounds = offsets_for(feed, start, end)
     planned = bounds.limit(max_literal + 1).collect()
     if len(planned) > max_literal:
-        joined = feed.join(bounds, by)
+        joined = feed.join(broadcast_if_short(bounds), by)
         return joined.filter((F.col("offset") >= F.col("lo")) & (F.col("offset") < F.col("hi"))).select(*feed.columns)
     inside = F.lit(False)
     for row in planned:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
+from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.merge import combine, fold
 from rowtide.operators.meta import FILE_NAME, with_file_name
 from rowtide.plans import reads
@@ -107,15 +108,17 @@ class ChangelogTable:
 
     def _since_base(self, base: str | None, instant: str = LAST_INSTANT) -> DataFrame:
         self.timeline.check_kept(instant)
-        log = self._log().filter(F.col(COMMIT) <= pad_instant(instant))
+        wanted = F.col(COMMIT) <= pad_instant(instant)
+        if base is not None:
+            wanted = wanted & (F.col(COMMIT) > base)
+        log = self._log().filter(wanted)
         if not self.streamed:
-            log = log.join(self.commits(), COMMIT, "left_semi").select(*log.columns)
+            entered = broadcast_if_short(self.commits().filter(wanted))
+            log = log.join(entered, COMMIT, "left_semi").select(*log.columns)
         if base is None:
             return log
-        return self._base(base).unionByName(log.filter(F.col(COMMIT) > base), allowMissingColumns=True)
-
-    def _base(self, base: str) -> DataFrame:
-        return self._scan(f"{self.base_path}/_base_time={base}")
+        stored = self._scan(f"{self.base_path}/_base_time={base}")
+        return stored.unionByName(log, allowMissingColumns=True)
 
     def snapshot(self) -> DataFrame:
         return reads.snapshot(self.records(), self.spec, policy=self.policy)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
+from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.merge import combine, fold
 from rowtide.operators.meta import FILE_NAME, with_file_name
 from rowtide.spec import COMMIT, TableSpec
@@ -62,7 +63,8 @@ class RewriteTable:
         columns = self._stored_schema.fieldNames()
         if self.file_names:
             data, columns = with_file_name(data), [*columns, FILE_NAME]
-        return data.join(slices, [VERSION, *self.slice_key], "left_semi").select(*columns)
+        wanted = broadcast_if_short(slices)
+        return data.join(wanted, [VERSION, *self.slice_key], "left_semi").select(*columns)
 
     @property
     def _stored_schema(self) -> T.StructType:
@@ -70,8 +72,9 @@ class RewriteTable:
         return T.StructType([*self.spec.record_schema.fields, *extra])
 
     def apply(self, records: DataFrame, commit: str, overwrite: bool = False) -> None:
-        """Upsert and delete one batch of records as one commit. ``overwrite`` removes the table
-        first, so its records must not come from the table itself.
+        """Upsert and delete one batch of records as one commit.
+
+        ``overwrite`` removes the table first, so its records must not come from the table itself.
 
         The records are evaluated twice, first for the slices they touch; persist them if they are costly. Repeating a
         commit replaces its data.
@@ -86,7 +89,7 @@ class RewriteTable:
         batch = combine(records, self.spec).withColumn(BUCKET, self._bucket())
         pending = f"{self.path}/pending/{VERSION}={commit}"
         batch.select(*self.slice_key).distinct().write.mode("overwrite").parquet(pending)
-        # read back: Spark now knows the size of this list, can broadcast it and prune folders with it
+        # read back, so that counting and broadcasting the list does not evaluate the batch again
         touched = self.spark.read.schema(self._slice_schema).parquet(pending)
         before = self._newest(F.col(VERSION) < commit)
         existing = self._stored(before.join(touched, list(self.slice_key), "left_semi"))

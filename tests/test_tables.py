@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide import TableSpec
+from rowtide.functions import lists
 from rowtide.plans import events_feed as ef
 from rowtide.plans import reads
 from rowtide.plans.business_tables import as_records
@@ -145,6 +146,22 @@ def test_retention(spark, table):
     assert ("SG", "a", "p9") in state(table.snapshot())
 
 
+def test_long_lists_are_not_broadcast(spark, table, monkeypatch):
+    monkeypatch.setattr(lists, "SHORT_LIST", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table.put(upserts(spark, user("a"), user("b", country="ID")), C1)
+        table.put(upserts(spark, user("a", "p2")), C2)
+        assert state(table.snapshot()) == [("ID", "b", "p"), ("SG", "a", "p2")]
+        assert "BroadcastHashJoin" not in plan(table.snapshot())
+        monkeypatch.setattr(lists, "SHORT_LIST", 10)
+        assert "BroadcastHashJoin" in plan(table.snapshot())
+        assert state(table.snapshot()) == [("ID", "b", "p"), ("SG", "a", "p2")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_retention_waits_for_enough_commits(spark, table):
     """Of more than three commits, the last two are kept."""
     kept = []
