@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from rowtide.plans.oracles import ORACLES
+from rowtide.plans.registry import QUERIES
 
 TESTDATA = "/root/testdata"
 SF = os.environ.get("TEST_SF", "sf0.001")
@@ -37,18 +39,18 @@ def _rows(columns, rows):
     return sorted(tuple(_normal(row[i]) for i in order) for row in rows)
 
 
-def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+def test_every_table_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 26
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
-    df = entry_points.queries()[name](spark, f"{TESTDATA}/{SF}")
-    expected = duck.execute(entry_points.oracle_sql()[name])
+    df = QUERIES[name](spark, f"{TESTDATA}/{SF}")
+    expected = duck.execute(ORACLES[name])
     columns = [d[0] for d in expected.description]
     assert sorted(columns) == sorted(df.columns)
     want = _rows(columns, expected.fetchall())
