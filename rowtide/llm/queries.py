@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, simhash
-from rowtide.llm.common import table
+from rowtide.llm import bpe, langid, simhash
+from rowtide.llm.common import in_test_fold, table
 
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,9 +22,18 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_test_fold("doc_id", 4, 2)
+    model = langid.fit(docs.filter(~held_out))
+    found = langid.identify(docs, model, spans=False)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,68 @@
+import itertools
+
+import numpy as np
+import pytest
+
+from rowtide.llm import langid
+
+TRAIN = {
+    "en": ["the quick brown fox is jumping over the lazy dog", "this is what they were thinking about the weather"],
+    "de": ["der schnelle braune fuchs springt ueber den faulen hund", "das ist ein schöner tag und wir gehen nach hause"],
+    "ru": ["быстрая коричневая лиса прыгает через ленивую собаку"],
+}
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = [(10 * n + i, t, lang) for n, (lang, ts) in enumerate(TRAIN.items()) for i, t in enumerate(ts)]
+    rows += [(None, "nothing", "en"), (90, None, "en"), (91, "no language", None)]
+    return langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+
+def test_spans_of_a_mixed_text(spark, model):
+    text = "The weather is lazy. Wir gehen nach hause und das ist ein schöner tag; лиса прыгает!"
+    docs = spark.createDataFrame([(1, text, "x")], "doc_id long, text string, spans string")
+    row = langid.identify(docs, model).first()
+    assert [(s["lang"], text[s["start"] : s["end"]]) for s in row["spans"]] == [
+        ("en", "The weather is lazy"),
+        ("de", "Wir gehen nach hause und das ist ein schöner tag"),
+        ("ru", "лиса прыгает"),
+    ]
+    assert row["lang_pred"] == "de" and 0.5 < row["score"] < 1
+
+
+def test_viterbi_against_all_paths(model):
+    texts = ["fox hund the тест über das", "", "quick und", "1 2", "und the"]
+    words = langid.read_words(texts)
+    scores = model.score(words).astype(float)
+    for penalty in (0.0, 3.0, 50.0):
+        label = model.label(words, penalty)
+        for i, j in zip(words.first_word, words.first_word[1:]):
+            def value(path):
+                return sum(scores[i + k, s] for k, s in enumerate(path)) - penalty * sum(a != b for a, b in zip(path, path[1:]))
+            best = max(map(value, itertools.product(range(3), repeat=int(j - i))))
+            assert value(label[i:j]) == pytest.approx(best)
+
+
+def test_odd_rows(spark, model):
+    rows = [(1, None), (2, ""), (3, "12 !?"), (None, "the dog"), (4, "the dog"), (4, "the dog"), (5, "漢字"), (6, "lazy " * 50_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r[0], r[1]) for r in langid.identify(docs, model, spans=False).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, "und"), (2, "und"), (3, "und"), (None, "en"), (4, "en"), (4, "en"), (5, "de"), (6, "en")], key=str)
+
+
+def test_nothing_to_learn(spark):
+    none = langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert [tuple(r) for r in langid.identify(docs, none).collect()] == [(1, "und", 0.0, [])]
+
+
+def test_held_out_accuracy(spark):
+    from rowtide.llm.queries import op9_language_id
+
+    sf = "/root/testdata/sf0.01"
+    found = op9_language_id(spark, sf)
+    truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = found.filter("held_out and lang_pred <> 'und'").join(truth, "doc_id").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
