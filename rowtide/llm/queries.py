@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, langid, simhash, substring
+from rowtide.llm import bpe, langid, mixing, simhash, substring
 from rowtide.llm.common import in_test_fold, table
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_duplicates(table(spark, sf_dir, "documents"), window=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -37,6 +41,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
@@ -46,7 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op5_substring_dedup": r"""
         with words as (
-            select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') as w
+            select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
             from documents
         ),
         wins as (
@@ -54,13 +59,13 @@ ORACLES: dict[str, str] = {
             from words, unnest(range(1, len(w) - 11)) as u(i)
         ),
         firsts as (select win, min(doc_id) as first_id from wins group by win),
-        hit as (select doc_id, unnest(range(i, i + 13)) as at from wins join firsts using (win) where first_id < doc_id),
-        gone as (select distinct doc_id, at from hit),
-        every as (select doc_id, w, unnest(range(1, len(w) + 1)) as at from words),
+        hit as (select doc_id, unnest(range(i, i + 13)) as pos from wins join firsts using (win) where first_id < doc_id),
+        gone as (select distinct doc_id, pos from hit),
+        every as (select doc_id, w, unnest(range(1, len(w) + 1)) as pos from words),
         kept as (
-            select every.doc_id, string_agg(w[every.at], ' ' order by every.at) as text
-            from every left join gone on every.doc_id = gone.doc_id and every.at = gone.at
-            where gone.at is null group by every.doc_id
+            select every.doc_id, string_agg(w[every.pos], ' ' order by every.pos) as text
+            from every left join gone on every.doc_id = gone.doc_id and every.pos = gone.pos
+            where gone.pos is null group by every.doc_id
         )
         select doc_id, cast(len(w) as bigint) as n_words,
             coalesce((select count(*) from gone where gone.doc_id = words.doc_id), 0) as n_removed,
