@@ -6,7 +6,7 @@ two neighbours share a boundary inside their overlap they have resynchronised: a
 what follows its start, so from there on both agree, and the chunks are stitched at that place. Boundaries within
 ``MARGIN`` code points of a chunk's cut end are not trusted, because a match there might have gone on. If an overlap
 holds no common boundary (one endless word), the text is pre-tokenised again from the last trusted boundary. The stitched
-pieces are encoded in parallel and put together per text.
+pieces of a text are then encoded. Chunks and the lengths of their pre-tokens travel compressed.
 
 Null texts are empty; an empty text has no ids. Invalid surrogates cannot occur in Spark strings. Ids are kept packed, as
 little-endian unsigned 32-bit numbers, so that every id of a vocabulary fits and no array of objects is built.
@@ -22,13 +22,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.llm.common import ddl
 
-CHUNK, OVERLAP, MARGIN = 16384, 1024, 8
+CHUNK, OVERLAP, MARGIN = 65536, 1024, 8
 # Pre-tokens whose ids a task remembers, and the longest of them.
 REMEMBERED, REMEMBERED_CHARS = 400_000, 64
 
@@ -55,10 +56,25 @@ class _Pieces(dict):
             self[piece] = packed
         return packed
 
+    @classmethod
+    def of_task(cls, ranks) -> _Pieces:
+        """One for all groups of a task: kept with the broadcast value, which lives as long as the task."""
+        if not hasattr(ranks, "pieces"):
+            ranks.pieces = cls(ranks.value)
+        return ranks.pieces
+
     def encode(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
 
 
+def _press(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _open(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _binary(values) -> pa.Array:
     return pa.array(values, pa.binary())
 
@@ -124,16 +140,10 @@ def encode(
     kind = ddl(rows, "id")
     short = rows.filter(F.length("text") <= chunk).mapInArrow(_encode_rows(ranks, pattern), f"id {kind}, ids binary")
     numbered = rows.filter(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
-    cut = numbered.mapInArrow(_cut(chunk, overlap), f"id {kind}, row long, start long, text string")
+    cut = numbered.mapInArrow(_cut(chunk, overlap), f"id {kind}, row long, start long, text binary")
     scattered = cut.repartition("row", "start")
-    found = scattered.mapInArrow(_pretokenise(pattern), f"id {kind}, row long, start long, text string, ends binary")
-    stitched = found.groupBy("row").applyInArrow(
-        _stitch_rows(pattern), f"id {kind}, row long, part int, text string, ends binary"
-    )
-    encoded = stitched.repartition("row", "part").mapInArrow(
-        _encode_parts(ranks), f"id {kind}, row long, part int, ids binary"
-    )
-    long = encoded.groupBy("row").applyInArrow(_join_parts, f"id {kind}, ids binary")
+    found = scattered.mapInArrow(_pretokenise(pattern), f"id {kind}, row long, start long, text binary, lengths binary")
+    long = found.groupBy("row").applyInArrow(_encode_stitched(ranks, pattern), f"id {kind}, ids binary")
     return short.unionByName(long).select(F.col("id").alias(id_col), "ids")
 
 
@@ -159,7 +169,7 @@ def _cut(chunk, overlap):
                 same = pa.array([0] * len(starts))
                 yield pa.RecordBatch.from_arrays(
                     [one.column("id").take(same), one.column("row").take(same), pa.array(starts, pa.int64()),
-                     pa.array([text[s : s + chunk] for s in starts], pa.string())],
+                     _binary([_press(text[s : s + chunk].encode()) for s in starts])],
                     ["id", "row", "start", "text"],
                 )
 
@@ -170,52 +180,33 @@ def _pretokenise(pattern):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         for batch in batches:
-            starts, texts = batch.column("start").to_pylist(), batch.column("text").to_pylist()
-            ends = [boundaries(find, t, s).tobytes() for s, t in zip(starts, texts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _binary(ends)], [*batch.schema.names, "ends"])
+            lengths = []
+            for text in batch.column("text").to_pylist():
+                found = find(_open(text).decode())
+                lengths.append(_press(np.fromiter(map(len, found), np.uint32, len(found)).tobytes()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _binary(lengths)], [*batch.schema.names, "lengths"])
 
     return run
 
 
-def _stitch_rows(pattern):
+def _encode_stitched(ranks, pattern):
+    """The chunks of one text."""
+
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("start")
-        starts, texts, ends = (group.column(c).to_pylist() for c in ("start", "text", "ends"))
-        chunks = [(s, t, np.frombuffer(e, np.int64)) for s, t, e in zip(starts, texts, ends)]
-        parts = stitch(chunks, regex.compile(pattern).findall)
-        same = pa.array([0] * len(parts))
-        return pa.table(
-            {
-                "id": group.column("id").take(same),
-                "row": group.column("row").take(same),
-                "part": pa.array([p for p, _, _ in parts], pa.int32()),
-                "text": pa.array([t for _, t, _ in parts], pa.string()),
-                "ends": _binary([e.tobytes() for _, _, e in parts]),
-            }
-        )
+        chunks = []
+        for start, text, lengths in zip(*(group.column(c).to_pylist() for c in ("start", "text", "lengths"))):
+            ends = np.cumsum(np.frombuffer(_open(lengths), np.uint32), dtype=np.int64) + start
+            chunks.append((start, _open(text).decode(), ends))
+        pieces, ids = _Pieces.of_task(ranks), []
+        for _, text, ends in stitch(chunks, regex.compile(pattern).findall):
+            ends = ends.tolist()
+            ids.append(pieces.encode([text[a:b] for a, b in zip([0, *ends], ends)]))
+        return pa.table({"id": group.column("id").slice(0, 1), "ids": _binary([b"".join(ids)])})
 
     return run
 
 
-def _encode_parts(ranks):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _Pieces(ranks.value)
-        for batch in batches:
-            ids = []
-            for text, packed in zip(batch.column("text").to_pylist(), batch.column("ends").to_pylist()):
-                ends = np.frombuffer(packed, np.int64).tolist()
-                ids.append(pieces.encode([text[a:b] for a, b in zip([0, *ends], ends)]))
-            columns = [batch.column("id"), batch.column("row"), batch.column("part"), _binary(ids)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "row", "part", "ids"])
-
-    return run
-
-
-def _join_parts(group: pa.Table) -> pa.Table:
-    group = group.sort_by("part")
-    return pa.table({"id": group.column("id").slice(0, 1), "ids": _binary([b"".join(group.column("ids").to_pylist())])})
-
-
 def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "ids", name: str = "bytes") -> DataFrame:
     """Adds the bytes that the packed ids of a row stand for, joined in order. Null ids stay null; an id that is not in
     the vocabulary fails the job."""
