@@ -8,6 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.window import Window
+
+from rowtide.functions.lists import broadcast_if_short
 from rowtide.tables.folders import shared_folder
 
 # A slice of a batch that is turned into Python objects at a time.
@@ -56,3 +59,16 @@ def ddl(df: DataFrame, column: str) -> str:
 def in_test_fold(id_col: str, folds: int, fold: int):
     """Whether a row belongs to a held-out fold, by the CRC-32 of its id as text."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold
+
+
+def bounded_sample(rows: DataFrame, id_col: str, by: str, count: int) -> DataFrame:
+    """``id_col, by`` of at most ``count`` rows of every value of ``by``, those whose id has the smallest hash.
+
+    A value with more rows is first cut to about twice ``count`` by a bound on the hash, so that no task gathers more.
+    """
+    named = rows.filter(F.col(by).isNotNull() & F.col(id_col).isNotNull()).select(id_col, by)
+    sizes = named.groupBy(by).agg(F.count(F.lit(1)).alias("__size"))
+    low = (F.xxhash64(id_col) / F.lit(2.0**64) + 0.5) * F.col("__size") <= 2 * count
+    near = named.join(broadcast_if_short(stored(sizes, "sample-sizes")), by).filter(low)
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.xxhash64(id_col), id_col))
+    return near.withColumn("__rank", rank).filter(F.col("__rank") <= count).select(id_col, by)

@@ -20,10 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rowtide.functions.lists import broadcast_if_short
-from rowtide.llm.common import ddl, stored
+from rowtide.llm.common import bounded_sample, ddl, stored
 
 # Scripts and their main ranges of code points. What lies in none of them is script 0, "other".
 SCRIPTS = (
@@ -163,13 +162,6 @@ class Model:
         return label
 
 
-def training_sample(docs: DataFrame, id_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The ids of at most ``per_language`` rows of every language, those whose hash is smallest."""
-    by_hash = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, lang_col)
-    return labelled.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= per_language).drop("rank")
-
-
 def fit(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -178,7 +170,7 @@ def fit(
     per_language: int = PER_LANGUAGE,
 ) -> Model:
     """Learn from rows with a language. Without any the model knows no language and labels everything ``und``."""
-    sample = stored(training_sample(docs, id_col, lang_col, per_language), "langid-sample").distinct()
+    sample = stored(bounded_sample(docs, id_col, lang_col, per_language), "langid-sample").distinct()
     texts = docs.select(id_col, lang_col, text_col).join(broadcast_if_short(sample), [id_col, lang_col], "left_semi")
     size = len(SCRIPTS) + 1 + FEATURES
 
