@@ -226,12 +226,22 @@ def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "ids", name: str =
     return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField(name, T.BinaryType())]))
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", **cut):
-    """``<id_col>, n_tokens, ids_sha256, decoded_sha256``: a text encoded, and the ids decoded again."""
+def digests(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    ids: bool = False,
+    **cut: int,
+) -> DataFrame:
+    """``<id_col>, n_tokens, ids_sha256, decoded_sha256``: a text encoded, and the ids decoded again. With ``ids`` the
+    packed ids as well."""
     both = decode(encode(docs, ranks_path, pattern, id_col, text_col, **cut), ranks_path)
     return both.select(
         id_col,
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
+        *["ids"] * ids,
     )

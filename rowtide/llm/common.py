@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql.window import Window
@@ -39,6 +39,11 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
     )
 
 
+def carried_row(docs: DataFrame, carry: bool) -> list[Column]:
+    """The whole row as one struct column ``row``, so that no column name can clash; or nothing."""
+    return [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []
+
+
 def per_slice(
     work: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = ROWS_AT_A_TIME
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.lists import broadcast_if_short
-from rowtide.llm.common import bounded_sample, ddl, stored
+from rowtide.llm.common import bounded_sample, carried_row, ddl, stored
 
 # Scripts and their main ranges of code points. What lies in none of them is script 0, "other".
 SCRIPTS = (
@@ -230,17 +230,20 @@ def identify(
     text_col: str = "text",
     penalty: float = SWITCH_PENALTY,
     spans: bool = True,
+    carry: bool = False,
 ) -> DataFrame:
     """``<id_col>, lang_pred, score`` and ``spans`` (array of start, end, lang in code points) for every row.
 
     ``lang_pred`` is the language of most letters (ties: the first by name) and ``score`` its share of them. A text
     that is null or has no letter is ``und`` with score 0 and no spans. Null ids and repeated rows are kept, other
-    columns are not looked at, an empty table gives no rows.
+    columns are not looked at, an empty table gives no rows. With ``carry`` the whole row comes along as a struct
+    ``row``.
     """
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    text = docs[text_col].cast("string").alias("text")
+    rows = docs.select(docs[id_col].alias("id"), text, *carried_row(docs, carry))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
-    names = ["id", "lang_pred", "score", "spans"][: 4 if spans else 3]
+    names = ["id", "lang_pred", "score", *["spans"] * spans, *["row"] * carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = shared.value
@@ -263,8 +266,10 @@ def identify(
                         if spans:
                             found.append(_spans(label[i:j], words.starts[i:j], words.lengths[i:j], known.languages))
                     columns = [batch.column("id").slice(a, b - a), pa.array(langs, pa.string()), pa.array(shares, pa.float64())]
-                    yield pa.RecordBatch.from_arrays(columns + [pa.array(found, kind)] * spans, names)
+                    columns += [pa.array(found, kind)] * spans + ([batch.column("row").slice(a, b - a)] if carry else [])
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"id {ddl(rows, 'id')}, lang_pred string, score double"
     schema += ", spans array<struct<start: bigint, end: bigint, lang: string>>" if spans else ""
+    schema += f", row {ddl(rows, 'row')}" if carry else ""
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import id_and_text
+from rowtide.llm.common import carried_row, ddl, id_and_text
 
 WINDOW = 13
 # Words sent on together by a task, bytes hashed at a time.
@@ -237,8 +237,8 @@ def _pack_texts(groups: int):
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             texts = [None if not t.is_valid else press(t.as_py()) for t in batch.column(1)]
-            columns = [pa.array(_group_of(ids, groups)), batch.column(0), pa.array(texts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["grp", "id", "text"])
+            columns = [pa.array(_group_of(ids, groups)), batch.column(0), pa.array(texts, pa.binary()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["grp", "id", "text", *batch.schema.names[2:]])
 
     return run
 
@@ -248,7 +248,7 @@ def _spans(covered: np.ndarray) -> list[dict]:
     return [{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2])]
 
 
-def _remove(window: int):
+def _remove(window: int, verbatim: bool):
     """The documents of a group and the windows to remove from them."""
 
     def run(texts: pa.Table, removals: pa.Table) -> pa.Table:
@@ -279,17 +279,26 @@ def _remove(window: int):
             out["id"].append(doc)
             out["n_words"].append(len(words))
             out["n_removed"].append(int(covered.sum()))
-            out["kept"].append(b" ".join(compress(words, (~covered).tolist()) if covered.any() else words))
+            if verbatim and not covered.any():
+                out["kept"].append(text if packed.is_valid else None)
+            else:
+                out["kept"].append(b" ".join(compress(words, (~covered).tolist())))
             out["spans"].append(_spans(covered))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(),
                  pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
-        return pa.table({n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)})
+        found = {n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)}
+        return pa.table(found | {n: texts.column(n) for n in texts.schema.names[3:]})
 
     return run
 
 
 def remove_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    verbatim: bool = False,
+    carry: bool = False,
 ) -> DataFrame:
     """``<id_col>, n_words, n_removed, kept, spans`` for every row of ``docs``.
 
@@ -298,19 +307,27 @@ def remove_duplicates(
     ranges of word numbers. What a document repeats in itself stays. A null or empty text has no words. A row without id
     takes no part and keeps its words. Rows that repeat an id do not remove each other's words. Other columns are not
     looked at, an empty table gives no rows.
+
+    With ``verbatim`` a text that loses nothing stays as it is, white space and null included. With ``carry`` the whole
+    row comes along as a struct ``row``.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
+    whole = docs.select(
+        docs[id_col].cast("long").alias("id"),
+        docs[text_col].cast("string").cast("binary").alias("text"),
+        *carried_row(docs, carry),
+    )
+    more = f", row {ddl(whole, 'row')}" if carry else ""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, min(30, (size // BUCKET_BYTES).bit_length()))
     groups = max(256, size // GROUP_BYTES)
     sent = rows.mapInArrow(_send(window, bits, groups), _SENT)
     by_bucket = sent.repartition("bucket").sortWithinPartitions("bucket")
     removed = by_bucket.mapInArrow(_look_up(bits, groups), _REMOVED)
-    texts = rows.mapInArrow(_pack_texts(groups), "grp int, id long, text binary")
+    texts = whole.mapInArrow(_pack_texts(groups), f"grp int, id long, text binary{more}")
     kept = texts.groupBy("grp").cogroup(removed.groupBy("grp")).applyInArrow(
-        _remove(window),
-        "id long, n_words long, n_removed long, kept binary, spans array<struct<start: int, end: int>>",
-    )
-    return kept.select(
-        F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), "spans"
+        _remove(window, verbatim),
+        f"id long, n_words long, n_removed long, kept binary, spans array<struct<start: int, end: int>>{more}",
     )
+    text = F.col("kept").cast("string").alias("kept")
+    return kept.select(F.col("id").alias(id_col), "n_words", "n_removed", text, "spans", *["row"] * carry)

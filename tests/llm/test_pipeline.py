@@ -1,0 +1,83 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from rowtide.llm import bpe
+from tests.llm.test_simhash import brute as near_groups
+from tests.llm.test_substring import brute as without_passages
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in rows], SCHEMA)
+
+
+def prose(rng, count):
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt"]
+    return " ".join("".join(rng.choice(syllables, rng.integers(1, 4))) for _ in range(count))
+
+
+def corpus():
+    rng = np.random.default_rng(11)
+    rows = [(i, prose(rng, 120), f"s{i % 3}") for i in range(40)]
+    rows += [(100 + i, rows[i][1], "s0") for i in range(5)]
+    passage = prose(rng, 60)
+    rows += [(200 + i, f"{prose(rng, 80)} {passage} {prose(rng, 80)}", "s1") for i in range(6)]
+    rows += [(300, "12 34 !?", "s1"), (301, None, "s2"), (302, "", None), (None, prose(rng, 50), "s2"), (3, rows[3][1], "s0")]
+    return rows
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    rows = corpus()
+    expected = [r for r in rows if re.search("[a-z]", r[1] or "")]
+    step = STAGES["language ID"](spark, frame(spark, rows), "")
+    assert step.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted(map(str, step.select("doc_id", "text", "source").collect())) == sorted(
+        f"Row(doc_id={d!r}, text={t!r}, source={s!r})" for d, t, s in expected)
+
+    groups = {d: c for d, _, c in near_groups([(d, t) for d, t, _ in expected])}
+    expected = list(dict.fromkeys(r for r in expected if r[0] is None or groups[r[0]] == r[0]))
+    assert len(expected) < 50
+    step = STAGES["SimHash near-dedup"](spark, step, "")
+    assert sorted(map(str, step.select("doc_id", "text").collect())) == sorted(
+        f"Row(doc_id={d!r}, text={t!r})" for d, t, _ in expected)
+
+    kept = {d: (n, t) for d, _, n, t in without_passages([(d, t) for d, t, _ in expected], 13)}
+    expected = [(d, kept[d][1] if kept[d][0] else t, s) for d, t, s in expected]
+    assert sum(n > 0 for n, _ in kept.values()) == 5
+    step = STAGES["substring dedup"](spark, step, "")
+    assert sorted(map(str, step.select("doc_id", "text", "source", "n_chars").collect())) == sorted(
+        f"Row(doc_id={d!r}, text={t!r}, source={s!r}, n_chars={len(t)})" for d, t, s in expected)
+
+    path = str(tmp_path / "mixed")
+    STAGES["mixing sources to target weights"](spark, step, "").write.parquet(path)
+    step = spark.read.parquet(path)
+    assert sorted(map(str, step.select("doc_id", "text", "source").collect())) == sorted(
+        f"Row(doc_id={d!r}, text={t!r}, source={s!r})" for d, t, s in expected)
+
+    encoding = tiktoken.Encoding("own", pat_str=corpus_pipeline.public_tokenizers.PATTERN,
+                                 mergeable_ranks=bpe.read_ranks(corpus_pipeline.RANKS), special_tokens={})
+    got = STAGES["byte-level BPE encoding and decoding"](spark, step, "").collect()
+    packed = {d: np.array(encoding.encode_ordinary(t), "<u4").tobytes() for d, t, _ in expected}
+    assert len(got) == len(expected)
+    for row in got:
+        text = next(t for d, t, _ in expected if d == row["doc_id"])
+        assert bytes(row["ids"]) == packed[row["doc_id"]] and row["n_tokens"] * 4 == len(row["ids"])
+        assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stage_on_an_empty_table(spark, name):
+    assert STAGES[name](spark, frame(spark, []), "").count() == 0
+
+
+def test_extra_columns_pass_through(spark):
+    docs = frame(spark, [(1, "some words", "a")]).selectExpr("*", "'x' as row", "1 as position", "2 as kept", "3 as score")
+    for stage in list(STAGES.values())[:-1]:
+        assert stage(spark, docs, "").columns == docs.columns
