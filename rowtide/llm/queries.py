@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, langid, mixing, omh, simhash, substring
+from rowtide.llm import bpe, langid, mixing, omh, simhash, substring, toxicity
 from rowtide.llm.common import in_test_fold, table
 
 
@@ -16,6 +16,15 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_test_fold("doc_id", 5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -46,6 +55,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
