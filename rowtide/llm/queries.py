@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import bpe, langid, mixing, omh, simhash, substring, toxicity
+from rowtide.llm import ann, bpe, langid, mixing, omh, simhash, substring, toxicity
 from rowtide.llm.common import in_test_fold, table
 
 
@@ -45,6 +45,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op8_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = in_test_fold("doc_id", 4, 2)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_language_id": op9_language_id,
 }
 
