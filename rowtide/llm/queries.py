@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import ann, bpe, langid, mixing, omh, simhash, substring, toxicity
+from rowtide.llm import ann, bpe, langid, mixing, omh, simhash, substring, toxicity, warc
 from rowtide.llm.common import in_test_fold, table
+from rowtide.tables.folders import shared_folder
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_language_id": op9_language_id,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -92,4 +100,19 @@ ORACLES: dict[str, str] = {
             sha256(coalesce((select text from kept where kept.doc_id = words.doc_id), '')) as kept_sha256
         from words
     """,
+    "op10_warc": r"""
+        with p as (select page_id, coalesce(html, '') as html from pages),
+        k as (select html, max(page_id) as keeper from p group by html),
+        d as (
+            select page_id, strlen(p.html) as payload_bytes, sha1(p.html) as h, keeper
+            from p join k on p.html = k.html
+        )
+        select page_id, payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                ((cast('0x' || substr(h, cast(i // 4 * 5 + 1 as int), 5) as bigint) >> (15 - i % 4 * 5)) & 31) + 1, 1)), '')
+                as payload_digest,
+            case when page_id is not distinct from keeper then 'response' else 'revisit' end as record_type,
+            case when page_id is distinct from keeper then keeper end as refers_to
+        from d
+    """,
 }
