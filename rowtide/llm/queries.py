@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import ann, bpe, langid, mixing, omh, simhash, substring, toxicity, warc
+from rowtide.llm import ann, bpe, chat, langid, mixing, omh, simhash, substring, toxicity, warc
 from rowtide.llm.common import in_test_fold, table
 from rowtide.tables.folders import shared_folder
 
@@ -30,6 +30,19 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    messages = rows.unionByName(probe).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.digests(chat.format_chats(messages))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_duplicates(table(spark, sf_dir, "documents"), window=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -68,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
@@ -76,7 +90,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
+def _escaped_length(column: str) -> str:
+    """SQL for the length of an escaped text: a backslash more for each backslash and each control string."""
+    counts = [f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ("\\", *chat.CONTROL)]
+    return " + ".join([f"length({column})", *counts])
+
+
 ORACLES: dict[str, str] = {
+    "op4_chat_formatting": f"""
+        with said as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ),
+        chats as (
+            select conv_id, count(*) as n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as turns,
+                coalesce(string_agg(text, '' order by turn nulls first, role, text)
+                    filter (where role = 'assistant'), '') as loss,
+                sum({_escaped_length("role")} + {_escaped_length("text")} + {len(chat.TURN + chat.TEXT + chat.END)}) as size
+            from said group by conv_id
+        )
+        select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+            cast(size as bigint) as formatted_chars
+        from chats
+    """,
     "op5_substring_dedup": r"""
         with words as (
             select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
