@@ -35,8 +35,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that loses all its words stays as an empty one."""
     found = substring.remove_duplicates(docs, window=13, verbatim=True, carry=True)
     changed = F.col("n_removed") > 0
-    columns = {c: F.col(f"row.{c}") for c in docs.columns}
-    columns["text"] = F.col("kept")
+    columns = {c: F.col("kept") if c == "text" else F.col(f"row.{c}") for c in docs.columns}
     columns["n_chars"] = F.when(changed, F.length("kept")).otherwise(F.col("row.n_chars")).cast("long")
     return found.select(*(value.alias(name) for name, value in columns.items()))
 

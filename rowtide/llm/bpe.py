@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.llm.common import ddl
+from rowtide.llm.common import ddl, small_batches
 
 CHUNK, OVERLAP, MARGIN = 65536, 1024, 8
 # Pre-tokens whose ids a task remembers, and the longest of them.
@@ -136,7 +136,7 @@ def encode(
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    rows = docs.select(docs[id_col].alias("id"), text.alias("text"))
+    rows = small_batches(docs).select(docs[id_col].alias("id"), text.alias("text"))
     kind = ddl(rows, "id")
     short = rows.filter(F.length("text") <= chunk).mapInArrow(_encode_rows(ranks, pattern), f"id {kind}, ids binary")
     numbered = rows.filter(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())

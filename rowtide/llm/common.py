@@ -15,6 +15,8 @@ from rowtide.tables.folders import shared_folder
 
 # A slice of a batch that is turned into Python objects at a time.
 ROWS_AT_A_TIME = 256
+# Rows of an Arrow batch of texts.
+BATCH_ROWS = 512
 
 
 def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -34,14 +36,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only what an operator reads, so that other columns are neither scanned nor in the way."""
-    return docs.select(
+    return small_batches(docs).select(
         docs[id_col].alias("id"), docs[text_col].cast("string").cast("binary").alias("text"), *(docs[c] for c in more)
     )
 
 
-def carried_row(docs: DataFrame, carry: bool) -> list[Column]:
-    """The whole row as one struct column ``row``, so that no column name can clash; or nothing."""
-    return [F.struct(*(docs[c] for c in docs.columns)).alias("row")] if carry else []
+def carried_row(docs: DataFrame, carry: bool, without: str | None = None) -> list[Column]:
+    """The row as one struct column ``row``, so that no column name can clash; or nothing."""
+    return [F.struct(*(docs[c] for c in docs.columns if c != without)).alias("row")] if carry else []
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """Send texts to Python in batches of few rows: the size of a batch is memory a task holds several times over. A
+    smaller number that the session has is left alone."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return docs
 
 
 def per_slice(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.lists import broadcast_if_short
-from rowtide.llm.common import bounded_sample, carried_row, ddl, stored
+from rowtide.llm.common import bounded_sample, carried_row, ddl, small_batches, stored
 
 # Scripts and their main ranges of code points. What lies in none of them is script 0, "other".
 SCRIPTS = (
@@ -171,7 +171,7 @@ def fit(
 ) -> Model:
     """Learn from rows with a language. Without any the model knows no language and labels everything ``und``."""
     sample = stored(bounded_sample(docs, id_col, lang_col, per_language), "langid-sample").distinct()
-    texts = docs.select(id_col, lang_col, text_col).join(broadcast_if_short(sample), [id_col, lang_col], "left_semi")
+    texts = small_batches(docs).select(id_col, lang_col, text_col).join(broadcast_if_short(sample), [id_col, lang_col], "left_semi")
     size = len(SCRIPTS) + 1 + FEATURES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +240,8 @@ def identify(
     ``row``.
     """
     text = docs[text_col].cast("string").alias("text")
-    rows = docs.select(docs[id_col].alias("id"), text, *carried_row(docs, carry))
+    # a carried row has the text in it
+    rows = small_batches(docs).select(docs[id_col].alias("id"), *(carried_row(docs, True) if carry else [text]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
     names = ["id", "lang_pred", "score", *["spans"] * spans, *["row"] * carry]
@@ -250,7 +251,8 @@ def identify(
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
+                column = batch.column("row").field(text_col) if carry else batch.column("text")
+                texts = ["" if t is None else str(t) for t in column.to_pylist()]
                 for a, b in _batches(texts):
                     words = read_words(texts[a:b])
                     label = known.label(words, penalty) if known.languages else None

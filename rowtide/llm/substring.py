@@ -28,7 +28,7 @@ from rowtide.llm.common import carried_row, ddl, id_and_text
 
 WINDOW = 13
 # Words sent on together by a task, bytes hashed at a time.
-PORTION, SEGMENT = 1_500_000, 2_000_000
+PORTION, SEGMENT = 600_000, 1_000_000
 # Sizes for a bucket of the index and for a group of documents, in bytes of text.
 BUCKET_BYTES, GROUP_BYTES = 4_000_000, 4_000_000
 
@@ -308,14 +308,14 @@ def remove_duplicates(
     takes no part and keeps its words. Rows that repeat an id do not remove each other's words. Other columns are not
     looked at, an empty table gives no rows.
 
-    With ``verbatim`` a text that loses nothing stays as it is, white space and null included. With ``carry`` the whole
-    row comes along as a struct ``row``.
+    With ``verbatim`` a text that loses nothing stays as it is, white space and null included. With ``carry`` the rest of
+    the row comes along as a struct ``row``.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
     whole = docs.select(
         docs[id_col].cast("long").alias("id"),
         docs[text_col].cast("string").cast("binary").alias("text"),
-        *carried_row(docs, carry),
+        *carried_row(docs, carry, without=text_col),
     )
     more = f", row {ddl(whole, 'row')}" if carry else ""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.lists import broadcast_if_short
-from rowtide.llm.common import bounded_sample, ddl, stored
+from rowtide.llm.common import bounded_sample, ddl, small_batches, stored
 
 ORDERS = (3, 4, 5)
 BITS = 17
@@ -187,7 +187,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     A null text counts as empty and gets the score of having no feature. Null ids and repeated rows stay, other columns
     are not looked at, an empty table gives no rows.
     """
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    rows = small_batches(docs).select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
