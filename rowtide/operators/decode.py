@@ -45,10 +45,26 @@ def _scalars_as_text(image: T.StructType) -> T.StructType:
 
 def _try_casts(image: Column, schema: T.StructType) -> Column:
     return F.when(
-        image.isNotNull(), F.struct(*(image[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields))
+        image.isNotNull(), F.struct(*(_scalar(image[f.name], f.dataType).alias(f.name) for f in schema.fields))
     )
 
 
+def _scalar(text: Column, kind: T.DataType) -> Column:
+    """A scalar read as text, null where it is not a value of ``kind``: whole numbers take no fraction."""
+    value = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        value = F.when(F.trim(text).rlike(r"^[+-]?\d+$"), value)
+    return value
+
+
+def _lost(image: Column, schema: T.StructType) -> Column:
+    """Whether a value is there that the cast could not keep."""
+    lost = F.lit(False)
+    for f in schema.fields:
+        lost = lost | (image[f.name].isNotNull() & _scalar(image[f.name], f.dataType).isNull())
+    return F.coalesce(lost, F.lit(False))
+
+
 def envelope_schema(image: T.StructType | str) -> T.StructType:
     image = _as_struct(image)
     payload = T.StructType(
@@ -67,7 +83,8 @@ def parse(feed: DataFrame, image: T.StructType | str, lenient: bool = False) ->
     """Every feed row with ``before, after, source, op, ts_ms`` and ``reason``; nothing is dropped.
 
     Missing image fields are null and unknown ones are ignored. A value of the wrong type makes the event malformed;
-    ``lenient`` reads scalars as text and casts them, so ``"1"`` is accepted for an integer.
+    ``lenient`` reads scalars as text and casts them, so ``"1"`` is accepted for an integer. A value that the cast
+    cannot keep (``"abc"``, ``1.7`` or ``true`` for an integer) makes the event malformed there too.
     """
     target = _as_struct(image)
     read_as = _scalars_as_text(target) if lenient else target
@@ -75,14 +92,17 @@ def parse(feed: DataFrame, image: T.StructType | str, lenient: bool = False) ->
     # inline() keeps later filters above the parse. A plain projection would be merged into them and parse twice.
     events = feed.select("*", F.inline(F.array(parsed)))
     value, op = F.col("value"), F.col("payload.op")
+    before, after = F.col("payload.before"), F.col("payload.after")
+    malformed = F.col(_CORRUPT).isNotNull()
+    if lenient:
+        malformed = malformed | _lost(before, target) | _lost(after, target)
     reason = (
         F.when(value.isNull(), TOMBSTONE)
         .when(F.trim(value) == "", BLANK)
-        .when(F.col(_CORRUPT).isNotNull(), MALFORMED)
+        .when(malformed, MALFORMED)
         .when(op.isNull(), NO_OP)
         .otherwise(OK)
     )
-    before, after = F.col("payload.before"), F.col("payload.after")
     if lenient:
         before, after = _try_casts(before, target), _try_casts(after, target)
     return events.select(
@@ -122,15 +142,19 @@ def with_routing_reason(parsed: DataFrame, required: tuple[str, ...]) -> DataFra
     )
 
 
-def quarantine(feed: DataFrame, image: T.StructType | str, required: tuple[str, ...] = ()) -> DataFrame:
+def quarantine(
+    feed: DataFrame, image: T.StructType | str, required: tuple[str, ...] = (), lenient: bool = False
+) -> DataFrame:
     """The refused rows of a feed with their raw text and the reason."""
-    parsed = with_routing_reason(parse(feed, image), required)
+    parsed = with_routing_reason(parse(feed, image, lenient), required)
     return parsed.filter(F.col("reason") != OK).select(*feed.columns, "reason")
 
 
-def reject_counts(feed: DataFrame, image: T.StructType | str, required: tuple[str, ...] = ()) -> DataFrame:
+def reject_counts(
+    feed: DataFrame, image: T.StructType | str, required: tuple[str, ...] = (), lenient: bool = False
+) -> DataFrame:
     """``reason, events``: how many rows of a feed are refused, and why."""
-    return quarantine(feed, image, required).groupBy("reason").agg(F.count(F.lit(1)).alias("events"))
+    return quarantine(feed, image, required, lenient).groupBy("reason").agg(F.count(F.lit(1)).alias("events"))
 
 
 def observe_rejects(parsed: DataFrame, observation: Observation | str) -> DataFrame:

@@ -10,17 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowtide.spec import COMMIT, DELETED, POSITION, TableSpec
+from rowtide.spec import COMMIT, DELETED, POSITION, SRC_FILE, TableSpec
 
 POLICIES = ("commit", "event")
 
 
+def in_order(columns: Sequence[str]) -> list[Column]:
+    """What to compare, largest last. Log files count up in their suffix, so ``log.1000000`` comes after ``log.999999``;
+    their text breaks ties."""
+    number = F.regexp_extract(SRC_FILE, r"\.(\d+)$", 1).try_cast("decimal(38,0)")
+    return [c for name in columns for c in ([number, F.col(name)] if name == SRC_FILE else [F.col(name)])]
+
+
 def _pick_first(records: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    newest_first = Window.partitionBy(*group).orderBy(*(F.col(c).desc_nulls_last() for c in order))
+    newest_first = Window.partitionBy(*group).orderBy(*(c.desc_nulls_last() for c in in_order(order)))
     return records.withColumn("__rank", F.row_number().over(newest_first)).filter("__rank = 1").drop("__rank")
 
 
@@ -57,10 +64,17 @@ def changelog_until(records: DataFrame, spec: TableSpec, floor, policy: str = "c
     """Retention: the versions needed to read the table as of any commit at or after ``floor``.
 
     These are all versions after the floor and, per key, the one that was current at the floor. ``floor`` is an
-    instant or a scalar column. Each side is a filter on the commit, so a stored log is read once, in two parts, and
-    no key's history is gathered. Deletes at or before the floor go too, except under ``policy="event"``, where they
-    still hold back late records.
+    instant or a scalar column. Commits up to the floor count as one, so a single pick per key and commit gives both.
+    Deletes at or before the floor go too, except under ``policy="event"``, where they still hold back late records.
     """
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
     floor = F.lit(floor) if isinstance(floor, str) else floor
-    at_floor = fold(records.filter(F.col(COMMIT) <= floor), spec, policy, keep_deletes=policy == "event")
-    return at_floor.unionByName(combine(records.filter(F.col(COMMIT) > floor), spec))
+    order = (spec.order_by, *POSITION)
+    if policy == "commit":
+        order = (COMMIT, *order)
+    split = records.withColumn("__after", F.when(F.col(COMMIT) > floor, F.col(COMMIT)))
+    kept = _pick_first(split, (*spec.scope, "__after"), order)
+    if policy == "commit":
+        kept = kept.filter(F.col("__after").isNotNull() | ~F.col(DELETED))
+    return kept.drop("__after")

@@ -40,6 +40,25 @@ def with_meta(combined: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.withColumn(SEQNO, seqno).select(COMMIT, SEQNO, RECORD_KEY, PARTITION_PATH, *rest)
 
 
+def with_read_meta(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows read from a stored table with the columns about them in front, and ``_file_name`` if it was read.
+
+    ``_commit_seqno`` is the commit and the front of the digest of key and partition: it says which change a row is, is
+    the same in every read, and needs no numbering, hence no shuffle.
+    """
+    place = F.concat_ws("/", partition_path(spec), record_key(spec))
+    digest = F.substring(F.md5(place.cast("binary")), 1, 16)
+    front = [F.col(FILE_NAME)] if FILE_NAME in rows.columns else []
+    return rows.select(
+        COMMIT,
+        F.concat_ws("_", COMMIT, digest).alias(SEQNO),
+        record_key(spec).alias(RECORD_KEY),
+        partition_path(spec).alias(PARTITION_PATH),
+        *front,
+        *(c for c in rows.columns if c not in (COMMIT, FILE_NAME)),
+    )
+
+
 def with_file_name(stored: DataFrame) -> DataFrame:
     """Add ``_file_name``, the file each row of a stored table comes from."""
     return stored.withColumn(FILE_NAME, F.col("_metadata.file_name"))

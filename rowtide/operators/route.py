@@ -52,7 +52,7 @@ def to_records(
 ) -> DataFrame:
     """Records of parsed events (``decode.parse`` or ``decode.decode``).
 
-    A record has the image columns, ``is_deleted``, the source position and ``_commit_time``. Events with another
+    A record has the image columns, ``is_deleted``, the position in the source (or in the feed) and ``_commit_time``. Events with another
     operation or an incomplete key are left out; ``decode.quarantine`` returns them. ``commit`` is a column over the
     events, an instant, or None for the time of the running batch. With ``follow_moves`` an update that changes the
     partition also deletes the row in the old partition.
@@ -67,13 +67,19 @@ def to_records(
         left_behind = F.struct(*_record(F.col("before"), F.lit(True), spec))
         both = F.when((op == "u") & _moved(spec), F.array(F.struct(*own), left_behind))
         own = [F.inline(both.otherwise(F.array(F.struct(*own))))]
-    return routed.select(
-        *own,
-        F.col("source.file").alias(SRC_FILE),
-        F.col("source.pos").alias(SRC_POS),
-        F.col("source.row").alias(SRC_ROW),
-        COMMIT,
-    )
+    return routed.select(*own, *_position(parsed), COMMIT)
+
+
+def _position(parsed: DataFrame) -> list[Column]:
+    """Where a change stood in its source. Events without a ``source`` block take their place in the feed, if the feed
+    has one: partition and offset."""
+    file, pos = F.col("source.file"), F.col("source.pos")
+    if "offset" in parsed.columns:
+        placeless = file.isNull() & pos.isNull()
+        pos = F.when(placeless, F.col("offset").cast("long")).otherwise(pos)
+        if "partition" in parsed.columns:
+            file = F.when(placeless, F.concat(F.lit("partition."), F.col("partition").cast("string"))).otherwise(file)
+    return [file.alias(SRC_FILE), pos.alias(SRC_POS), F.col("source.row").alias(SRC_ROW)]
 
 
 def _record(row: Column, deleted: Column, spec: TableSpec) -> list[Column]:

@@ -67,6 +67,14 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("rows", commits.scalar().alias("commits"), "updated")
 
 
+def retained_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions that are left of the orders after the oldest commit was given up, marked by ``version``."""
+    table = stored_orders(spark, sf_dir)
+    table.retain(2)
+    kept = [table.as_of(c).withColumn("version", F.lit(c)) for c in (INSERTED, UPDATED)]
+    return kept[0].unionByName(kept[1]).select("version", "o_orderkey", "o_totalprice", COMMIT)
+
+
 def limited_update(spark: SparkSession, sf_dir: str, limit: int = 10) -> DataFrame:
     """All orders, after an update of the ``limit`` lowest keys."""
     rows = orders(spark, sf_dir)

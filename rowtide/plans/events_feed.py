@@ -107,12 +107,9 @@ def user_records(spark: SparkSession, sf_dir: str, follow_moves: bool = False) -
 
 
 def evolved_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of a source that gained a column: the older part is decoded without it, the newer part with it."""
+    """Records of a source that gained a column. The wider image reads the older events too: what they lack is null."""
     feed = change_feed(spark, sf_dir, number_since=NUMBER_SINCE)
-    older, newer = F.col("timestamp") < NUMBER_SINCE, F.col("timestamp") >= NUMBER_SINCE
-    without = to_records(parse(feed.filter(older), USERS.image), USERS, day_of_feed())
-    having = to_records(parse(feed.filter(newer), NUMBERED_USERS.image), NUMBERED_USERS, day_of_feed())
-    return having.unionByName(without, allowMissingColumns=True)
+    return to_records(parse(feed, NUMBERED_USERS.image), NUMBERED_USERS, day_of_feed())
 
 
 def positioned_feed(spark: SparkSession, sf_dir: str, span: int = SPAN) -> DataFrame:

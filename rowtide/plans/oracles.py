@@ -121,6 +121,11 @@ ORACLES: dict[str, str] = {
     "feed_malformed": _FEED
     + """ select case when kind <> 'ok' then kind else 'unknown_op' end as reason, count(*) as events
           from l where kind <> 'ok' or op = 't' group by 1""",
+    "feed_decode_lenient": _FEED
+    + """ select case when kind <> 'ok' then kind when epoch % 7 = 0 then 'malformed' when op = 't' then 'unknown_op'
+            else 'ok' end as reason, count(*) as events,
+          count(*) filter (where kind = 'ok' and epoch % 7 <> 0) as with_number
+          from l group by 1""",
     "normalize_epoch": """
       with g as (select event_id, cast(floor(epoch(ts)) as bigint) * case when event_type = 'view' then 1000 else 1 end
         as given from events)
@@ -140,6 +145,7 @@ ORACLES: dict[str, str] = {
           where op = 'u' and country <> b_country""",
     "combine_batch": _COMBINED + f" select {_RECORD} from comb",
     "upsert_fold": _fold() + f" select {_RECORD} from cur",
+    "upsert_fold_offsets": _fold() + f" select {_RECORD} from cur",
     "upsert_fold_event_time": _EVENT_FOLD + f" select {_ROW} from cur where not is_deleted",
     "upsert_fold_global": _FEED
     + _pick("comb", "rows", "commit_time, username", _BY_TS)
@@ -166,6 +172,11 @@ ORACLES: dict[str, str] = {
               partition by commit_time, digest[1:4] order by digest, username, country) - 1 as varchar)
               as _commit_seqno
           from k""",
+    "snapshot_meta": _fold()
+    + f""" select {_ROW}, username as _record_key, 'country=' || country as _partition_path,
+            commit_time || '_' || md5('country=' || country || '/' || username)[1:16] as _commit_seqno
+           from cur where not is_deleted""",
+    "stream_retention": _RETENTION,
     "retention": _RETENTION,
     "retention_stored": _RETENTION,
     "quickstart_roundtrip": """
@@ -182,6 +193,13 @@ ORACLES: dict[str, str] = {
       select 'after', c_custkey, case when c_acctbal < 0 then 0 else c_acctbal end, c_mktsegment,
         case when c_acctbal < 0 then '20240103000000000' else '20240101000000000' end
       from customer where c_mktsegment <> 'FURNITURE'""",
+    "rewrite_retained": """
+      with o as (select o_orderkey, o_totalprice, epoch(o_orderdate) as s from orders),
+      v as (select *, case when s < 883612800 then '20240101000000000' else '20240102000000000' end as c from o)
+      select '20240102000000000' as version, o_orderkey, o_totalprice, c as _commit_time from v
+      union all
+      select '20240103000000000', o_orderkey, case when s >= 852076800 and s < 883612800 then o_totalprice * 2
+        else o_totalprice end, case when s >= 852076800 and s < 883612800 then '20240103000000000' else c end from v""",
     "rewrite_incremental": """
       select c_custkey, c_name, cast(0 as double) as c_acctbal, c_mktsegment, '20240103000000000' as _commit_time
       from customer where c_acctbal < 0 and c_mktsegment <> 'FURNITURE'""",

@@ -13,7 +13,7 @@ from rowtide.plans import business_tables as business
 from rowtide.plans import events_feed as ef
 from rowtide.plans import reads
 from rowtide.sources.json_rows import read_json_rows, write_json_rows
-from rowtide.sources.landed import land, stream_landed
+from rowtide.sources.landed import bounded_landed, land, stream_landed
 from rowtide.spec import COMMIT, DELETED, SRC_POS
 from rowtide.streaming.ingest import live_view, start_changelog, stream_records
 from rowtide.tables.changelog import ChangelogTable
@@ -26,6 +26,7 @@ MID_MONTH = "20240115000000000"
 LATE_MONTH = "20240125000000000"
 WINDOW_START, WINDOW_END = 1_704_844_800, 1_705_708_800
 KEPT_COMMITS = 3
+MICRO_BATCHES = 3
 
 ROW = (*USERS.columns, COMMIT)
 RECORD = (*USERS.columns, DELETED, COMMIT, SRC_POS)
@@ -51,19 +52,27 @@ def _image_as_text(which: str, prefix: str) -> list:
 # --- feed ------------------------------------------------------------------------------------------------------------
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered feed as it lies in files; its texts are the event ids."""
+    path = shared_folder(spark, "feed")
+    land(ef.positioned_feed(spark, sf_dir).withColumn("value", F.col("event_id").cast("string")), path)
+    return bounded_landed(spark, path)
+
+
 def feed_scan_bounded(spark, sf_dir):
-    feed = ef.positioned_feed(spark, sf_dir)
-    return _positions(offsets.replay_window(feed, offsets.EARLIEST, WINDOW_END))
+    return _positions(offsets.replay_window(_landed(spark, sf_dir), offsets.EARLIEST, WINDOW_END))
 
 
 def feed_replay_window(spark, sf_dir):
-    feed = ef.positioned_feed(spark, sf_dir)
-    return _positions(offsets.replay_window(feed, WINDOW_START, WINDOW_END))
+    return _positions(offsets.replay_window(_landed(spark, sf_dir), WINDOW_START, WINDOW_END))
 
 
 def _positions(feed: DataFrame) -> DataFrame:
     return feed.select(
-        "event_id", F.col("partition").alias("feed_partition"), F.col("offset").alias("feed_offset"), "timestamp"
+        F.col("value").cast("long").alias("event_id"),
+        F.col("partition").alias("feed_partition"),
+        F.col("offset").alias("feed_offset"),
+        "timestamp",
     )
 
 
@@ -91,6 +100,17 @@ def feed_malformed(spark, sf_dir):
     return decode.reject_counts(ef.change_feed(spark, sf_dir), USERS.image, USERS.scope)
 
 
+def feed_decode_lenient(spark, sf_dir):
+    """Events by what becomes of them, when every third second writes a number as text and every seventh a bad one."""
+    given = F.regexp_replace("value", '"enabled":([01])', '"enabled":"$1"')
+    bad = F.regexp_replace("value", '"enabled":([01])', '"enabled":"x$1"')
+    text = F.when(F.col("timestamp") % 7 == 0, bad).when(F.col("timestamp") % 3 == 0, given).otherwise(F.col("value"))
+    parsed = decode.parse(ef.change_feed(spark, sf_dir).withColumn("value", text), USERS.image, lenient=True)
+    reasons = decode.with_routing_reason(parsed, USERS.scope).groupBy("reason")
+    kept = F.count_if(F.coalesce("after.enabled", "before.enabled").isNotNull())
+    return reasons.agg(F.count(F.lit(1)).alias("events"), kept.alias("with_number"))
+
+
 def normalize_epochs(spark, sf_dir):
     rows = ef.events(spark, sf_dir)
     given = F.when(F.col("event_type") == "view", F.col("epoch") * 1000).otherwise(F.col("epoch"))
@@ -142,6 +162,19 @@ def upsert_fold(spark, sf_dir):
     return merge.fold(_records(spark, sf_dir), USERS, keep_deletes=True).select(*RECORD)
 
 
+def upsert_fold_offsets(spark, sf_dir):
+    """The fold of a feed whose events have no ``source`` block: their place in the feed decides ties."""
+    place = F.get_json_object("value", "$.payload.source.pos").cast("long")
+    feed = ef.change_feed(spark, sf_dir).select(
+        F.regexp_replace("value", r'"source":\{[^}]*\},', "").alias("value"),
+        "timestamp",
+        F.lit(0).alias("partition"),
+        place.alias("offset"),
+    )
+    records = route.to_records(decode.parse(feed, USERS.image), USERS, ef.day_of_feed())
+    return merge.fold(records, USERS, keep_deletes=True).select(*RECORD)
+
+
 def upsert_fold_event_time(spark, sf_dir):
     return merge.fold(_records(spark, sf_dir), USERS, policy="event").select(*ROW)
 
@@ -227,14 +260,31 @@ def retention_stored(spark, sf_dir):
     return table.records().select(*RECORD)
 
 
-def stream_upsert_fold(spark, sf_dir):
+def snapshot_meta(spark, sf_dir):
+    table = ChangelogTable(spark, shared_folder(spark, "users-meta"), USERS)
+    table.append_history(_records(spark, sf_dir))
+    return table.snapshot(meta=True).select(COMMIT, meta.SEQNO, meta.RECORD_KEY, meta.PARTITION_PATH, *USERS.columns)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, policy: str, commit=None) -> ChangelogTable:
+    """The feed landed as files and streamed into a table in several micro-batches."""
     folder = shared_folder(spark, "users-stream")
-    land(ef.change_feed(spark, sf_dir), f"{folder}/feed")
-    records = stream_records(stream_landed(spark, f"{folder}/feed"), USERS)
+    land(ef.change_feed(spark, sf_dir).repartition(MICRO_BATCHES), f"{folder}/feed")
+    feed = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=1)
+    records = stream_records(feed, USERS, commit)
     query = start_changelog(records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None)
     query.awaitTermination()
-    table = ChangelogTable(spark, f"{folder}/table", USERS, policy="event", streamed=True)
-    return table.snapshot().select(*USERS.columns)
+    return ChangelogTable(spark, f"{folder}/table", USERS, policy=policy, streamed=True)
+
+
+def stream_upsert_fold(spark, sf_dir):
+    return _streamed(spark, sf_dir, "event").snapshot().select(*USERS.columns)
+
+
+def stream_retention(spark, sf_dir):
+    table = _streamed(spark, sf_dir, "commit", ef.day_of_feed())
+    table.retain(KEPT_COMMITS)
+    return merge.combine(table.records(), USERS).select(*RECORD)
 
 
 def quickstart_roundtrip(spark, sf_dir):
@@ -250,6 +300,10 @@ def rewrite_versions(spark, sf_dir):
     return business.customer_versions(spark, sf_dir)
 
 
+def rewrite_retained(spark, sf_dir):
+    return business.retained_orders(spark, sf_dir)
+
+
 def rewrite_incremental(spark, sf_dir):
     changed = business.stored_customers(spark, sf_dir).incremental(business.LOADED)
     return changed.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", COMMIT)
@@ -258,6 +312,7 @@ def rewrite_incremental(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_scan_bounded": feed_scan_bounded,
     "feed_decode": feed_decode,
+    "feed_decode_lenient": feed_decode_lenient,
     "feed_malformed": feed_malformed,
     "feed_offsets_for_time": feed_offsets_for_time,
     "feed_offsets_json": feed_offsets_json,
@@ -270,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combine_batch": combine_batch,
     "upsert_fold": upsert_fold,
     "upsert_fold_event_time": upsert_fold_event_time,
+    "upsert_fold_offsets": upsert_fold_offsets,
     "upsert_fold_global": upsert_fold_global,
     "upsert_fold_moves": upsert_fold_moves,
     "delete_apply": delete_apply,
@@ -290,6 +346,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_travel_prefix": time_travel_prefix,
     "live_view": live_keyed_view,
     "stream_upsert_fold": stream_upsert_fold,
+    "snapshot_meta": snapshot_meta,
+    "stream_retention": stream_retention,
     "rewrite_versions": rewrite_versions,
+    "rewrite_retained": rewrite_retained,
     "rewrite_incremental": rewrite_incremental,
 }

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 # Columns a record carries beside the image columns.
 COMMIT = "_commit_time"
+# The day of a commit: the folder column of a streamed log.
+COMMIT_DAY = "_commit_day"
 DELETED = "is_deleted"
 SRC_FILE, SRC_POS, SRC_ROW = "_src_file", "_src_pos", "_src_row"
 POSITION = (SRC_FILE, SRC_POS, SRC_ROW)

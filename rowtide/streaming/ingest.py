@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from rowtide.operators.decode import observe_rejects, parse, with_routing_reason
+from rowtide.operators.merge import in_order
 from rowtide.operators.route import to_records
-from rowtide.spec import COMMIT, POSITION, TableSpec
+from rowtide.spec import COMMIT, COMMIT_DAY, POSITION, TableSpec
+from rowtide.tables.changelog import ChangelogTable
 
 # Fixed value: how often a stream looks for new events unless told otherwise.
 TRIGGER_INTERVAL = "5 seconds"
@@ -23,14 +25,16 @@ def stream_records(
     commit: Column | None = None,
     follow_moves: bool = False,
     rejects: str | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """Records of a streamed feed. One narrow stage: no shuffle and no state.
 
     The commit is the time of the micro-batch, which the checkpoint keeps, so a replayed batch gets the same one. A
     ``commit`` column in its place must not fall back to a commit that was compacted already.
-    ``rejects`` names an observation that counts refused events per micro-batch.
+    ``rejects`` names an observation that counts refused events per micro-batch. ``lenient`` accepts scalars written
+    as text, as ``decode.parse`` does.
     """
-    parsed = parse(feed, spec.image)
+    parsed = parse(feed, spec.image, lenient)
     if rejects:
         parsed = observe_rejects(with_routing_reason(parsed, spec.scope), rejects)
     return to_records(parsed, spec, commit, follow_moves)
@@ -42,34 +46,51 @@ def _trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter
 
 
 def start_changelog(
-    records: DataFrame, spec: TableSpec, path: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL
+    records: DataFrame,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    interval: str | None = TRIGGER_INTERVAL,
+    files_per_partition: int = 1,
+    max_records_per_file: int = 0,
 ) -> StreamingQuery:
     """Append records to the log of a ``ChangelogTable(..., streamed=True)`` at ``path``, each exactly once.
 
-    Move or delete the checkpoint and the table only together.
+    The log has a folder per day of commits, which is what compaction lets readers skip and retention removes. A
+    micro-batch writes ``files_per_partition`` files per partition value, for which it is shuffled by partition and
+    part of the key; with 0 it is not shuffled, and every task writes a file for every value it has. Move or delete the
+    checkpoint and the table only together.
     """
+    records = records.withColumn(COMMIT_DAY, F.substring(COMMIT, 1, 8))
+    if files_per_partition:
+        part = F.pmod(F.xxhash64(*spec.record_key), F.lit(files_per_partition))
+        records = records.repartition(*spec.partition, part)
     writer = records.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if spec.partition:
-        writer = writer.partitionBy(*spec.partition)
+    writer = writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(COMMIT_DAY, *spec.partition)
     return _trigger(writer, interval).start(f"{path.rstrip('/')}/log")
 
 
-def start_rewrite(records: DataFrame, table, checkpoint: str, interval: str | None = TRIGGER_INTERVAL):
-    """Apply each micro-batch to a ``RewriteTable`` as one commit."""
+def start_batches(records: DataFrame, table, checkpoint: str, interval: str | None = TRIGGER_INTERVAL):
+    """Give each micro-batch as one commit to a ``RewriteTable``, or to a ``ChangelogTable`` that is not streamed: then
+    it is combined, has few files and can be compacted and trimmed like batch commits."""
     writer = records.writeStream.option("checkpointLocation", checkpoint)
     return _trigger(writer.foreachBatch(lambda batch, number: apply_batch(table, batch, number)), interval).start()
 
 
 def apply_batch(table, batch: DataFrame, number: int) -> None:
-    """One micro-batch into a ``RewriteTable``.
+    """One micro-batch into a stored table.
 
-    The commit is the one its records carry. A batch replayed after a failure has the same and replaces itself.
+    The commit is the one its records carry, the same for all. A batch replayed after a failure has the same and
+    replaces itself.
     """
     batch = batch.persist()
     try:
-        commit = batch.agg(F.max(COMMIT)).first()[0]
-        if commit is not None:
-            table.apply(batch, commit)
+        first, last = batch.agg(F.min(COMMIT), F.max(COMMIT)).first()
+        if first != last:
+            raise ValueError(f"a micro-batch is one commit, this one has records of {first} and {last}")
+        if last is not None:
+            put = table.append if isinstance(table, ChangelogTable) else table.apply
+            put(batch, last)
     finally:
         batch.unpersist()
 
@@ -77,7 +98,7 @@ def apply_batch(table, batch: DataFrame, number: int) -> None:
 def start_console(
     records: DataFrame, interval: str | None = TRIGGER_INTERVAL, rows: int = 20
 ) -> StreamingQuery:
-    """Print the records of each micro-batch in full. Keeps no checkpoint."""
+    """Print the first ``rows`` records of each micro-batch, their values in full. Keeps no checkpoint."""
     writer = records.writeStream.format("console").outputMode("append").option("truncate", "false")
     return _trigger(writer.option("numRows", rows), interval).start()
 
@@ -99,6 +120,6 @@ def live_view(records: DataFrame, spec: TableSpec) -> DataFrame:
     on ``is_deleted`` in complete mode.
     """
     rest = [c for c in records.columns if c not in spec.scope]
-    order = F.struct(*(F.col(c) for c in (spec.order_by, *POSITION)))
+    order = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(in_order((spec.order_by, *POSITION)))))
     newest = F.max_by(F.struct(*rest), order).alias("newest")
     return records.groupBy(*spec.scope).agg(newest).select(*spec.scope, "newest.*")

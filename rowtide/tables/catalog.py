@@ -3,22 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowtide.spec import TableSpec
+from rowtide.functions.instants import LAST_INSTANT
+from rowtide.spec import DELETED, TableSpec
+from rowtide.tables.changelog import ChangelogTable
 
 
 def register_view(rows: DataFrame, name: str) -> None:
-    """Name a read, for instance a snapshot, for use in SQL."""
+    """Name a read, for instance a snapshot, for use in SQL. The name always stands for that read."""
     rows.createOrReplaceTempView(name)
 
 
+def register_current(table: ChangelogTable, name: str) -> str | None:
+    """Catalog table with the rows of a changelog as of its last commit: the table is compacted, and its new base is
+    what the name stands for. Call it again to move on. Returns the folder, None if nothing was committed.
+
+    Under ``policy="event"`` a base keeps deletes, so filter on ``is_deleted``, as the snapshot does.
+    """
+    path = table.compact(LAST_INSTANT)
+    if path is not None:
+        table.spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
+        register_parquet(table.spark, name, path, table.spec)
+    return path
+
+
+def live_rows(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a registered table that are not deleted."""
+    return spark.table(_name(name)).filter(~F.col(DELETED))
+
+
 def register_parquet(spark: SparkSession, name: str, path: str, spec: TableSpec) -> None:
     """External table over a folder of record files partitioned by the table's partition columns."""
     partition = set(spec.partition)
     columns = [f for f in spec.record_schema.fields if f.name not in partition]
     columns += [spec.image[p] for p in spec.partition]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in spec.partition)})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet {by} LOCATION '{path}'")
+    ddl = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in columns)
+    by = f"PARTITIONED BY ({', '.join(map(_quoted, spec.partition))})" if partition else ""
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({ddl}) USING parquet {by} LOCATION '{place}'")
     if partition:
-        spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(_name(name))
+
+
+def _quoted(part: str) -> str:
+    return "`" + part.replace("`", "``") + "`"
+
+
+def _name(name: str) -> str:
+    """A name with its parts quoted; dots separate them."""
+    return ".".join(_quoted(part.strip("`")) for part in name.split("."))

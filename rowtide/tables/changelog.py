@@ -1,22 +1,24 @@
 """Merge-on-read table: records are appended and folded when they are read.
 
-Layout below the table path: ``log/_commit_time=<instant>/<partition>=<value>/`` for batch commits,
-``base/_base_time=<instant>/<partition>=<value>/`` for compactions, and ``timeline/``. A log written by a stream is
-kept apart by its own sink and has no ``_commit_time`` folder.
+Layout below the table path: ``log/_slice=<commit>.<attempt>/<partition>=<value>/`` for batch commits,
+``base/_slice=<commit>.<attempt>/<partition>=<value>/`` for compactions, and ``timeline/``. Readers open the folders the
+timeline names and no others. A log written by a stream belongs to its own sink; its folders are
+``log/_commit_day=<day>/<partition>=<value>/``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
-from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.merge import combine, fold
-from rowtide.operators.meta import FILE_NAME, with_file_name
+from rowtide.operators.meta import FILE_NAME, with_file_name, with_read_meta
 from rowtide.plans import reads
-from rowtide.spec import COMMIT, TableSpec
+from rowtide.spec import COMMIT, COMMIT_DAY, TableSpec
 from rowtide.tables import folders
+from rowtide.tables.folders import COMMITTED, COMPACTED, SLICE, TRIMMED, Entry
 
 
 class ChangelogTable:
@@ -35,145 +37,196 @@ class ChangelogTable:
         self.log_path, self.base_path = f"{self.path}/log", f"{self.path}/base"
         self.timeline = folders.Timeline(spark, self.path)
 
+    # --- writing
+
     def append(
         self, records: DataFrame, commit: str, combine_first: bool = True, max_records_per_file: int = 0
     ) -> None:
-        """Add one commit. Repeating a commit replaces it, so a failed job can simply run again.
+        """Add one commit. Repeating a commit replaces it once the repeat is complete, so a failed job can run again.
 
         ``combine_first`` stores one record per key. Without it nothing is shuffled and readers do the combining; the
         rows read are the same.
         """
-        validate_instant(commit)
-        if self.streamed:
-            raise ValueError("this log belongs to a stream; batch commits would be hidden by its sink")
-        self._check_newer(commit)
+        self._check_new(self.timeline.entries(), commit)
         batch = folders.require_keys(records, self.spec).withColumn(COMMIT, F.lit(commit))
         if combine_first:
             batch = combine(batch, self.spec).hint("rebalance", *self.spec.partition)
-        writer = batch.drop(COMMIT).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-        if self.spec.partition:
-            writer = writer.partitionBy(*self.spec.partition)
-        writer.parquet(f"{self.log_path}/{COMMIT}={commit}")
-        self.timeline.enter(commit, folders.COMMITTED)
-
-    def append_history(self, records: DataFrame) -> None:
-        """Add many commits at once, each record under the commit it carries."""
-        if self.streamed:
-            raise ValueError("this log belongs to a stream; batch commits would be hidden by its sink")
-        pending = f"{self.path}/pending"
-        records.select(F.col(COMMIT).alias("instant")).distinct().write.mode("overwrite").parquet(pending)
-        instants = self.spark.read.schema("instant string").parquet(pending)
-        earliest = instants.agg(F.min("instant")).first()[0]
-        if earliest is None:
-            return
-        self._check_newer(earliest)
+        attempt = folders.new_attempt()
+        self._write(batch, f"{self.log_path}/{SLICE}={commit}.{attempt}", max_records_per_file)
+        self.timeline.enter(commit, COMMITTED, attempt)
+
+    def append_history(self, records: DataFrame, max_records_per_file: int = 0) -> None:
+        """Add many commits at once, each record under the commit it carries. They become visible one after another,
+        oldest first; running it again replaces them."""
+        attempt, log = folders.new_attempt(), self.log_path
         batch = combine(folders.require_keys(records, self.spec), self.spec)
+        batch = batch.withColumn(SLICE, F.concat(COMMIT, F.lit(f".{attempt}")))
         # one shuffle more, so that a task writes to few folders; adaptive execution splits the large ones
-        batch = batch.hint("rebalance", COMMIT, *self.spec.partition)
-        batch.write.mode("append").partitionBy(COMMIT, *self.spec.partition).parquet(self.log_path)
-        self.timeline.enter_all(instants, folders.COMMITTED)
-
-    def commits(self) -> DataFrame:
+        batch = batch.hint("rebalance", SLICE, *self.spec.partition)
+        self._write(batch, log, max_records_per_file, SLICE, mode="append")
+        names = [n.removeprefix(f"{SLICE}=") for n in folders.children(self.spark, log) if n.endswith(f".{attempt}")]
+        entries = self.timeline.entries()
+        commits = [n.split(".")[0] for n in names]
+        if commits:
+            self._check_new(entries, commits[0], known={e.instant for e in entries})
+        for commit in commits:
+            self.timeline.enter(commit, COMMITTED, attempt)
+
+    def _write(self, rows: DataFrame, path: str, max_records_per_file: int, *folder: str, mode: str = "error") -> None:
+        writer = rows.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+        if folder or self.spec.partition:
+            writer = writer.partitionBy(*folder, *self.spec.partition)
+        writer.parquet(path)
+
+    def _check_new(self, entries: list[Entry], commit: str, known: set[str] = frozenset()) -> None:
         if self.streamed:
-            return self._log().select(COMMIT).distinct()
-        return self.timeline.commits().withColumnRenamed("instant", COMMIT)
-
-    def _check_newer(self, commit: str) -> None:
-        self.timeline.check_newer(commit)
-        base = self.timeline.last(folders.COMPACTED)
+            raise ValueError("this log belongs to a stream; batch commits would be hidden by its sink")
+        if commit not in known:
+            folders.check_new_commit(entries, commit)
+        base = folders.last_instant(entries, COMPACTED)
         if base is not None and commit <= base:
             raise ValueError(f"commit {commit} is already compacted")
 
-    def _readable_commits(self) -> DataFrame:
-        floor = self.timeline.last(folders.TRIMMED)
-        return self.commits() if floor is None else self.commits().filter(F.col(COMMIT) >= floor)
+    # --- reading
 
-    def _log(self) -> DataFrame:
-        schema = self.spec.record_schema
-        if not folders.exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], schema)
-        return self._scan(self.log_path)
+    def commits(self) -> DataFrame:
+        """The commits that can be read."""
+        entries = self.timeline.entries()
+        if not self.streamed:
+            return folders.commits_frame(self.spark, entries)
+        floor = folders.last_instant(entries, TRIMMED)
+        log = self._streamed_log(floor or "", "")
+        return log.filter(F.col(COMMIT) >= (floor or "")).select(COMMIT).distinct()
 
-    def _scan(self, path: str) -> DataFrame:
+    def _instants(self, entries: list[Entry]) -> list[str]:
+        if not self.streamed:
+            return [e.instant for e in folders.of_action(entries, COMMITTED)]
+        return sorted(r[COMMIT] for r in self.commits().collect())
+
+    def _scan(self, paths: list[str], parent: str, names: bool) -> DataFrame:
         schema = self.spec.record_schema
-        stored = self.spark.read.schema(schema).parquet(path)
+        if not paths:
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn(FILE_NAME, F.lit(None).cast("string")) if names else empty
+        stored = self.spark.read.schema(schema).option("basePath", parent).parquet(*paths)
         columns = schema.fieldNames()
-        if self.file_names:
+        if names:
+            stored, columns = with_file_name(stored), [*columns, FILE_NAME]
+        return stored.select(*columns)
+
+    def _streamed_log(self, first: str, last: str, names: bool = False) -> DataFrame:
+        """The streamed log of the days of two instants and between them; an empty text is no bound."""
+        if not folders.exists(self.spark, self.log_path):
+            return self._scan([], self.log_path, names)
+        schema = T.StructType([*self.spec.record_schema.fields, T.StructField(COMMIT_DAY, T.StringType())])
+        stored = self.spark.read.schema(schema).parquet(self.log_path)
+        day = F.col(COMMIT_DAY)
+        if first:
+            stored = stored.filter(day >= first[:8])
+        if last:
+            stored = stored.filter(day <= last[:8])
+        columns = self.spec.record_schema.fieldNames()
+        if names:
             stored, columns = with_file_name(stored), [*columns, FILE_NAME]
         return stored.select(*columns)
 
     def records(self, instant: str = LAST_INSTANT) -> DataFrame:
         """The records that decide the table at ``instant``: the last base up to it, and the log since that base."""
-        return self._since_base(self.timeline.last(folders.COMPACTED, instant), instant)
-
-    def _since_base(self, base: str | None, instant: str = LAST_INSTANT) -> DataFrame:
-        self.timeline.check_kept(instant)
-        wanted = F.col(COMMIT) <= pad_instant(instant)
-        if base is not None:
-            wanted = wanted & (F.col(COMMIT) > base)
-        log = self._log().filter(wanted)
-        if not self.streamed:
-            entered = broadcast_if_short(self.commits().filter(wanted))
-            log = log.join(entered, COMMIT, "left_semi").select(*log.columns)
-        if base is None:
-            return log
-        stored = self._scan(f"{self.base_path}/_base_time={base}")
-        return stored.unionByName(log, allowMissingColumns=True)
+        return self._records(self.timeline.entries(), instant, self.file_names)
 
-    def snapshot(self) -> DataFrame:
-        return reads.snapshot(self.records(), self.spec, policy=self.policy)
-
-    def as_of(self, instant: str) -> DataFrame:
-        return reads.as_of(self.records(instant), self.spec, instant, policy=self.policy)
-
-    def incremental(self, begin: str) -> DataFrame:
-        base = self.timeline.last(folders.COMPACTED)
-        if self.policy == "commit" and base is not None and base <= begin:
-            base = None  # nothing in it is after begin
-        return reads.incremental(self._since_base(base), self.spec, begin, policy=self.policy)
+    def _records(self, entries: list[Entry], instant: str, names: bool, base: bool = True) -> DataFrame:
+        folders.check_kept(entries, instant)
+        bases = folders.of_action(entries, COMPACTED, instant) if base else []
+        after = bases[-1].instant if bases else ""
+        if self.streamed:
+            log = self._streamed_log(after, pad_instant(instant), names)
+            log = log.filter((F.col(COMMIT) > after) & (F.col(COMMIT) <= pad_instant(instant)))
+        else:
+            wanted = [e for e in folders.of_action(entries, COMMITTED, instant) if e.instant > after]
+            log = self._scan([self._folder(self.log_path, e) for e in wanted], self.log_path, names)
+        if not bases:
+            return log
+        return self._scan([self._folder(self.base_path, bases[-1])], self.base_path, names).unionByName(log)
+
+    @staticmethod
+    def _folder(parent: str, entry: Entry) -> str:
+        return f"{parent}/{SLICE}={entry.instant}.{entry.attempt}"
+
+    def snapshot(self, meta: bool = False) -> DataFrame:
+        """The current rows. ``meta`` puts the columns about a row in front, its file included."""
+        return self.as_of(LAST_INSTANT, meta)
+
+    def as_of(self, instant: str, meta: bool = False) -> DataFrame:
+        records = self._records(self.timeline.entries(), instant, meta or self.file_names)
+        return self._shown(reads.as_of(records, self.spec, instant, policy=self.policy), meta)
+
+    def incremental(self, begin: str, meta: bool = False) -> DataFrame:
+        entries, names = self.timeline.entries(), meta or self.file_names
+        validate_instant(begin)
+        if self.policy == "commit" and not (folders.last_instant(entries, COMPACTED) or "") > begin:
+            # nothing up to begin can be the answer, so neither a base nor its part of the log is opened
+            if self.streamed:
+                records = self._streamed_log(begin, "", names)
+            else:
+                later = [e for e in folders.of_action(entries, COMMITTED) if e.instant > begin]
+                records = self._scan([self._folder(self.log_path, e) for e in later], self.log_path, names)
+        else:
+            records = self._records(entries, LAST_INSTANT, names)
+        return self._shown(reads.incremental(records, self.spec, begin, policy=self.policy), meta)
+
+    def _shown(self, rows: DataFrame, meta: bool) -> DataFrame:
+        return with_read_meta(rows, self.spec) if meta else rows
+
+    # --- compaction and retention
 
     def compact_after(self, delta_commits: int) -> bool:
         """Compact at the last commit if that many commits came since the last base."""
-        base = self.timeline.last(folders.COMPACTED)
-        new = self.commits() if base is None else self.commits().filter(F.col(COMMIT) > base)
-        if new.count() < delta_commits:
+        entries = self.timeline.entries()
+        base = folders.last_instant(entries, COMPACTED) or ""
+        if sum(i > base for i in self._instants(entries)) < delta_commits:
             return False
         self.compact(LAST_INSTANT)
         return True
 
-    def compact(self, instant: str) -> None:
-        """Write the base at the last commit up to ``instant``, from the base before it and the log between the two."""
-        upto = self.commits().filter(F.col(COMMIT) <= pad_instant(instant)).agg(F.max(COMMIT)).first()[0]
-        if upto is None or upto == self.timeline.last(folders.COMPACTED, upto):
-            return
+    def compact(self, instant: str, max_records_per_file: int = 0) -> str | None:
+        """Write the base at the last commit up to ``instant``, from the base before it and the log between the two.
+        Returns the folder of that base."""
+        entries = self.timeline.entries()
+        upto = max((i for i in self._instants(entries) if i <= pad_instant(instant)), default=None)
+        bases = folders.of_action(entries, COMPACTED, instant)
+        if upto is None or (bases and bases[-1].instant >= upto):
+            return self._folder(self.base_path, bases[-1]) if bases else None
         # late events of an event-ordered table may still meet a delete, so its base keeps them
-        current = fold(self.records(upto), self.spec, self.policy, keep_deletes=self.policy == "event")
-        current = current.drop(FILE_NAME)
-        current = current.hint("rebalance", *self.spec.partition)
-        writer = current.write.mode("overwrite")
-        if self.spec.partition:
-            writer = writer.partitionBy(*self.spec.partition)
-        writer.parquet(f"{self.base_path}/_base_time={upto}")
-        self.timeline.enter(upto, folders.COMPACTED)
+        current = fold(self._records(entries, upto, False), self.spec, self.policy, keep_deletes=self.policy == "event")
+        attempt = folders.new_attempt()
+        path = f"{self.base_path}/{SLICE}={upto}.{attempt}"
+        self._write(current.hint("rebalance", *self.spec.partition), path, max_records_per_file)
+        self.timeline.enter(upto, COMPACTED, attempt)
+        return path
 
     def retain(self, keep: int, above: int | None = None) -> str | None:
         """Keep the last ``keep`` commits readable and remove what only older ones need. Returns the oldest kept.
 
-        With ``above`` nothing happens until there are more commits than that. Run it while no reader works on an
-        older version.
+        With ``above`` nothing happens until there are more commits than that. Run it while nobody writes or reads an
+        older version. Of a streamed log whole days go.
         """
-        if self.streamed:
-            raise ValueError("files of a streamed log belong to its sink; compact it instead")
-        if above is not None and self._readable_commits().count() <= above:
-            return None
-        floor = folders.oldest_of_last(self.commits(), COMMIT, keep)
+        floor = folders.oldest_kept(self._instants(self.timeline.entries()), keep, above)
         if floor is None:
             return None
         self.compact(floor)
-        self.timeline.enter(floor, folders.TRIMMED)
-        for parent, name in ((self.log_path, COMMIT), (self.base_path, "_base_time")):
-            for folder in folders.subfolders(self.spark, parent):
-                old = folder.removeprefix(f"{name}=")
-                if old < floor or (old == floor and parent == self.log_path):
-                    folders.remove(self.spark, f"{parent}/{folder}")
+        self.timeline.enter(floor, TRIMMED, folders.new_attempt())
+        kept = [
+            e
+            for e in self.timeline.entries()
+            if e.instant >= floor and not (e.action == TRIMMED and e.instant > floor)
+        ]
+        self.timeline.forget(kept)
+        live = {self._folder("", e).strip("/") for e in kept if e.action in (COMMITTED, COMPACTED)}
+        # the log of the floor itself is in its base
+        live -= {f"{SLICE}={e.instant}.{e.attempt}" for e in kept if e.action == COMMITTED and e.instant == floor}
+        for parent in (self.log_path, self.base_path):
+            for name in folders.children(self.spark, parent):
+                superseded = name.startswith(f"{SLICE}=") and name not in live
+                if superseded or name.startswith(f"{COMMIT_DAY}=") and name.removeprefix(f"{COMMIT_DAY}=") < floor[:8]:
+                    folders.remove(self.spark, f"{parent}/{name}")
         return floor

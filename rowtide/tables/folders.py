@@ -1,21 +1,23 @@
-"""Shared folders and the small per-table timeline."""
+"""Shared folders and the timeline of a table."""
 
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rowtide.functions.instants import pad_instant
-from rowtide.spec import TableSpec
-
-TIMELINE_SCHEMA = T.StructType([T.StructField("instant", T.StringType()), T.StructField("action", T.StringType())])
+from rowtide.functions.instants import pad_instant, validate_instant
+from rowtide.spec import COMMIT, TableSpec
 
 # What a timeline entry says happened at its instant.
-COMMITTED, COMPACTED, TRIMMED = "committed", "compacted", "trimmed"
+COMMITTED, COMPACTED, TRIMMED, REPLACED = "committed", "compacted", "trimmed", "replaced"
+
+# The one folder column of stored data: the attempt that wrote it.
+SLICE = "_slice"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -41,9 +43,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
     fs, folder = _file_system(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()) if fs.exists(folder) else []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def create(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, file = _file_system(spark, path)
+    fs.mkdirs(file.getParent())
+    fs.create(file, True).close()
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -63,49 +73,89 @@ def require_keys(records: DataFrame, spec: TableSpec) -> DataFrame:
     return records.withColumns(checked)
 
 
-def oldest_of_last(commits: DataFrame, column: str, keep: int) -> str | None:
-    """The oldest of the last ``keep`` commits."""
-    if keep < 1:
-        raise ValueError("at least one commit is kept")
-    return commits.orderBy(F.col(column).desc()).limit(keep).agg(F.min(column)).first()[0]
+def new_attempt() -> str:
+    return uuid.uuid4().hex
+
+
+@dataclass(frozen=True, order=True)
+class Entry:
+    written: int
+    instant: str
+    action: str
+    attempt: str
 
 
 class Timeline:
-    """Which commits of a table are complete. Data is written first and entered here last.
+    """Which attempts at a commit count. Data is written first and entered here last.
 
-    A job that dies half way leaves data without an entry, which readers do not see.
+    Every attempt writes to a folder of its own. An entry is an empty file whose name says when it was made, its
+    instant, what happened and which attempt did it, so the timeline is read by listing one folder. A job that dies
+    half way leaves a folder without an entry, which readers do not see; a repeated commit replaces the entry before
+    it. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, f"{path}/timeline"
 
-    def entries(self) -> DataFrame:
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], TIMELINE_SCHEMA)
-        return self.spark.read.schema(TIMELINE_SCHEMA).parquet(self.path)
+    def entries(self) -> list[Entry]:
+        """What counts, oldest first: per action and instant the last entry, and nothing from before a replacement."""
+        found = []
+        for name in children(self.spark, self.path):
+            written, instant, action, attempt = name.split("-")
+            found.append(Entry(int(written), instant, action, attempt))
+        started = max((e.written for e in found if e.action == REPLACED), default=0)
+        last = {(e.action, e.instant): e for e in sorted(found) if e.written >= started}
+        return sorted(last.values(), key=lambda e: (e.instant, e.written))
+
+    def enter(self, instant: str, action: str, attempt: str, replace: bool = False) -> None:
+        """Make an attempt count. ``replace``: and nothing that was entered before."""
+        newest = max((int(n.split("-")[0]) for n in children(self.spark, self.path)), default=0)
+        written = max(time.time_ns(), newest + 1)
+        create(self.spark, f"{self.path}/{written:020d}-{instant}-{action}-{attempt}")
+        if replace:
+            # hides all older ones at once, and with them the entry just made until this one stands
+            create(self.spark, f"{self.path}/{written:020d}-{instant}-{REPLACED}-{attempt}")
 
-    def commits(self) -> DataFrame:
-        return self.entries().filter(F.col("action") == COMMITTED).select("instant").distinct()
+    def forget(self, keep: list[Entry]) -> None:
+        """Remove the entries that are not in ``keep``."""
+        names = {f"{e.written:020d}-{e.instant}-{e.action}-{e.attempt}" for e in keep}
+        for name in children(self.spark, self.path):
+            if name not in names:
+                remove(self.spark, f"{self.path}/{name}")
 
-    def enter(self, instant: str, action: str) -> None:
-        entry = self.spark.range(0, 1, 1, 1).select(F.lit(instant).alias("instant"), F.lit(action).alias("action"))
-        entry.write.mode("append").parquet(self.path)
 
-    def enter_all(self, instants: DataFrame, action: str) -> None:
-        instants.select("instant", F.lit(action).alias("action")).write.mode("append").parquet(self.path)
+def of_action(entries: list[Entry], action: str, until: str | None = None) -> list[Entry]:
+    """Entries of one kind up to an instant, oldest first."""
+    bound = None if until is None else pad_instant(until)
+    return [e for e in entries if e.action == action and (bound is None or e.instant <= bound)]
 
-    def last(self, action: str, until: str | None = None) -> str | None:
-        found = self.entries().filter(F.col("action") == action)
-        if until is not None:
-            found = found.filter(F.col("instant") <= pad_instant(until))
-        return found.agg(F.max("instant")).first()[0]
 
-    def check_newer(self, instant: str) -> None:
-        last = self.last(COMMITTED)
-        if last is not None and instant < last:
-            raise ValueError(f"commit {instant} is before the last commit {last}")
+def last_instant(entries: list[Entry], action: str, until: str | None = None) -> str | None:
+    found = of_action(entries, action, until)
+    return found[-1].instant if found else None
 
-    def check_kept(self, instant: str) -> None:
-        floor = self.last(TRIMMED)
-        if floor is not None and pad_instant(instant) < floor:
-            raise ValueError(f"versions before {floor} were removed; cannot read as of {instant}")
+
+def commits_frame(spark: SparkSession, entries: list[Entry]) -> DataFrame:
+    return spark.createDataFrame([(e.instant,) for e in of_action(entries, COMMITTED)], f"{COMMIT} string")
+
+
+def check_new_commit(entries: list[Entry], commit: str) -> None:
+    validate_instant(commit)
+    last = last_instant(entries, COMMITTED)
+    if last is not None and commit < last:
+        raise ValueError(f"commit {commit} is before the last commit {last}")
+
+
+def check_kept(entries: list[Entry], instant: str) -> None:
+    floor = last_instant(entries, TRIMMED)
+    if floor is not None and pad_instant(instant) < floor:
+        raise ValueError(f"versions before {floor} were removed; cannot read as of {instant}")
+
+
+def oldest_kept(instants: list[str], keep: int, above: int | None) -> str | None:
+    """The oldest of the last ``keep`` commits, or None if there are none or not more than ``above``."""
+    if keep < 1:
+        raise ValueError("at least one commit is kept")
+    if not instants or (above is not None and len(instants) <= above):
+        return None
+    return instants[-keep:][0]

@@ -1,10 +1,10 @@
 """Copy-on-write table: a commit rewrites the slices that hold changed rows and leaves the others alone.
 
-A slice is a partition value and a bucket of the record key. The number of buckets is fixed when the table is made and
-sets how much a small commit rewrites: a hot partition value spreads over all of them. Layout below the table path:
-``data/_version=<instant>/<partition>=<value>/_bucket=<n>/`` and ``slices/_version=<instant>/``, one small row per
-rewritten slice. The slices of a commit are entered in one file after its data, which is what makes the commit visible.
-A slice entered without data is empty, so deleting all its rows cannot bring its previous version back.
+A slice is a partition value and a bucket of the record key. The number of buckets is stored with the table and sets how
+much a small commit rewrites: a hot partition value spreads over all of them. Layout below the table path:
+``data/_slice=<attempt>.<slice>/<partition>=<value>/``, ``slices/_slice=<commit>.<attempt>/`` with one small row per
+rewritten slice, and ``timeline/``. A slice listed without data is empty, so deleting all its rows cannot bring its
+previous version back.
 """
 
 from __future__ import annotations
@@ -13,128 +13,179 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
+from rowtide.functions.instants import LAST_INSTANT, validate_instant
 from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.merge import combine, fold
-from rowtide.operators.meta import FILE_NAME, with_file_name
+from rowtide.operators.meta import FILE_NAME, with_file_name, with_read_meta
 from rowtide.spec import COMMIT, TableSpec
 from rowtide.tables import folders
+from rowtide.tables.folders import COMMITTED, SLICE, TRIMMED, Entry
 
 VERSION, BUCKET = "_version", "_bucket"
 
 
 class RewriteTable:
     def __init__(
-        self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 1, file_names: bool = False
+        self,
+        spark: SparkSession,
+        path: str,
+        spec: TableSpec,
+        buckets: int | None = None,
+        file_names: bool = False,
     ):
-        """``file_names`` adds ``_file_name``, the file a row is in, to every read."""
-        self.spark, self.path, self.spec, self.buckets = spark, path.rstrip("/"), spec, buckets
+        """``buckets`` is fixed by the first commit; a table that has another number refuses the handle. ``file_names``
+        adds ``_file_name``, the file a row is in, to every read."""
+        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self.file_names = file_names
         self.data_path, self.slices_path = f"{self.path}/data", f"{self.path}/slices"
         self.timeline = folders.Timeline(spark, self.path)
         self.slice_key = (*spec.partition, BUCKET)
+        stored = self._stored_buckets()
+        if buckets is not None and stored is not None and buckets != stored:
+            raise ValueError(f"the table has {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or 1
+
+    def _stored_buckets(self) -> int | None:
+        names = folders.children(self.spark, f"{self.path}/settings")
+        return next((int(n.removeprefix("buckets=")) for n in names if n.startswith("buckets=")), None)
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.spec.record_key), F.lit(self.buckets)).cast("int")
 
-    @property
-    def _slice_schema(self) -> T.StructType:
-        return T.StructType([*(self.spec.image[p] for p in self.spec.partition), T.StructField(BUCKET, T.IntegerType())])
-
     @property
     def _slices_schema(self) -> T.StructType:
-        return T.StructType([*self._slice_schema.fields, T.StructField(VERSION, T.StringType())])
+        key = [*(self.spec.image[p] for p in self.spec.partition), T.StructField(BUCKET, T.IntegerType())]
+        return T.StructType([*key, T.StructField(SLICE, T.StringType()), T.StructField(VERSION, T.StringType())])
 
-    def _slices(self) -> DataFrame:
-        """Rewritten slices of all commits."""
-        if not folders.exists(self.spark, self.slices_path):
+    def _slices(self, entries: list[Entry]) -> DataFrame:
+        """Rewritten slices of the given commits."""
+        if not entries:
             return self.spark.createDataFrame([], self._slices_schema)
-        return self.spark.read.schema(self._slices_schema).parquet(self.slices_path)
-
-    def _newest(self, bound: Column) -> DataFrame:
-        """The last version of every slice within ``bound``."""
-        return self._slices().filter(bound).groupBy(*self.slice_key).agg(F.max(VERSION).alias(VERSION))
-
-    def _stored(self, slices: DataFrame) -> DataFrame:
-        """Rows of the given slice versions. The join is on folder columns, so other folders are not opened."""
+        paths = [f"{self.slices_path}/{e.instant}.{e.attempt}" for e in entries]
+        return self.spark.read.schema(self._slices_schema).parquet(*paths)
+
+    def _newest(self, entries: list[Entry]) -> DataFrame:
+        """The last version of every slice."""
+        last = F.max(F.struct(VERSION, SLICE)).alias("last")
+        return self._slices(entries).groupBy(*self.slice_key).agg(last).select(*self.slice_key, "last.*")
+
+    def _stored(self, slices: DataFrame, names: bool) -> DataFrame:
+        """Rows of the given slices. The join is on the one folder column, so other folders are not opened."""
+        schema = T.StructType([*self.spec.record_schema.fields, T.StructField(SLICE, T.StringType())])
+        columns = self.spec.record_schema.fieldNames()
         if not folders.exists(self.spark, self.data_path):
-            return self.spark.createDataFrame([], self._stored_schema)
-        data = self.spark.read.schema(self._stored_schema).parquet(self.data_path)
-        columns = self._stored_schema.fieldNames()
-        if self.file_names:
-            data, columns = with_file_name(data), [*columns, FILE_NAME]
-        wanted = broadcast_if_short(slices)
-        return data.join(wanted, [VERSION, *self.slice_key], "left_semi").select(*columns)
-
-    @property
-    def _stored_schema(self) -> T.StructType:
-        extra = [T.StructField(VERSION, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
-        return T.StructType([*self.spec.record_schema.fields, *extra])
-
-    def apply(self, records: DataFrame, commit: str, overwrite: bool = False) -> None:
-        """Upsert and delete one batch of records as one commit.
-
-        ``overwrite`` removes the table first, so its records must not come from the table itself.
-
-        The records are evaluated twice, first for the slices they touch; persist them if they are costly. Repeating a
-        commit replaces its data.
+            data = self.spark.createDataFrame([], schema)
+            data = data.withColumn(FILE_NAME, F.lit(None).cast("string")) if names else data
+        else:
+            data = self.spark.read.schema(schema).parquet(self.data_path)
+            data = with_file_name(data) if names else data
+        wanted = broadcast_if_short(slices.select(SLICE))
+        return data.join(wanted, SLICE, "left_semi").select(*columns, *[FILE_NAME] * names)
+
+    def apply(
+        self, records: DataFrame, commit: str, overwrite: bool = False, max_records_per_file: int = 0
+    ) -> None:
+        """Upsert and delete one batch of records as one commit. Repeating a commit replaces it once it is complete.
+
+        ``overwrite`` replaces the whole table, commits included; the old one can be read until the new one stands, so
+        records may come from it.
         """
-        validate_instant(commit)
-        if overwrite:
-            folders.remove(self.spark, self.path)
-        last = self.commits().agg(F.max(COMMIT)).first()[0]
-        if last is not None and commit < last:
-            raise ValueError(f"commit {commit} is before the last commit {last}")
+        entries = [] if overwrite else self.timeline.entries()
+        folders.check_new_commit(entries, commit)
+        attempt = folders.new_attempt()
         records = folders.require_keys(records, self.spec).withColumn(COMMIT, F.lit(commit))
-        batch = combine(records, self.spec).withColumn(BUCKET, self._bucket())
-        pending = f"{self.path}/pending/{VERSION}={commit}"
-        batch.select(*self.slice_key).distinct().write.mode("overwrite").parquet(pending)
-        # read back, so that counting and broadcasting the list does not evaluate the batch again
-        touched = self.spark.read.schema(self._slice_schema).parquet(pending)
-        before = self._newest(F.col(VERSION) < commit)
-        existing = self._stored(before.join(touched, list(self.slice_key), "left_semi"))
-        merged = fold(existing.drop(VERSION, FILE_NAME).unionByName(batch), self.spec)
-        writer = merged.hint("rebalance", *self.slice_key).write.mode("overwrite").partitionBy(*self.slice_key)
-        writer.parquet(f"{self.data_path}/{VERSION}={commit}")
-        touched.coalesce(1).write.mode("overwrite").parquet(f"{self.slices_path}/{VERSION}={commit}")
+        pending = f"{self.path}/pending/{attempt}"
+        combine(records, self.spec).withColumn(BUCKET, self._bucket()).write.parquet(pending)
+        # read back, so that the batch is evaluated once
+        batch = self.spark.read.schema(T.StructType([*self.spec.record_schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+        batch = batch.parquet(pending)
+        name = F.sha1(F.to_json(F.struct(*self.slice_key)).cast("binary"))
+        named = F.concat(F.lit(f"{attempt}."), name)
+        touched = batch.select(*self.slice_key).distinct().select("*", named.alias(SLICE), F.lit(commit).alias(VERSION))
+        slices = f"{self.slices_path}/{commit}.{attempt}"
+        touched.coalesce(1).write.parquet(slices)
+        before = [e for e in folders.of_action(entries, COMMITTED) if e.instant < commit]
+        merged = batch
+        if before:
+            touched = self.spark.read.schema(self._slices_schema).parquet(slices)
+            same = [a.eqNullSafe(b) for a, b in ((F.col(f"o.{k}"), F.col(f"n.{k}")) for k in self.slice_key)]
+            old = self._newest(before).alias("o").join(touched.alias("n"), same, "left_semi")
+            merged = self._stored(old, False).withColumn(BUCKET, self._bucket()).unionByName(batch)
+        merged = fold(merged, self.spec).withColumn(SLICE, named).drop(BUCKET).hint("rebalance", SLICE)
+        writer = merged.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+        writer.partitionBy(SLICE, *self.spec.partition).parquet(self.data_path)
+        if self._stored_buckets() is None:
+            folders.create(self.spark, f"{self.path}/settings/buckets={self.buckets}")
+        self.timeline.enter(commit, COMMITTED, attempt, replace=overwrite)
         folders.remove(self.spark, pending)
+        if overwrite:
+            self._clean()
 
     def commits(self) -> DataFrame:
-        """Commits that changed something."""
-        return self._slices().select(F.col(VERSION).alias(COMMIT)).distinct()
+        """The commits that can be read."""
+        return folders.commits_frame(self.spark, self.timeline.entries())
 
-    def as_of(self, instant: str) -> DataFrame:
-        self.timeline.check_kept(instant)
-        return self._stored(self._newest(F.col(VERSION) <= pad_instant(instant))).drop(VERSION, BUCKET)
+    def _read(self, entries: list[Entry], slices: DataFrame, meta: bool) -> DataFrame:
+        rows = self._stored(slices, meta or self.file_names)
+        return with_read_meta(rows, self.spec) if meta else rows
 
-    def snapshot(self) -> DataFrame:
-        return self.as_of(LAST_INSTANT)
+    def as_of(self, instant: str, meta: bool = False) -> DataFrame:
+        """The rows at ``instant``. ``meta`` puts the columns about a row in front, its file included."""
+        entries = self.timeline.entries()
+        folders.check_kept(entries, instant)
+        return self._read(entries, self._newest(folders.of_action(entries, COMMITTED, instant)), meta)
 
-    def incremental(self, begin: str) -> DataFrame:
+    def snapshot(self, meta: bool = False) -> DataFrame:
+        return self.as_of(LAST_INSTANT, meta)
+
+    def incremental(self, begin: str, meta: bool = False) -> DataFrame:
         """Rows of the current table whose last commit is after ``begin``.
 
         A rewritten row keeps the commit of its last change, and such a row can only be in a slice rewritten after
         ``begin``, so the other slices are not opened.
         """
         validate_instant(begin)
-        changed = self._newest(F.lit(True)).filter(F.col(VERSION) > begin)
-        return self._stored(changed).drop(VERSION, BUCKET).filter(F.col(COMMIT) > begin)
+        entries = self.timeline.entries()
+        later = [e for e in folders.of_action(entries, COMMITTED) if e.instant > begin]
+        # the newest version of a slice is after begin if any version is
+        return self._read(entries, self._newest(later), meta).filter(F.col(COMMIT) > begin)
 
     def retain(self, keep: int, above: int | None = None) -> str | None:
-        """Keep the last ``keep`` commits readable; remove versions that hold no slice those commits need.
+        """Keep the last ``keep`` commits readable and remove every slice none of them needs. Returns the oldest kept.
 
-        Returns the oldest commit kept. With ``above`` nothing happens until there are more commits than that. Run it
-        while no reader works on an older version.
+        With ``above`` nothing happens until there are more commits than that. Run it while nobody writes or reads an
+        older version. The lists of older commits become one, that of the oldest kept.
         """
-        last_floor = self.timeline.last(folders.TRIMMED) or ""
-        if above is not None and self.commits().filter(F.col(COMMIT) >= last_floor).count() <= above:
-            return None
-        floor = folders.oldest_of_last(self.commits(), COMMIT, keep)
+        entries = self.timeline.entries()
+        commits = folders.of_action(entries, COMMITTED)
+        floor = folders.oldest_kept([e.instant for e in commits], keep, above)
         if floor is None:
             return None
-        self.timeline.enter(floor, folders.TRIMMED)
-        needed = self._newest(F.col(VERSION) <= floor).select(VERSION)
-        older = self._slices().filter(F.col(VERSION) < floor).select(VERSION).distinct()
-        for row in older.join(needed, VERSION, "left_anti").toLocalIterator():
-            folders.remove(self.spark, f"{self.data_path}/{VERSION}={row[VERSION]}")
+        if commits[0].instant < floor:
+            attempt = folders.new_attempt()
+            current = self._newest([e for e in commits if e.instant <= floor]).withColumn(VERSION, F.lit(floor))
+            current.select(*self._slices_schema.fieldNames()).coalesce(1).write.parquet(
+                f"{self.slices_path}/{floor}.{attempt}"
+            )
+            self.timeline.enter(floor, COMMITTED, attempt)
+        self.timeline.enter(floor, TRIMMED, folders.new_attempt())
+        kept = [e for e in self.timeline.entries() if e.instant >= floor]
+        self.timeline.forget(kept)
+        self._clean()
         return floor
+
+    def _clean(self) -> None:
+        """Remove lists and slices that no commit of the timeline needs, those of failed attempts included."""
+        entries = self.timeline.entries()
+        self.timeline.forget(entries)
+        commits = folders.of_action(entries, COMMITTED)
+        lists = {f"{e.instant}.{e.attempt}" for e in commits}
+        for name in folders.children(self.spark, self.slices_path):
+            if name not in lists:
+                folders.remove(self.spark, f"{self.slices_path}/{name}")
+        stored = [n.removeprefix(f"{SLICE}=") for n in folders.children(self.spark, self.data_path) if n.startswith(f"{SLICE}=")]
+        if not stored:
+            return
+        there = self.spark.createDataFrame([(n,) for n in stored], f"{SLICE} string")
+        for row in there.join(self._slices(commits).select(SLICE), SLICE, "left_anti").toLocalIterator():
+            folders.remove(self.spark, f"{self.data_path}/{SLICE}={row[SLICE]}")

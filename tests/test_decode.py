@@ -56,10 +56,25 @@ def test_counts_and_quarantine_keep_every_refused_row(spark):
 def test_lenient_reads_scalars_as_text(spark):
     values = [event("c", after=user("a", enabled=e, pos=1), pos=i) for i, e in enumerate(["1", 1, "abc", "7 "])]
     parsed = d.decode(feed(spark, *values), USERS.image, lenient=True)
-    assert [r[0] for r in parsed.orderBy("source.pos").select("after.enabled").collect()] == [1, 1, None, 7]
+    assert [r[0] for r in parsed.orderBy("source.pos").select("after.enabled").collect()] == [1, 1, 7]
     assert parsed.schema["after"].dataType == USERS.image
 
 
+@pytest.mark.parametrize(
+    "field, value, reason",
+    [("enabled", v, "malformed") for v in ("abc", 1.7, "1.7", True, "", 1e30, "99999999999")]
+    + [("ts", "soon", "malformed"), ("ts", "17", "ok"), ("ts", None, "ok"), ("password", 5, "ok"), ("enabled", " -1 ", "ok")],
+)
+def test_lenient_loses_no_value_silently(spark, field, value, reason):
+    row = {**user("a"), field: value}
+    for text in (event("c", after=row), event("u", before=row, after=user("a"))):
+        assert reasons(spark, text, lenient=True) == [reason]
+    refused = d.quarantine(feed(spark, event("c", after=row)), USERS.image, USERS.scope, lenient=True)
+    assert refused.count() == (reason != "ok")
+    counts = d.reject_counts(feed(spark, event("c", after=row)), USERS.image, USERS.scope, lenient=True)
+    assert rows(counts, "reason", "events") == ([] if reason == "ok" else [(reason, 1)])
+
+
 def test_samples_without_ordering_and_partition_columns(spark):
     """The image schema is an argument; fields missing from the text are null."""
     spec = TableSpec(USERS.image, ("username",))

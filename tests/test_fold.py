@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rowtide import TableSpec
 from rowtide.operators import merge, meta, route
-from rowtide.operators.decode import decode
+from rowtide.operators.decode import decode, parse
 from rowtide.plans import reads
 from tests.helpers import C1, C2, C3, USERS, event, feed, plan, records, rows, user
 
@@ -42,6 +42,22 @@ def test_position_counts_after_the_log_file(spark):
     assert live(spark, (C1, [new, old])) == [("SG", "a", "new")]
 
 
+def test_log_files_are_counted_not_spelled(spark):
+    old = event("c", after=user("a", "old"), pos=9, file="mysql-bin.999999")
+    new = event("u", after=user("a", "new"), pos=1, file="mysql-bin.1000000")
+    for order in ([old, new], [new, old]):
+        assert live(spark, (C1, order)) == [("SG", "a", "new")]
+
+
+def test_ties_without_a_source_follow_the_feed(spark):
+    """Whatever the order of the input rows."""
+    spec_rows = [(event("u", after=user("a", f"p{i}"), source=None), 0, 0, i) for i in range(4)]
+    for shuffled in (spec_rows, spec_rows[::-1], spec_rows[2:] + spec_rows[:2]):
+        given = spark.createDataFrame(shuffled, "value string, timestamp long, partition int, offset long")
+        got = merge.fold(route.to_records(parse(given, USERS.image), USERS, C1), USERS)
+        assert rows(got, "password", "_src_file", "_src_pos") == [("p3", "partition.0", 3)]
+
+
 def test_late_rows(spark):
     on_time, late = c("a", 1, password="on time", ts=100), c("a", 2, op="u", password="late", ts=50)
     assert live(spark, (C1, [on_time, late])) == [("SG", "a", "on time")]

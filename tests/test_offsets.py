@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide.operators import offsets as o
+from rowtide.sources import landed
 from tests.helpers import plan, rows
 
 FEED = "topic string, partition int, offset long, timestamp long"
@@ -56,12 +57,13 @@ def _expected(messages, start, end):
 
 
 @pytest.mark.parametrize("start, end", [(-2, -1), (1100, 1300), (-2, 1250), (1300, -1), (-1, -1), (9999, -1)])
-@pytest.mark.parametrize("max_literal", [256, 2])
-def test_replay_window(queue, start, end, max_literal):
+@pytest.mark.parametrize("short", [100_000, 2])
+def test_replay_window(queue, start, end, short, monkeypatch):
+    monkeypatch.setattr(o, "SHORT_LIST", short)
     messages, feed = queue
     want = _expected(messages, start, end)
     assert {r.partition: (r.lo, r.hi) for r in o.offsets_for(feed, start, end).collect()} == want
-    got = o.replay_window(feed, start, end, max_literal=max_literal)
+    got = o.replay_window(feed, start, end)
     assert got.columns == feed.columns
     inside = sorted(m for m in messages if want[m[1]][0] <= m[2] < want[m[1]][1])
     assert sorted(tuple(r) for r in got.collect()) == inside
@@ -95,5 +97,24 @@ def test_window_filters_the_scan_of_a_landed_feed(spark, tmp_path, queue):
     path = str(tmp_path / "landed")
     queue[1].write.parquet(path)
     text = plan(o.replay_window(spark.read.parquet(path), 1100, 1300))
-    assert "Exchange" not in text and "Join" not in text
-    assert "GreaterThanOrEqual(offset" in text
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+    assert "GreaterThanOrEqual(offset" in text and "LessThan(offset" in text
+
+
+def test_feed_without_topic_or_partition(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    messages = spark.createDataFrame([("a", i, 1000 + i) for i in range(10)], "value string, offset long, timestamp long")
+    landed.land(messages, path)
+    feed = landed.bounded_landed(spark, path)
+    assert o.replay_window(feed, -2, -1).count() == 10
+    assert rows(o.replay_window(feed, 1004, 1006), "offset") == [(4,), (5,)]
+
+
+def test_half_a_second_of_a_feed_in_seconds(spark):
+    """A message of 2.7 s is landed as 2, so a window from 2.5 s has to have it."""
+    base = 1_700_000_000
+    in_seconds = spark.createDataFrame([("t", 0, i, base + i) for i in range(5)], FEED)
+    exact = spark.createDataFrame([("t", 0, i, (base + i) * 1000 + 700) for i in range(5)], FEED)
+    for feed in (in_seconds, exact):
+        assert rows(o.offsets_for(feed, base * 1000 + 2500, -1), "lo", "hi") == [(2, 5)]
+    assert o.replay_window(in_seconds, base * 1000 + 9000, -1).count() == 0

@@ -11,7 +11,7 @@ from rowtide.operators.route import to_records
 from rowtide.plans import events_feed as ef
 from rowtide.sources import landed
 from rowtide.streaming import ingest
-from rowtide.tables import ChangelogTable, RewriteTable
+from rowtide.tables import ChangelogTable, RewriteTable, catalog
 from tests.helpers import USERS, event, feed, plan, records, rows, user
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +54,8 @@ def test_stream_fold_is_batch_fold(spark, landed_feed, tmp_path):
 
     # one commit per micro-batch, in the form of an instant
     commits = [r[0] for r in table.commits().collect()]
+    files = [f for _, _, names in os.walk(table.log_path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 3 * 3  # micro-batches times partition values
     assert len(commits) == 3 and all(len(c) == 17 and c.isdigit() for c in commits)
 
     # a restart goes on from the checkpoint: nothing is added, new files are
@@ -147,14 +149,51 @@ def test_live_view_in_complete_mode(spark, landed_feed):
 def test_console(spark, landed_feed, capfd):
     stream = ingest.stream_records(landed.stream_landed(spark, landed_feed), ef.USERS)
     finish(ingest.start_console(stream, interval=None, rows=3))
-
-
-def test_batches_into_a_rewrite_table(spark, tmp_path):
+    printed = capfd.readouterr().out
+    assert "Batch: 0" in printed and "only showing top 3 rows" in printed
+    assert all(f"|{c}" in printed.replace(" ", "") for c in ("username", "_commit_time"))
+
+
+def test_streamed_table_is_compacted_and_trimmed(spark, landed_feed, tmp_path):
+    path = str(tmp_path / "t")
+    stream = landed.stream_landed(spark, landed_feed, max_files_per_trigger=1)
+    records_ = ingest.stream_records(stream, ef.USERS, ef.day_of_feed())
+    finish(ingest.start_changelog(records_, ef.USERS, path, str(tmp_path / "c"), interval=None))
+    table = ChangelogTable(spark, path, ef.USERS, streamed=True)
+    want = rows(merge.fold(ef.user_records(spark, SF), ef.USERS), *ef.USERS.columns)
+    assert rows(table.snapshot(), *ef.USERS.columns) == want
+    days = {n for n in os.listdir(table.log_path) if n.startswith("_commit_day=")}
+    assert len(days) == 30 and catalog.register_current(table, "streamed_users") == table.compact("99991231235959")
+    assert rows(spark.table("streamed_users"), *ef.USERS.columns) == want
+    spark.sql("drop table streamed_users")
+    text = plan(table.snapshot())
+    assert "PartitionFilters: [isnotnull(_commit_day" in text and ">= 20240130" in text
+    assert table.retain(3) == "20240128000000000"
+    assert {n for n in os.listdir(table.log_path) if n.startswith("_commit_day=")} == {f"_commit_day=202401{d}" for d in (28, 29, 30)}
+    assert rows(table.snapshot(), *ef.USERS.columns) == want and table.commits().count() == 3
+    with pytest.raises(ValueError, match="were removed"):
+        table.as_of("20240120000000")
+
+
+def test_tolerant_stream(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    landed.land(feed(spark, event("c", after=user("a", enabled="1")), event("c", after=user("b", enabled="x"))), path)
+    for lenient, found in ((True, [("a", 1)]), (False, [])):
+        stream = ingest.stream_records(landed.stream_landed(spark, path), USERS, lenient=lenient)
+        target = str(tmp_path / f"t{lenient}")
+        finish(ingest.start_changelog(stream, USERS, target, f"{target}-c", interval=None, files_per_partition=0))
+        assert rows(ChangelogTable(spark, target, USERS, streamed=True).snapshot(), "username", "enabled") == found
+
+
+@pytest.mark.parametrize("kind", [RewriteTable, ChangelogTable])
+def test_batches_into_a_stored_table(spark, tmp_path, kind):
     """The function a stream calls per micro-batch; starting the stream itself would open a callback port."""
-    table = RewriteTable(spark, str(tmp_path / "t"), USERS, buckets=2)
+    table = kind(spark, str(tmp_path / "t"), USERS)
     first = records(spark, ("20240101000000000", [event("c", after=user("a"), pos=1)]))
     second = records(spark, ("20240102000000000", [event("u", after=user("a", "p2"), pos=2)]))
     for number, batch in enumerate((first, second, second, first.limit(0))):
         ingest.apply_batch(table, batch, number)
     assert rows(table.snapshot(), "username", "password") == [("a", "p2")]
     assert table.commits().count() == 2
+    with pytest.raises(ValueError, match="one commit"):
+        ingest.apply_batch(table, first.unionByName(second), 9)
