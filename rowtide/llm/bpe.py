@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowtide.llm.common import ddl, small_batches
+from rowtide.llm.common import ddl, small_batches, tidy
 
 CHUNK, OVERLAP, MARGIN = 65536, 1024, 8
 # Pre-tokens whose ids a task remembers, and the longest of them.
@@ -138,7 +138,7 @@ def encode(
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = small_batches(docs).select(docs[id_col].alias("id"), text.alias("text"))
     kind = ddl(rows, "id")
-    short = rows.filter(F.length("text") <= chunk).mapInArrow(_encode_rows(ranks, pattern), f"id {kind}, ids binary")
+    short = rows.filter(F.length("text") <= chunk).mapInArrow(tidy(_encode_rows(ranks, pattern)), f"id {kind}, ids binary")
     numbered = rows.filter(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
     cut = numbered.mapInArrow(_cut(chunk, overlap), f"id {kind}, row long, start long, text binary")
     scattered = cut.repartition("row", "start")
@@ -223,7 +223,7 @@ def decode(tokens: DataFrame, ranks_path: str, ids_col: str = "ids", name: str =
                 out = [None if p is None else b"".join(map(token, np.frombuffer(p, "<u4").tolist())) for p in packed]
                 yield pa.RecordBatch.from_arrays([*part.columns, _binary(out)], columns)
 
-    return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField(name, T.BinaryType())]))
+    return tokens.mapInArrow(tidy(run), T.StructType([*tokens.schema.fields, T.StructField(name, T.BinaryType())]))
 
 
 def digests(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -55,6 +56,29 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def release_memory() -> None:
+    """Give what a worker process holds but does not use back to the system: workers are kept from stage to stage, and
+    their largest moments would add up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that releases memory before and after it runs."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
+        yield from run(batches)
+        release_memory()
+
+    return tidied
+
+
 def per_slice(
     work: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = ROWS_AT_A_TIME
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -65,7 +89,7 @@ def per_slice(
             for start in range(0, batch.num_rows, rows):
                 yield work(batch.slice(start, rows))
 
-    return run
+    return tidy(run)
 
 
 def ddl(df: DataFrame, column: str) -> str:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.lists import broadcast_if_short
-from rowtide.llm.common import bounded_sample, carried_row, ddl, small_batches, stored
+from rowtide.llm.common import BATCH_ROWS, bounded_sample, carried_row, ddl, small_batches, stored, tidy
 
 # Scripts and their main ranges of code points. What lies in none of them is script 0, "other".
 SCRIPTS = (
@@ -59,7 +59,7 @@ SWITCH_PENALTY = 12.0
 # A language is a candidate for a script that holds at least this share of its training letters.
 SCRIPT_SHARE = 0.01
 # Code points handled at a time; one longer text is handled alone.
-CHARS_AT_A_TIME = 3_000_000
+CHARS_AT_A_TIME = 1_500_000
 
 
 @lru_cache(maxsize=1)
@@ -249,8 +249,8 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
                 column = batch.column("row").field(text_col) if carry else batch.column("text")
                 texts = ["" if t is None else str(t) for t in column.to_pylist()]
                 for a, b in _batches(texts):
@@ -274,4 +274,4 @@ def identify(
     schema = f"id {ddl(rows, 'id')}, lang_pred string, score double"
     schema += ", spans array<struct<start: bigint, end: bigint, lang: string>>" if spans else ""
     schema += f", row {ddl(rows, 'row')}" if carry else ""
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), schema).withColumnRenamed("id", id_col)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import ddl, id_and_text, per_slice, stored
+from rowtide.llm.common import ddl, id_and_text, per_slice, stored, tidy
 from rowtide.llm.components import components
 
 BITS = 64
@@ -113,7 +113,7 @@ def links(distinct: DataFrame, distance: int = 2) -> DataFrame:
     sizes = met.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     met = stored(met.join(sizes, "key"), "simhash-blocks")
     groups = met.filter(F.col("size") <= GROUP).groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps")
-    close = groups.mapInArrow(_close_in_group(distance), "a long, b long")
+    close = groups.mapInArrow(tidy(_close_in_group(distance)), "a long, b long")
     crowded = met.filter(F.col("size") > GROUP).select("fp").distinct()
     flips = [F.lit(0)] + [F.lit((1 << i) - (1 << BITS) if i == BITS - 1 else 1 << i) for i in range(BITS)]
     reach = F.array(*(F.col("fp").bitwiseXOR(f.cast("long")) for f in flips[: 1 if distance == 0 else None]))

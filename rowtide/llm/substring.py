@@ -24,11 +24,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import carried_row, ddl, id_and_text
+from rowtide.llm.common import carried_row, ddl, id_and_text, release_memory, tidy
 
 WINDOW = 13
 # Words sent on together by a task, bytes hashed at a time.
-PORTION, SEGMENT = 600_000, 1_000_000
+PORTION, SEGMENT = 300_000, 500_000
 # Sizes for a bucket of the index and for a group of documents, in bytes of text.
 BUCKET_BYTES, GROUP_BYTES = 4_000_000, 4_000_000
 
@@ -191,7 +191,7 @@ def _send(window: int, bits: int, groups: int):
                 if size > 6 * PORTION:
                     if rows := portion(hasher, ids, texts):
                         yield _rows(rows, names)
-                    ids, texts, size = [], [], 0
+                    ids, texts, rows, size = [], [], [], 0
         if texts and (rows := portion(hasher, ids, texts)):
             yield _rows(rows, names)
 
@@ -287,6 +287,7 @@ def _remove(window: int, verbatim: bool):
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(),
                  pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
         found = {n: pa.array(v, k) for (n, v), k in zip(out.items(), kinds)}
+        release_memory()
         return pa.table(found | {n: texts.column(n) for n in texts.schema.names[3:]})
 
     return run
@@ -321,10 +322,10 @@ def remove_duplicates(
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, min(30, (size // BUCKET_BYTES).bit_length()))
     groups = max(256, size // GROUP_BYTES)
-    sent = rows.mapInArrow(_send(window, bits, groups), _SENT)
+    sent = rows.mapInArrow(tidy(_send(window, bits, groups)), _SENT)
     by_bucket = sent.repartition("bucket").sortWithinPartitions("bucket")
-    removed = by_bucket.mapInArrow(_look_up(bits, groups), _REMOVED)
-    texts = whole.mapInArrow(_pack_texts(groups), f"grp int, id long, text binary{more}")
+    removed = by_bucket.mapInArrow(tidy(_look_up(bits, groups)), _REMOVED)
+    texts = whole.mapInArrow(tidy(_pack_texts(groups)), f"grp int, id long, text binary{more}")
     kept = texts.groupBy("grp").cogroup(removed.groupBy("grp")).applyInArrow(
         _remove(window, verbatim),
         f"id long, n_words long, n_removed long, kept binary, spans array<struct<start: int, end: int>>{more}",
