@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.datasource import WriterCommitMessage
 
+from rowtide.llm.common import small_batches
+
 SCHEMA = (
     "warc_type string, record_id string, target_uri string, payload_digest string, payload_bytes long, "
     "refers_to string, payload binary"
@@ -48,7 +50,7 @@ HEADERS = {
     "refers_to": "WARC-Refers-To",
 }
 PUSHED = ("warc_type", "record_id", "target_uri", "payload_digest", "refers_to")
-STRETCH, READ_BYTES, BATCH_BYTES = 32 << 20, 1 << 16, 4 << 20
+STRETCH, READ_BYTES, BATCH_BYTES = 32 << 20, 1 << 16, 1 << 20
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -420,6 +422,7 @@ def base32(hex_digest):
 def write_pages(pages: DataFrame, path: str, **columns) -> None:
     """Write a page table as archives below ``path``, replacing what is there."""
     register(pages.sparkSession)
+    small_batches(pages)
     page_records(pages, **columns).write.format("warc").mode("overwrite").save(path)
 
 
