@@ -79,7 +79,8 @@ class RewriteTable:
         else:
             data = self.spark.read.schema(schema).parquet(self.data_path)
             data = with_file_name(data) if names else data
-        wanted = broadcast_if_short(slices.select(SLICE))
+        # a scan is pruned by the other side of a join only if that side has a bound
+        wanted = broadcast_if_short(slices.select(SLICE).filter(F.col(SLICE) > ""))
         return data.join(wanted, SLICE, "left_semi").select(*columns, *[FILE_NAME] * names)
 
     def apply(
