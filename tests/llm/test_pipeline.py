@@ -81,3 +81,12 @@ def test_extra_columns_pass_through(spark):
     docs = frame(spark, [(1, "some words", "a")]).selectExpr("*", "'x' as row", "1 as position", "2 as kept", "3 as score")
     for stage in list(STAGES.values())[:-1]:
         assert stage(spark, docs, "").columns == docs.columns
+
+
+def test_whole_run(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = corpus_pipeline.run(spark, sf).collect()
+    ids = [r["doc_id"] for r in rows]
+    assert len(set(ids)) == len(ids) > 100
+    assert set(ids) <= {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+    assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
