@@ -1,11 +1,13 @@
 """Queries of the subpackage against their SQL, on whole tables."""
 
+import os
+
 import duckdb
 import pytest
 
 from rowtide.llm.queries import ORACLES, QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF = f"/root/testdata/{os.environ.get('TEST_SF', 'sf0.001')}"
 
 
 @pytest.fixture(scope="module")
