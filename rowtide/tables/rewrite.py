@@ -17,7 +17,7 @@ from rowtide.functions.instants import LAST_INSTANT, validate_instant
 from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.merge import combine, fold
 from rowtide.operators.meta import FILE_NAME, with_file_name, with_read_meta
-from rowtide.spec import COMMIT, TableSpec
+from rowtide.spec import COMMIT, DELETED, TableSpec
 from rowtide.tables import folders
 from rowtide.tables.folders import COMMITTED, SLICE, TRIMMED, Entry
 
@@ -106,13 +106,14 @@ class RewriteTable:
         slices = f"{self.slices_path}/{commit}.{attempt}"
         touched.coalesce(1).write.parquet(slices)
         before = [e for e in folders.of_action(entries, COMMITTED) if e.instant < commit]
-        merged = batch
+        # a combined batch has one record per key already
+        merged = batch.filter(~F.col(DELETED))
         if before:
             touched = self.spark.read.schema(self._slices_schema).parquet(slices)
             same = [a.eqNullSafe(b) for a, b in ((F.col(f"o.{k}"), F.col(f"n.{k}")) for k in self.slice_key)]
             old = self._newest(before).alias("o").join(touched.alias("n"), same, "left_semi")
-            merged = self._stored(old, False).withColumn(BUCKET, self._bucket()).unionByName(batch)
-        merged = fold(merged, self.spec).withColumn(SLICE, named).drop(BUCKET).hint("rebalance", SLICE)
+            merged = fold(self._stored(old, False).withColumn(BUCKET, self._bucket()).unionByName(batch), self.spec)
+        merged = merged.withColumn(SLICE, named).drop(BUCKET).hint("rebalance", SLICE)
         writer = merged.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
         writer.partitionBy(SLICE, *self.spec.partition).parquet(self.data_path)
         if self._stored_buckets() is None:
