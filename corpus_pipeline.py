@@ -47,8 +47,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``; ids are packed as little-endian 32-bit numbers."""
-    return bpe.digests(docs, RANKS, public_tokenizers.PATTERN, ids=True)
+    """``doc_id, position, n_tokens, ids_sha256, decoded_sha256, ids``; ids are packed as little-endian 32-bit numbers.
+
+    ``position`` is the place in the mix, which neither the files read nor the rows written keep: it depends on ids and
+    sources alone, so it is counted again here. Sorting by it gives the order of the mix."""
+    mixed = mixing.mix(docs, carry=True).select(F.struct("doc_id", "position").alias("id"), F.col("row.text").alias("text"))
+    # stored, as encoding reads it twice and rows of equal id must keep their places
+    found = bpe.digests(stored(mixed, "tokens-mixed"), RANKS, public_tokenizers.PATTERN, id_col="id", ids=True)
+    return found.select("id.*", *found.columns[1:])
 
 
 STAGES = [

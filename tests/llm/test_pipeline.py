@@ -90,3 +90,26 @@ def test_whole_run(spark):
     assert len(set(ids)) == len(ids) > 100
     assert set(ids) <= {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in rows)
+
+
+def test_order_of_the_mix_survives(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    rows = [(i, f"text {i}", "abc"[min(2, i % 5)]) for i in range(600)] + [(None, "no id", "a"), (7, "other", "a"), (8, "more", None)]
+    rows[40] = (40, prose(rng, 25_000), "a")
+    rows[41] = (41, prose(rng, 25_000), "b")
+    assert min(len(rows[40][1]), len(rows[41][1])) > bpe.CHUNK
+    docs = frame(spark, rows)
+    planned = {(r["doc_id"], r["source"]): r["position"] for r in corpus_pipeline.mixing.mix(docs).collect()}
+    path = str(tmp_path / "mixed")
+    STAGES["mixing sources to target weights"](spark, docs, "").repartition(5, "text").write.parquet(path)
+    got = STAGES["byte-level BPE encoding and decoding"](spark, spark.read.parquet(path), "").collect()
+    got.sort(key=lambda r: r["position"])
+    assert len({r["position"] for r in got}) == len(got) == len(rows)
+    text_of = {hashlib.sha256(t.encode()).hexdigest(): (d, s) for d, t, s in rows}
+    order = [text_of[r["decoded_sha256"]] for r in got]
+    assert [d for d, _ in order] == [r["doc_id"] for r in got]
+    assert order == sorted(order, key=planned.get)
+    # blocks of 16 of a source follow one another in the order of their slots
+    blocks = {r["position"] // 16: s for r, (_, s) in zip(got, order)}
+    assert all(blocks[r["position"] // 16] == s for r, (_, s) in zip(got, order))
+    assert len({blocks[b] for b in sorted(blocks)[:6]}) >= 3
