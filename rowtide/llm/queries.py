@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import ann, bpe, chat, langid, mixing, omh, simhash, substring, toxicity, warc
+from rowtide.llm import ann, bpe, chat, langid, lexical, mixing, omh, simhash, substring, toxicity, warc
 from rowtide.llm.common import in_test_fold, table
 from rowtide.tables.folders import shared_folder
 
@@ -77,6 +77,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 def _escaped_length(column: str) -> str:
@@ -152,4 +157,34 @@ ORACLES: dict[str, str] = {
             case when page_id is distinct from keeper then keeper end as refers_to
         from d
     """,
+    "op12_ranked_search": r"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ),
+        lengths as (select doc_id, count(*) as n from words group by doc_id),
+        sizes as (select count(*) as docs, cast(sum(n) as bigint) as every from lengths),
+        asked as (
+            select item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ),
+        tfs as (select doc_id, term, count(*) as tf from words semi join asked using (term) group by all),
+        dfs as (select term, count(*) as df from tfs group by term),
+        impacts as (
+            select doc_id, term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint)
+                * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // every)))) as impact
+            from tfs join dfs using (term) join lengths using (doc_id) cross join sizes
+        ),
+        scores as (select item_id, doc_id, cast(sum(impact) as bigint) as score from asked join impacts using (term) group by all),
+        ranked as (
+            select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank,
+                doc_id, score
+            from scores where score > 0
+        )
+        select * from ranked where rank <= 20
+    """,
 }
