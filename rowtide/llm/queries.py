@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import ann, bpe, chat, langid, lexical, mixing, omh, simhash, substring, toxicity, warc
+from rowtide.llm import ann, bpe, chat, langid, lexical, mixing, negatives, omh, simhash, substring, toxicity, warc
 from rowtide.llm.common import in_test_fold, table
 from rowtide.tables.folders import shared_folder
 
@@ -81,6 +81,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), every=100, least=80, most=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
     "op12_ranked_search": op12_ranked_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 def _escaped_length(column: str) -> str:
@@ -187,4 +193,29 @@ ORACLES: dict[str, str] = {
         )
         select * from ranked where rank <= 20
     """,
+    "op13_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+            from embeddings
+            where label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scores as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+                cast(list_dot_product(a.q, b.q) as bigint) as score
+            from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+        ),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        ),
+        ranked as (
+            select anchor_id, positive_id, cast(row_number() over (
+                    partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+                vec_id as negative_id, positive_score, score as negative_score
+            from positives join scores using (anchor_id)
+            where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+        )
+        select * from ranked where rank <= 5
+    """,
 }
