@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm import ann, bpe, chat, langid, lexical, mixing, negatives, omh, simhash, substring, toxicity, warc
+from rowtide.llm import ann, bpe, chat, langid, lexical, lines, mixing, negatives, omh, simhash, substring, toxicity, warc
 from rowtide.llm.common import in_test_fold, table
 from rowtide.tables.folders import shared_folder
 
@@ -77,6 +77,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = lines.fit(docs, table(spark, sf_dir, "labels"))
+    return lines.judge(docs, field)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
 
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_quality_rules": op11_quality_rules,
     "op12_ranked_search": op12_ranked_search,
     "op13_hard_negatives": op13_hard_negatives,
 }
