@@ -307,8 +307,8 @@ def _elsewhere(index: Index, asked: DataFrame) -> DataFrame:
                     overlaps |= (high >= max(least, bar)) & (low <= most)
                 overlaps[own] = False
                 blocks = np.flatnonzero(overlaps).astype(np.int32)
-                copies = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names).take(pa.array([number] * len(blocks)))
                 if len(blocks):
+                    copies = batch.take(pa.array([number] * len(blocks)))
                     yield copies.set_column(batch.schema.names.index("block"), "block", pa.array(blocks))
 
     return asked.mapInArrow(run, asked.schema)

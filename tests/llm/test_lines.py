@@ -1,0 +1,152 @@
+import itertools
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rowtide.llm import lines
+from rowtide.llm.common import in_test_fold
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + j for i in range(len(words) - 2) for j in range(3) if windows[tuple(words[i : i + 3])] > 1}
+    said = [line for line in text.split("\n") if WORD.search(line)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            sum(line in said[:k] for k, line in enumerate(said)), len(covered))
+
+
+def random_texts():
+    rng = np.random.default_rng(1)
+    pieces = ["a", "b", "Äß", "c#d", "||", "\n", "\n\n", " ", "\t", "\x0b", "\r\n", "\x1c", " ", " x", "<a>", "𝒳"]
+    return [" ".join(rng.choice(pieces[:6], rng.integers(0, 40))) + "".join(rng.choice(pieces, rng.integers(0, 60))) for _ in range(150)]
+
+
+def test_base_measures(monkeypatch):
+    texts = [*random_texts(), "", " \n ", "a", "a b a b", "x y z x y z", "l\nl\n l\nl"]
+    for size in (lines.STRETCH, 1, 5):
+        monkeypatch.setattr(lines, "STRETCH", size)
+        for text in texts:
+            found = lines.measure(text.encode())
+            assert tuple(getattr(found, n) for n in BASE) == base(text), text
+            assert found.words.sum() == found.n_words and len(found.features) == len(found.digests) == len(found.words)
+
+
+def test_repeats_with_many_words():
+    """Three word numbers that do not fit one 64-bit number."""
+    ids = np.array([0, 1, 2, 9, 0, 1, 2, 2, 1, 0])
+    assert lines._repeated(ids, 10) == lines._repeated(ids, 3_000_000) == 6
+
+
+def all_labellings(field, features):
+    best = None
+    for labels in itertools.product((0, 1), repeat=len(features)):
+        score = sum(float(f @ field.line) for f, y in zip(features, labels) if y)
+        score += sum(field.step[a, b] for a, b in zip(labels, labels[1:]))
+        if best is None or score > best[0] + 1e-12:
+            best = score, labels
+    return list(best[1])
+
+
+def test_viterbi_against_all_labellings():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        field = lines.Field(rng.normal(size=len(lines.FEATURES)), rng.normal(size=(2, 2)))
+        features = rng.normal(size=(rng.integers(1, 9), len(lines.FEATURES)))
+        assert field.boilerplate(features).astype(int).tolist() == all_labellings(field, features)
+    assert lines.Field(np.zeros(16), np.zeros((2, 2))).boilerplate(np.ones((3, 16))).tolist() == [False] * 3
+
+
+def likelihood(field, sequences, labels):
+    """Mean log likelihood a line, with the sum over all labellings, and the penalty."""
+    total = 0.0
+    for features, truth in zip(sequences, labels):
+        scores = []
+        for guess in itertools.product((0, 1), repeat=len(features)):
+            score = sum(float(f @ field.line) for f, y in zip(features, guess) if y)
+            scores.append(score + sum(field.step[a, b] for a, b in zip(guess, guess[1:])))
+            if list(guess) == [int(t) for t in truth]:
+                own = scores[-1]
+        total += own - np.log(np.exp(scores).sum())
+    penalty = lines.PENALTY / 2 * ((field.line**2).sum() + (field.step**2).sum())
+    return total / sum(map(len, sequences)) - penalty
+
+
+def test_training_climbs_the_likelihood(monkeypatch):
+    """No small step in any weight improves what the fit ends with."""
+    rng = np.random.default_rng(3)
+    sequences = [rng.random((n, len(lines.FEATURES))) for n in (1, 2, 3, 5, 4, 2)]
+    labels = [rng.random(len(s)) < 0.4 for s in sequences]
+    monkeypatch.setattr(lines, "PENALTY", 0.05)
+    monkeypatch.setattr(lines, "ROUNDS", 1500)
+    monkeypatch.setattr(lines, "STEP", 0.01)
+    field = lines.train(sequences, labels)
+    top = likelihood(field, sequences, labels)
+    assert top > likelihood(lines.Field(np.zeros(len(lines.FEATURES)), np.zeros((2, 2))), sequences, labels) + 0.05
+    for value in (field.line, field.step):
+        for at in np.ndindex(value.shape):
+            for step in (0.02, -0.02):
+                value[at] += step
+                assert likelihood(field, sequences, labels) < top + 1e-6
+                value[at] -= step
+
+
+def corpus(spark, sf="sf0.1"):
+    return (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+
+
+def test_held_out_documents(spark):
+    docs, labels = corpus(spark)
+    held_out = in_test_fold("doc_id", 5, 0)
+    field = lines.fit(docs, labels.filter(~held_out))
+    judged = lines.judge(docs, field).filter("not base_failed").join(labels.filter(held_out), "doc_id")
+    (row,) = judged.agg(
+        F.avg(F.when(F.col("quality") == 1, F.col("kept").cast("double"))).alias("good"),
+        F.avg(F.when(F.col("quality") == 0, F.col("kept").cast("double"))).alias("bad"),
+    ).collect()
+    assert row["good"] > 0.99 and row["bad"] < 0.05
+
+
+def test_odd_rows(spark):
+    docs, labels = corpus(spark, "sf0.001")
+    field = lines.fit(docs, labels)
+    prose = docs.join(labels.filter("quality = 1"), "doc_id").filter("n_chars > 500").orderBy("doc_id").first()["text"]
+    texts = [(1, prose), (1, prose), (2, None), (3, ""), (4, "a b c"), (None, prose), (5, "spam " * 400_000), (6, prose * 300)]
+    odd = spark.createDataFrame([(i, t, True, 9) for i, t in texts], "doc_id long, text string, kept boolean, n_words int")
+    got = lines.judge(odd, field).collect()
+    assert len(got) == len(texts)
+    want = sorted((str(i), base(t)) for i, t in texts[:-2])
+    assert sorted((str(r["doc_id"]), tuple(r[n] for n in BASE)) for r in got if r["doc_id"] not in (5, 6)) == want
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    assert kept == {1: True, 2: False, 3: False, 4: False, None: True, 5: False, 6: False}
+    assert all(0 <= r["content_share"] <= 1 and r["kept"] <= (not r["base_failed"]) for r in got)
+    assert lines.judge(odd.limit(0), field).collect() == []
+
+
+def test_odd_labels(spark):
+    docs = spark.createDataFrame([(1, "a good text.\nSame line."), (2, "bad %%% text\nSame line.")], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (9, 1), (2, None)], "doc_id long, quality int")
+    field = lines.fit(docs, marks)
+    # the line both have is content, the other one of the bad text is not
+    assert [field.boilerplate(lines.measure(t.encode()).features).tolist() for t in ("a good text.\nSame line.", "bad %%% text")] == [
+        [False, False], [True]]
+    none = lines.fit(docs, marks.filter("false"))
+    assert not none.boilerplate(lines.measure(b"x\ny\n%%%").features).any()
+
+
+@pytest.mark.parametrize("share,kept", [(0.5, True), (0.9, False)])
+def test_share_of_content_decides(spark, share, kept):
+    field = lines.Field(np.zeros(len(lines.FEATURES)), np.zeros((2, 2)))
+    field.line[lines.FEATURES.index("symbols a word")] = 5.0
+    words = [f"w{i}" for i in range(60)]
+    text = " ".join(words) + "\n" + " ".join(f"#{w}" for w in words[:20])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = lines.judge(docs, field, content_share=share).collect()
+    assert row["content_share"] == 0.75 and row["n_content_lines"] == 1 and row["kept"] is kept
