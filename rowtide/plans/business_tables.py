@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.epoch import ntz_epoch_seconds
 from rowtide.operators.merge import fold
+from rowtide.plans import events_feed
 from rowtide.spec import COMMIT, DELETED, SRC_FILE, SRC_POS, SRC_ROW, TableSpec, image_of_types
 from rowtide.tables.folders import shared_folder
 from rowtide.tables.rewrite import RewriteTable
@@ -98,6 +99,17 @@ def stored_customers(spark: SparkSession, sf_dir: str) -> RewriteTable:
     return table
 
 
+def moving_users(spark: SparkSession, sf_dir: str) -> RewriteTable:
+    """The users of the change feed, one row each wherever they are: three commits of ten days of events."""
+    records = events_feed.user_records(spark, sf_dir)
+    path = shared_folder(spark, "users-moving")
+    table = RewriteTable(spark, path, events_feed.USERS, buckets=4, global_key=True)
+    day = F.col(COMMIT).substr(7, 2).cast("int")
+    for number, commit in enumerate((LOADED, INSERTED, UPDATED)):
+        table.apply(records.filter(F.least(F.floor((day - 1) / 10), F.lit(2)) == number), commit)
+    return table
+
+
 def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers before and after the second commit, marked by ``version``."""
     table = stored_customers(spark, sf_dir)

@@ -151,6 +151,10 @@ ORACLES: dict[str, str] = {
     + _pick("comb", "rows", "commit_time, username", _BY_TS)
     + _pick("cur", "comb", "username", "commit_time desc")
     + f" select {_ROW} from cur where not is_deleted",
+    "changelog_global_moves": _FEED
+    + _pick("comb", "rows", "commit_time, username", _BY_TS)
+    + _pick("cur", "comb", "username", "commit_time desc")
+    + f" select {_ROW} from cur where not is_deleted",
     "upsert_fold_moves": _MOVED + f" select {_ROW} from cur where not is_deleted",
     "delete_apply": _fold() + " select country, username, commit_time as _commit_time from cur where is_deleted",
     "live_view": _EVENT_FOLD + f" select {_ROW} from cur where not is_deleted",
@@ -159,6 +163,15 @@ ORACLES: dict[str, str] = {
     "schema_evolution": _fold() + f" select {_ROW}, cast(number as varchar) as number from cur where not is_deleted",
     "snapshot": _SNAPSHOT,
     "compact_equivalence": _SNAPSHOT,
+    "compact_slices": _SNAPSHOT,
+    "version_changes": _COMBINED
+    + _pick("old", "comb", "country, username", "commit_time desc", "commit_time <= '20240115000000000'")
+    + _pick("new", "comb", "country, username", "commit_time desc", "commit_time <= '20240125000000000'")
+    + """, a as (select * from old where not is_deleted), b as (select * from new where not is_deleted)
+         select case when a.pos is null then 'insert' when b.pos is null then 'delete' else 'update' end as change,
+           country, username, a.password as before_password, b.password as after_password,
+           a.commit_time as before_commit, b.commit_time as after_commit
+         from a full join b using (country, username) where a.commit_time is distinct from b.commit_time""",
     "incremental": _SNAPSHOT + " and commit_time > '20240125000000000'",
     "time_travel": _AS_OF_MID_MONTH,
     "time_travel_prefix": _AS_OF_MID_MONTH,
@@ -200,6 +213,16 @@ ORACLES: dict[str, str] = {
       union all
       select '20240103000000000', o_orderkey, case when s >= 852076800 and s < 883612800 then o_totalprice * 2
         else o_totalprice end, case when s >= 852076800 and s < 883612800 then '20240103000000000' else c end from v""",
+    "rewrite_global_moves": _FEED
+    + """, batches as (select * exclude (commit_time), '2024010' || (1 + least((cast(commit_time[7:8] as int) - 1) // 10, 2))
+             || '000000000' as commit_time from rows)"""
+    + _pick("comb", "batches", "commit_time, username", _BY_TS)
+    + _pick("cur", "comb", "username", "commit_time desc")
+    + f" select {_ROW} from cur where not is_deleted",
+    "rewrite_changes": """
+      select case when c_mktsegment = 'FURNITURE' then 'delete' else 'update' end as change, c_custkey,
+        c_acctbal as before_acctbal, case when c_mktsegment <> 'FURNITURE' then cast(0 as double) end as after_acctbal
+      from customer where c_mktsegment = 'FURNITURE' or c_acctbal < 0""",
     "rewrite_incremental": """
       select c_custkey, c_name, cast(0 as double) as c_acctbal, c_mktsegment, '20240103000000000' as _commit_time
       from customer where c_acctbal < 0 and c_mktsegment <> 'FURNITURE'""",

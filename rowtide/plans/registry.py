@@ -247,6 +247,55 @@ def compact_equivalence(spark, sf_dir):
     return table.snapshot().select(*ROW)
 
 
+def compact_slices(spark, sf_dir):
+    """The fold from a base that was compacted twice, the second time only where the log has records."""
+    table = ChangelogTable(spark, shared_folder(spark, "users-slices"), USERS, buckets=4)
+    table.append_history(_records(spark, sf_dir))
+    table.compact(MID_MONTH)
+    table.compact(LATE_MONTH)
+    return table.snapshot().select(*ROW)
+
+
+def version_changes(spark, sf_dir):
+    """Rows inserted, updated and removed between two instants, with what they were and are."""
+    table = ChangelogTable(spark, shared_folder(spark, "users-changes"), USERS, buckets=2)
+    table.append_history(_records(spark, sf_dir))
+    table.compact(MID_MONTH)
+    changed = table.changes(MID_MONTH, LATE_MONTH)
+    return changed.select(
+        "change",
+        F.coalesce("after.country", "before.country").alias("country"),
+        F.coalesce("after.username", "before.username").alias("username"),
+        F.col("before.password").alias("before_password"),
+        F.col("after.password").alias("after_password"),
+        F.col(f"before.{COMMIT}").alias("before_commit"),
+        F.col(f"after.{COMMIT}").alias("after_commit"),
+    )
+
+
+def changelog_global_moves(spark, sf_dir):
+    """A user is one row in the whole table: the stored table finds the row a user left behind without a before image."""
+    table = ChangelogTable(spark, shared_folder(spark, "users-global"), USERS, buckets=4, global_key=True)
+    table.append_history(_records(spark, sf_dir))
+    table.compact(MID_MONTH)
+    return table.snapshot().select(*ROW)
+
+
+def rewrite_global_moves(spark, sf_dir):
+    return business.moving_users(spark, sf_dir).snapshot().select(*ROW)
+
+
+def rewrite_changes(spark, sf_dir):
+    """Customers that a commit changed or removed, with their balance before and after."""
+    changed = business.stored_customers(spark, sf_dir).changes(business.LOADED, business.UPDATED)
+    return changed.select(
+        "change",
+        F.coalesce("after.c_custkey", "before.c_custkey").alias("c_custkey"),
+        F.col("before.c_acctbal").alias("before_acctbal"),
+        F.col("after.c_acctbal").alias("after_acctbal"),
+    )
+
+
 def retention(spark, sf_dir):
     records = _records(spark, sf_dir)
     kept = merge.changelog_until(records, USERS, meta.oldest_of_last(records, KEPT_COMMITS))
@@ -337,6 +386,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "limit_update": limit_update,
     "table_count": table_count,
     "compact_equivalence": compact_equivalence,
+    "compact_slices": compact_slices,
+    "version_changes": version_changes,
+    "changelog_global_moves": changelog_global_moves,
     "retention": retention,
     "retention_stored": retention_stored,
     "schema_evolution": schema_evolution,
@@ -351,4 +403,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rewrite_versions": rewrite_versions,
     "rewrite_retained": rewrite_retained,
     "rewrite_incremental": rewrite_incremental,
+    "rewrite_global_moves": rewrite_global_moves,
+    "rewrite_changes": rewrite_changes,
 }

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import time
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,20 +21,30 @@ from rowtide.spec import COMMIT, TableSpec
 # What a timeline entry says happened at its instant.
 COMMITTED, COMPACTED, TRIMMED, REPLACED = "committed", "compacted", "trimmed", "replaced"
 
-# The one folder column of stored data: the attempt that wrote it.
-SLICE = "_slice"
+# Folder columns of stored data: the attempt that wrote it, and what of the table it holds.
+ATTEMPT, SLICE = "_attempt", "_slice"
+
+# Files removed side by side.
+REMOVERS = 16
+
+
+@functools.cache
+def _temporary() -> str:
+    path = tempfile.mkdtemp(prefix="rowtide-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder every executor can reach, below the one the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of the machine.
+    Only a local session may fall back to a temporary folder of the machine, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="rowtide-")
+        root = _temporary()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -61,6 +76,17 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, folder = _file_system(spark, path)
+    if fs.exists(folder) and not fs.rename(folder, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def remove_all(spark: SparkSession, paths: list[str]) -> None:
+    with ThreadPoolExecutor(REMOVERS) as pool:
+        list(pool.map(lambda path: remove(spark, path), paths))
+
+
 def require_keys(records: DataFrame, spec: TableSpec) -> DataFrame:
     """Fail the job on a record without key or partition value; a folder name cannot tell null from empty text."""
     checked = {}
@@ -109,19 +135,25 @@ class Timeline:
 
     def enter(self, instant: str, action: str, attempt: str, replace: bool = False) -> None:
         """Make an attempt count. ``replace``: and nothing that was entered before."""
-        newest = max((int(n.split("-")[0]) for n in children(self.spark, self.path)), default=0)
-        written = max(time.time_ns(), newest + 1)
-        create(self.spark, f"{self.path}/{written:020d}-{instant}-{action}-{attempt}")
+        (written,) = self.enter_all([instant], action, attempt)
         if replace:
             # hides all older ones at once, and with them the entry just made until this one stands
             create(self.spark, f"{self.path}/{written:020d}-{instant}-{REPLACED}-{attempt}")
 
+    def enter_all(self, instants: Iterable[str], action: str, attempt: str) -> list[int]:
+        """Make an attempt at several instants count, one after another. The timeline is listed once."""
+        newest = max((int(n.split("-")[0]) for n in children(self.spark, self.path)), default=0)
+        made = []
+        for instant in instants:
+            newest = max(time.time_ns(), newest + 1)
+            create(self.spark, f"{self.path}/{newest:020d}-{instant}-{action}-{attempt}")
+            made.append(newest)
+        return made
+
     def forget(self, keep: list[Entry]) -> None:
         """Remove the entries that are not in ``keep``."""
         names = {f"{e.written:020d}-{e.instant}-{e.action}-{e.attempt}" for e in keep}
-        for name in children(self.spark, self.path):
-            if name not in names:
-                remove(self.spark, f"{self.path}/{name}")
+        remove_all(self.spark, [f"{self.path}/{n}" for n in children(self.spark, self.path) if n not in names])
 
 
 def of_action(entries: list[Entry], action: str, until: str | None = None) -> list[Entry]:

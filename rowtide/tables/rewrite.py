@@ -1,27 +1,22 @@
 """Copy-on-write table: a commit rewrites the slices that hold changed rows and leaves the others alone.
 
-A slice is a partition value and a bucket of the record key. The number of buckets is stored with the table and sets how
-much a small commit rewrites: a hot partition value spreads over all of them. Layout below the table path:
-``data/_slice=<attempt>.<slice>/<partition>=<value>/``, ``slices/_slice=<commit>.<attempt>/`` with one small row per
-rewritten slice, and ``timeline/``. A slice listed without data is empty, so deleting all its rows cannot bring its
-previous version back.
+The number of buckets of the record key sets how much a small commit rewrites. ``slices`` says how the data lies; the
+``timeline`` says which commits count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowtide.functions.instants import LAST_INSTANT, validate_instant
-from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.merge import combine, fold
-from rowtide.operators.meta import FILE_NAME, with_file_name, with_read_meta
+from rowtide.operators.meta import with_read_meta
 from rowtide.spec import COMMIT, DELETED, TableSpec
 from rowtide.tables import folders
-from rowtide.tables.folders import COMMITTED, SLICE, TRIMMED, Entry
-
-VERSION, BUCKET = "_version", "_bucket"
+from rowtide.tables.changes import between
+from rowtide.tables.folders import COMMITTED, TRIMMED, Entry
+from rowtide.tables.slices import Slices
 
 
 class RewriteTable:
@@ -32,56 +27,20 @@ class RewriteTable:
         spec: TableSpec,
         buckets: int | None = None,
         file_names: bool = False,
+        global_key: bool = False,
     ):
         """``buckets`` is fixed by the first commit; a table that has another number refuses the handle. ``file_names``
-        adds ``_file_name``, the file a row is in, to every read."""
+        adds ``_file_name``, the file a row is in, to every read. With ``global_key`` a record key is one row in the whole
+        table: a record with another partition value moves it. That too is for the life of the table."""
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.file_names = file_names
-        self.data_path, self.slices_path = f"{self.path}/data", f"{self.path}/slices"
+        self.file_names, self.by_partition = file_names, not global_key
+        self.slices = Slices(spark, self.path, spec, buckets, self.by_partition)
+        self.data_path = self.slices.data_path
         self.timeline = folders.Timeline(spark, self.path)
-        self.slice_key = (*spec.partition, BUCKET)
-        stored = self._stored_buckets()
-        if buckets is not None and stored is not None and buckets != stored:
-            raise ValueError(f"the table has {stored} buckets, not {buckets}")
-        self.buckets = stored or buckets or 1
-
-    def _stored_buckets(self) -> int | None:
-        names = folders.children(self.spark, f"{self.path}/settings")
-        return next((int(n.removeprefix("buckets=")) for n in names if n.startswith("buckets=")), None)
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.spec.record_key), F.lit(self.buckets)).cast("int")
 
     @property
-    def _slices_schema(self) -> T.StructType:
-        key = [*(self.spec.image[p] for p in self.spec.partition), T.StructField(BUCKET, T.IntegerType())]
-        return T.StructType([*key, T.StructField(SLICE, T.StringType()), T.StructField(VERSION, T.StringType())])
-
-    def _slices(self, entries: list[Entry]) -> DataFrame:
-        """Rewritten slices of the given commits."""
-        if not entries:
-            return self.spark.createDataFrame([], self._slices_schema)
-        paths = [f"{self.slices_path}/{e.instant}.{e.attempt}" for e in entries]
-        return self.spark.read.schema(self._slices_schema).parquet(*paths)
-
-    def _newest(self, entries: list[Entry]) -> DataFrame:
-        """The last version of every slice."""
-        last = F.max(F.struct(VERSION, SLICE)).alias("last")
-        return self._slices(entries).groupBy(*self.slice_key).agg(last).select(*self.slice_key, "last.*")
-
-    def _stored(self, slices: DataFrame, names: bool) -> DataFrame:
-        """Rows of the given slices. The join is on the one folder column, so other folders are not opened."""
-        schema = T.StructType([*self.spec.record_schema.fields, T.StructField(SLICE, T.StringType())])
-        columns = self.spec.record_schema.fieldNames()
-        if not folders.exists(self.spark, self.data_path):
-            data = self.spark.createDataFrame([], schema)
-            data = data.withColumn(FILE_NAME, F.lit(None).cast("string")) if names else data
-        else:
-            data = self.spark.read.schema(schema).parquet(self.data_path)
-            data = with_file_name(data) if names else data
-        # a scan is pruned by the other side of a join only if that side has a bound
-        wanted = broadcast_if_short(slices.select(SLICE).filter(F.col(SLICE) > ""))
-        return data.join(wanted, SLICE, "left_semi").select(*columns, *[FILE_NAME] * names)
+    def buckets(self) -> int:
+        return self.slices.buckets
 
     def apply(
         self, records: DataFrame, commit: str, overwrite: bool = False, max_records_per_file: int = 0
@@ -95,31 +54,15 @@ class RewriteTable:
         folders.check_new_commit(entries, commit)
         attempt = folders.new_attempt()
         records = folders.require_keys(records, self.spec).withColumn(COMMIT, F.lit(commit))
-        pending = f"{self.path}/pending/{attempt}"
-        combine(records, self.spec).withColumn(BUCKET, self._bucket()).write.parquet(pending)
-        # read back, so that the batch is evaluated once
-        batch = self.spark.read.schema(T.StructType([*self.spec.record_schema.fields, T.StructField(BUCKET, T.IntegerType())]))
-        batch = batch.parquet(pending)
-        name = F.sha1(F.to_json(F.struct(*self.slice_key)).cast("binary"))
-        named = F.concat(F.lit(f"{attempt}."), name)
-        touched = batch.select(*self.slice_key).distinct().select("*", named.alias(SLICE), F.lit(commit).alias(VERSION))
-        slices = f"{self.slices_path}/{commit}.{attempt}"
-        touched.coalesce(1).write.parquet(slices)
         before = [e for e in folders.of_action(entries, COMMITTED) if e.instant < commit]
-        # a combined batch has one record per key already
-        merged = batch.filter(~F.col(DELETED))
-        if before:
-            touched = self.spark.read.schema(self._slices_schema).parquet(slices)
-            same = [a.eqNullSafe(b) for a, b in ((F.col(f"o.{k}"), F.col(f"n.{k}")) for k in self.slice_key)]
-            old = self._newest(before).alias("o").join(touched.alias("n"), same, "left_semi")
-            merged = fold(self._stored(old, False).withColumn(BUCKET, self._bucket()).unionByName(batch), self.spec)
-        merged = merged.withColumn(SLICE, named).drop(BUCKET).hint("rebalance", SLICE)
-        writer = merged.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
-        writer.partitionBy(SLICE, *self.spec.partition).parquet(self.data_path)
-        if self._stored_buckets() is None:
-            folders.create(self.spark, f"{self.path}/settings/buckets={self.buckets}")
+
+        def merge(rows: DataFrame) -> DataFrame:
+            # a combined batch has one record per key already
+            return fold(rows, self.spec, by_partition=self.by_partition) if before else rows.filter(~F.col(DELETED))
+
+        batch = combine(records, self.spec, self.by_partition)
+        self.slices.write(batch, commit, attempt, before, merge, max_records_per_file)
         self.timeline.enter(commit, COMMITTED, attempt, replace=overwrite)
-        folders.remove(self.spark, pending)
         if overwrite:
             self._clean()
 
@@ -127,15 +70,15 @@ class RewriteTable:
         """The commits that can be read."""
         return folders.commits_frame(self.spark, self.timeline.entries())
 
-    def _read(self, entries: list[Entry], slices: DataFrame, meta: bool) -> DataFrame:
-        rows = self._stored(slices, meta or self.file_names)
+    def _read(self, slices: DataFrame, meta: bool) -> DataFrame:
+        rows = self.slices.read(slices, meta or self.file_names)
         return with_read_meta(rows, self.spec) if meta else rows
 
     def as_of(self, instant: str, meta: bool = False) -> DataFrame:
         """The rows at ``instant``. ``meta`` puts the columns about a row in front, its file included."""
         entries = self.timeline.entries()
         folders.check_kept(entries, instant)
-        return self._read(entries, self._newest(folders.of_action(entries, COMMITTED, instant)), meta)
+        return self._read(self.slices.newest(folders.of_action(entries, COMMITTED, instant)), meta)
 
     def snapshot(self, meta: bool = False) -> DataFrame:
         return self.as_of(LAST_INSTANT, meta)
@@ -147,10 +90,18 @@ class RewriteTable:
         ``begin``, so the other slices are not opened.
         """
         validate_instant(begin)
-        entries = self.timeline.entries()
-        later = [e for e in folders.of_action(entries, COMMITTED) if e.instant > begin]
+        later = [e for e in folders.of_action(self.timeline.entries(), COMMITTED) if e.instant > begin]
         # the newest version of a slice is after begin if any version is
-        return self._read(entries, self._newest(later), meta).filter(F.col(COMMIT) > begin)
+        return self._read(self.slices.newest(later), meta).filter(F.col(COMMIT) > begin)
+
+    def changes(self, begin: str, end: str = LAST_INSTANT) -> DataFrame:
+        """What became of the rows from ``begin`` to ``end``: see ``changes.between``. Only slices that were written
+        between the two are opened."""
+        entries = self.timeline.entries()
+        folders.check_kept(entries, begin)
+        before, after = (folders.of_action(entries, COMMITTED, i) for i in (begin, end))
+        old, new = (self.slices.read(s) for s in self.slices.changed(before, after))
+        return between(old, new, self.spec, self.by_partition)
 
     def retain(self, keep: int, above: int | None = None) -> str | None:
         """Keep the last ``keep`` commits readable and remove every slice none of them needs. Returns the oldest kept.
@@ -158,36 +109,20 @@ class RewriteTable:
         With ``above`` nothing happens until there are more commits than that. Run it while nobody writes or reads an
         older version. The lists of older commits become one, that of the oldest kept.
         """
-        entries = self.timeline.entries()
-        commits = folders.of_action(entries, COMMITTED)
+        commits = folders.of_action(self.timeline.entries(), COMMITTED)
         floor = folders.oldest_kept([e.instant for e in commits], keep, above)
         if floor is None:
             return None
         if commits[0].instant < floor:
-            attempt = folders.new_attempt()
-            current = self._newest([e for e in commits if e.instant <= floor]).withColumn(VERSION, F.lit(floor))
-            current.select(*self._slices_schema.fieldNames()).coalesce(1).write.parquet(
-                f"{self.slices_path}/{floor}.{attempt}"
-            )
+            attempt = self.slices.join_lists([e for e in commits if e.instant <= floor], floor)
             self.timeline.enter(floor, COMMITTED, attempt)
         self.timeline.enter(floor, TRIMMED, folders.new_attempt())
-        kept = [e for e in self.timeline.entries() if e.instant >= floor]
-        self.timeline.forget(kept)
+        self.timeline.forget([e for e in self.timeline.entries() if e.instant >= floor])
         self._clean()
         return floor
 
     def _clean(self) -> None:
         """Remove lists and slices that no commit of the timeline needs, those of failed attempts included."""
-        entries = self.timeline.entries()
+        entries: list[Entry] = self.timeline.entries()
         self.timeline.forget(entries)
-        commits = folders.of_action(entries, COMMITTED)
-        lists = {f"{e.instant}.{e.attempt}" for e in commits}
-        for name in folders.children(self.spark, self.slices_path):
-            if name not in lists:
-                folders.remove(self.spark, f"{self.slices_path}/{name}")
-        stored = [n.removeprefix(f"{SLICE}=") for n in folders.children(self.spark, self.data_path) if n.startswith(f"{SLICE}=")]
-        if not stored:
-            return
-        there = self.spark.createDataFrame([(n,) for n in stored], f"{SLICE} string")
-        for row in there.join(self._slices(commits).select(SLICE), SLICE, "left_anti").toLocalIterator():
-            folders.remove(self.spark, f"{self.data_path}/{SLICE}={row[SLICE]}")
+        self.slices.clean(folders.of_action(entries, COMMITTED))
