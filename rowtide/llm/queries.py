@@ -115,6 +115,39 @@ def _escaped_length(column: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op3_mixing": f"""
+        with recursive counts as (select source, count(*) as n from documents group by source),
+        shares as (select source, n, sqrt(n) / (select sum(sqrt(n)) from counts) as share from counts),
+        size as (select greatest({mixing.BLOCK_ROWS}, cast(ceil(max(n / share) / {mixing.MOST_SLOTS}) as bigint)) as rows from shares),
+        lanes as (
+            select list(source order by source nulls first) as sources, list(share order by source nulls first) as w,
+                list(cast(ceil(n / rows) as bigint) order by source nulls first) as blocks
+            from shares, size
+        ),
+        -- t: a slot; i, n: the source and its block that got it; done: the blocks every source has had
+        run(t, i, n, done) as (
+            select cast(-1 as bigint), cast(null as bigint), cast(null as bigint), list_transform(w, lambda x: cast(0 as bigint)) from lanes
+            union all
+            select t, i, done[i], list_transform(done, lambda d, k: d + case when k = i then 1 else 0 end)
+            from (
+                select t, done, list_min(list_filter(list_transform(range(1, len(w) + 1), lambda k:
+                    case when done[k] < blocks[k] and floor(done[k] / w[k] + {mixing.NEAR}) <= t
+                        then {{'due': ceil((done[k] + 1) / w[k] - {mixing.NEAR}), 'i': k}} end), lambda x: x is not null)).i as i
+                from (select t + 1 as t, done from run), lanes
+                where list_sum(done) < list_sum(blocks)
+            )
+        ),
+        slots as (select sources[i] as source, n as block, t as slot, w[i] as share from run, lanes where i is not null),
+        rows as (
+            select doc_id, source, row_number() over (
+                partition by source order by md5(cast(doc_id as varchar))[1:15], doc_id) - 1 as place
+            from documents
+        )
+        select doc_id, r.source, block, cast(floor(block / share + {mixing.NEAR}) as bigint) as release,
+            cast(ceil((block + 1) / share - {mixing.NEAR}) as bigint) as deadline, slot,
+            slot * size.rows + place % size.rows as position
+        from rows r, size join slots s on r.source is not distinct from s.source and r.place // size.rows = s.block
+    """,
     "op4_chat_formatting": f"""
         with said as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
