@@ -7,8 +7,8 @@ exact distance.
 
 Codebooks are fitted on at most ``SAMPLE`` vectors. On the same sample, held against brute force, the share is chosen:
 the smallest that finds ``TARGET`` of the neighbours. Vectors without clusters need a large one. Cells are dealt to blocks
-of about ``BLOCK_ROWS`` vectors and larger cells are cut, so a crowded cell is many tasks; queries come in portions of
-``QUERY_ROWS``, and a block answers one portion at a time with its best candidates only.
+of about ``BLOCK_ROWS`` vectors and larger cells are cut, so a crowded cell is many tasks. A query is sent to the blocks it
+visits and each answers with its best candidates only; vectors move once, or once per ``PORTION_QUERIES`` queries.
 """
 
 from __future__ import annotations
@@ -23,25 +23,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowtide.llm.common import stored
+from rowtide.llm.common import ask_blocks, matrix, stored
 
 CENTROIDS, ROUNDS = 64, 12
 SAMPLE, TRIALS, TARGET = 16384, 256, 0.97
-BLOCK_ROWS, QUERY_ROWS = 4096, 2048
+BLOCK_ROWS, PORTION_QUERIES = 4096, 65536
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``id, vector`` of the rows that take part, one per id.
+    """``row, id, vector`` of the rows that take part; ``row`` tells rows of equal id apart.
 
     Null ids, null and zero vectors, vectors with a null or non-finite component or of another length than most (ties:
-    the longer) take no part. Of rows that repeat an id the smallest vector counts.
+    the longer) take no part.
     """
     rows = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.filter("id is not null and vector is not null").filter(finite & F.exists("vector", lambda x: x != 0))
     lengths = good.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
     longest = lengths.agg(F.max_by("n", F.struct("rows", "n"))).first()[0]
-    return good.filter(F.size("vector") == F.lit(longest)).groupBy("id").agg(F.min("vector").alias("vector"))
+    same = good.filter(F.size("vector") == F.lit(longest))
+    return same.select(F.monotonically_increasing_id().alias("row"), "id", "vector")
 
 
 def _nearest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -119,7 +120,7 @@ def _share(books: Codebooks, points: np.ndarray, k: int) -> float:
 
 @dataclass
 class Index:
-    rows: DataFrame  # id, vector, cell, block
+    rows: DataFrame  # row, id, vector, cell
     books: Codebooks
     sizes: np.ndarray  # vectors per cell
     blocks: list[tuple[int, int]]  # per cell: its first block and how many it has
@@ -132,8 +133,8 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     count = rows.count()
     if not count:
         return None
-    low = (F.xxhash64("id") / F.lit(2.0**64) + 0.5) * count <= 2 * SAMPLE
-    drawn = rows.filter(low).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
+    low = (F.xxhash64("row") / F.lit(2.0**64) + 0.5) * count <= 2 * SAMPLE
+    drawn = rows.filter(low).orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("vector").toArrow()
     points = np.array(drawn.column(0).combine_chunks().flatten()).reshape(drawn.num_rows, -1)
     half = points.shape[1] // 2
     books = Codebooks(*(_k_means(np.ascontiguousarray(p), CENTROIDS) for p in (points[:, :half], points[:, half:])))
@@ -141,10 +142,10 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                cell = books.cell(_matrix(batch.column(1))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["id", "vector", "cell"])
+                cell = books.cell(matrix(batch.column(2), batch.num_rows)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["row", "id", "vector", "cell"])
 
-    coded = stored(rows.mapInArrow(encode, "id long, vector array<double>, cell int"), "ann-index")
+    coded = stored(rows.mapInArrow(encode, "row long, id long, vector array<double>, cell int"), "ann-index")
     sizes = np.zeros(books.cells, np.int64)
     for row in coded.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toLocalIterator():  # a row per cell
         sizes[row["cell"]] = row["n"]
@@ -161,19 +162,15 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     return Index(coded, books, sizes, blocks, _share(books, points, k))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.asarray(column.flatten()).reshape(len(column), -1)
-
-
 def search(index: Index, queries: DataFrame, k: int = 10, share: float | None = None) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found for every query (``id``, ``vector``), nearest first,
-    equal distances by smaller id; all there are if fewer. ``score`` is the Euclidean distance in double precision. The
-    vector with the query's own id is left out."""
+    """``query_id, rank, vec_id, score``: the ``k`` nearest found for every query (``row, id, vector`` of the index),
+    nearest first, equal distances by smaller id; all there are if fewer. ``score`` is the Euclidean distance in double
+    precision. The query's own row is left out; rows that repeat an id are queries and candidates of their own."""
     spark = queries.sparkSession
     shared = spark.sparkContext.broadcast((index.books, index.sizes, index.blocks))
     wanted = max((index.share if share is None else share) * int(index.sizes.sum()), k + 1)
-    portions = max(1, -(-queries.count() // QUERY_ROWS))
-    portion = F.pmod(F.xxhash64("id"), F.lit(portions)).cast("int")
+    portions = max(1, -(-queries.count() // PORTION_QUERIES))
+    portion = F.pmod(F.xxhash64("row"), F.lit(portions)).cast("int")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books, sizes, blocks = shared.value
@@ -181,38 +178,41 @@ def search(index: Index, queries: DataFrame, k: int = 10, share: float | None =
         for batch in batches:
             if not batch.num_rows:
                 continue
-            for number, query in enumerate(_matrix(batch.column(1))):
+            for number, query in enumerate(matrix(batch.column(2), batch.num_rows)):
                 cells = books.visited(query, sizes, wanted)
                 at = np.repeat(first[cells], pieces[cells]) + np.concatenate([np.arange(n) for n in pieces[cells]])
                 cells = np.repeat(cells, pieces[cells])
                 order = np.argsort(at, kind="stable")
                 cut = np.flatnonzero(np.diff(at[order], prepend=-1, append=-1))
                 found = [cells[order[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-                same = pa.array([number] * len(found))
+                same = pa.array([number] * len(found), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(same), batch.column(1).take(same), batch.column(2).take(same),
-                     pa.array(at[order][cut[:-1]].astype(np.int32)), pa.array(found, pa.binary())],
-                    ["id", "vector", "portion", "block", "cells"],
+                    [*(c.take(same) for c in batch.columns), pa.array(at[order][cut[:-1]].astype(np.int32)),
+                     pa.array(found, pa.binary())],
+                    ["row", "id", "vector", "portion", "block", "cells"],
                 )
 
-    def rerank(vectors: pa.Table, asked: pa.Table) -> pa.Table:
-        out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        if vectors.num_rows and asked.num_rows:
-            ids, cell = vectors.column("id").to_numpy(), vectors.column("cell").to_numpy()
-            points = _matrix(vectors.column("vector").combine_chunks())
-            wants = np.zeros(index_cells, bool)
-            for query, point, cells in zip(*(asked.column(c).to_pylist() for c in ("id", "vector", "cells"))):
-                wants[:] = False
-                wants[np.frombuffer(cells, np.int32)] = True
-                at = np.flatnonzero(wants[cell] & (ids != query))
-                distance = np.sqrt(((points[at] - np.array(point)) ** 2).sum(1))
-                if len(at) > k:
-                    close = distance <= np.partition(distance, k - 1)[k - 1]
-                    at, distance = at[close], distance[close]
-                best = np.lexsort((ids[at], distance))[:k]
-                for column, values in zip(out, (np.full(len(best), query), ids[at[best]], distance[best])):
-                    column.append(values)
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, out))))
+    def open_block(block: pa.Table) -> tuple:
+        row, ids, cell = (block.column(c).to_numpy() for c in ("row", "id", "cell"))
+        return row, ids, cell, matrix(block.column("vector"), block.num_rows), np.zeros(index_cells, bool)
+
+    def rerank(block: tuple, asked: pa.RecordBatch) -> pa.RecordBatch:
+        row, ids, cell, points, wants = block
+        out: list[list] = [[] for _ in range(5)]
+        lists = (asked.column(c).to_pylist() for c in ("row", "id", "cells"))
+        for point, query, query_id, cells in zip(matrix(asked.column("vector"), asked.num_rows), *lists):
+            wants[:] = False
+            wants[np.frombuffer(cells, np.int32)] = True
+            at = np.flatnonzero(wants[cell] & (row != query))
+            distance = np.sqrt(((points[at] - point) ** 2).sum(1))
+            if len(at) > k:
+                close = distance <= np.partition(distance, k - 1)[k - 1]
+                at, distance = at[close], distance[close]
+            best = np.lexsort((row[at], ids[at], distance))[:k]
+            same = np.full(len(best), query), np.full(len(best), query_id)
+            for column, values in zip(out, (*same, row[at[best]], ids[at[best]], distance[best])):
+                column.append(values)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query", "query_id", "row", "vec_id", "score"])
 
     index_cells = index.books.cells
     bounds = spark.createDataFrame(
@@ -221,18 +221,16 @@ def search(index: Index, queries: DataFrame, k: int = 10, share: float | None =
     )
     # a row per cell that holds something
     placed = index.rows.join(F.broadcast(bounds), "cell")
-    piece = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
-    placed = placed.select("id", "vector", "cell", (F.col("first") + piece).alias("block"))
+    piece = F.pmod(F.xxhash64("row"), F.col("pieces")).cast("int")
+    placed = placed.select("row", "id", "vector", "cell", (F.col("first") + piece).alias("block"))
     placed = placed.withColumn("portion", F.explode(F.sequence(F.lit(0), F.lit(portions - 1))))
-    asked = queries.select("id", "vector", portion.alias("portion")).mapInArrow(
-        route, "id long, vector array<double>, portion int, block int, cells binary"
+    asked = queries.select("row", "id", "vector", portion.alias("portion")).mapInArrow(
+        route, "row long, id long, vector array<double>, portion int, block int, cells binary"
     )
-    close = (
-        placed.groupBy("block", "portion")
-        .cogroup(asked.groupBy("block", "portion"))
-        .applyInArrow(rerank, "query_id long, vec_id long, score double")
+    close = ask_blocks(
+        placed, asked, ["block", "portion"], open_block, rerank, "query long, query_id long, row long, vec_id long, score double"
     )
-    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    by_score = Window.partitionBy("query").orderBy("score", "vec_id", "row")
     ranked = close.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -244,4 +242,4 @@ def neighbours(
     index = build(vectors, id_col, vector_col, k)
     if index is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    return search(index, index.rows.filter(F.col("id") % every == 0).select("id", "vector"), k)
+    return search(index, index.rows.filter(F.col("id") % every == 0).select("row", "id", "vector"), k)

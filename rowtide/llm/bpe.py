@@ -4,9 +4,11 @@ A text is cut into pre-tokens by a pattern and the bytes of every pre-token are
 ``chunk`` code points are one chunk. A longer text becomes overlapping chunks, which are pre-tokenised in parallel. Where
 two neighbours share a boundary inside their overlap they have resynchronised: a match of the pattern depends only on
 what follows its start, so from there on both agree, and the chunks are stitched at that place. Boundaries within
-``MARGIN`` code points of a chunk's cut end are not trusted, because a match there might have gone on. If an overlap
-holds no common boundary (one endless word), the text is pre-tokenised again from the last trusted boundary. The stitched
-pieces of a text are then encoded. Chunks and the lengths of their pre-tokens travel compressed.
+``MARGIN`` code points of a chunk's cut end, or in a run of white space that reaches there, are not trusted, because a
+match there might have gone on. This holds for patterns whose matches see no further than the end of the run of letters,
+digits, signs or white space they are in and ``MARGIN`` code points beyond; a match may not depend on what is before it.
+If an overlap holds no common boundary (one endless word), the text is pre-tokenised again from the last trusted boundary.
+The stitched pieces of a text are then encoded. Chunks and the lengths of their pre-tokens travel compressed.
 
 Null texts are empty; an empty text has no ids. Invalid surrogates cannot occur in Spark strings. Ids are kept packed, as
 little-endian unsigned 32-bit numbers, so that every id of a vocabulary fits and no array of objects is built.
@@ -90,6 +92,15 @@ def boundaries(find, text: str, start: int = 0) -> np.ndarray:
     return np.fromiter(accumulate(map(len, find(text))), np.int64) + start
 
 
+def _settled(text: str) -> int:
+    """Up to where what follows a text cannot move its pre-tokens: before its last ``MARGIN`` code points, and before the
+    run of white space there, of which a pattern may want to see the end."""
+    place = max(0, len(text) - MARGIN)
+    while place and text[place - 1].isspace():
+        place -= 1
+    return place
+
+
 def stitch(chunks: list[tuple[int, str, np.ndarray]], find) -> list[tuple[int, int, np.ndarray]]:
     """``(chunk, start, ends)`` per chunk: the pre-tokens of the whole text, each in one chunk.
 
@@ -99,7 +110,7 @@ def stitch(chunks: list[tuple[int, str, np.ndarray]], find) -> list[tuple[int, i
     start, text, ends = chunks[0]
     for number in range(1, len(chunks)):
         next_start, next_text, next_ends = chunks[number]
-        last = start + len(text) - MARGIN
+        last = _settled(text) + start
         trusted = ends[(ends >= max(begin, next_start)) & (ends <= last)]
         common = np.intersect1d(trusted, next_ends, assume_unique=True)
         if len(common):

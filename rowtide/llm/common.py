@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,53 @@ def per_slice(
     return tidy(run)
 
 
+def ask_blocks(
+    held: DataFrame,
+    asked: DataFrame,
+    by: list[str],
+    open_block: Callable[[pa.Table], object],
+    answer: Callable[[object, pa.RecordBatch], pa.RecordBatch | None],
+    schema: str,
+) -> DataFrame:
+    """Answers to the rows of ``asked`` from the blocks of ``held``, both dealt by the columns ``by``.
+
+    A task holds one block at a time, opened once, and its questions pass by in batches: neither side is gathered beyond a
+    block. A block that nobody asks is dropped, a question to a block without rows is not answered. Both frames may have
+    columns of their own.
+    """
+    both = held.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    sent = both.repartition(*by).sortWithinPartitions(*by, "asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, waiting, block = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (*by, "asks")], 1)
+            cuts = np.flatnonzero((np.diff(marks, axis=0) != 0).any(1)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(marks)]):
+                place, part = tuple(marks[low][:-1]), batch.slice(low, high - low)
+                if place != key:
+                    key, waiting, block = place, [], None
+                if not marks[low][-1]:
+                    waiting.append(part)
+                    continue
+                if block is None and waiting:
+                    block, waiting = open_block(pa.Table.from_batches(waiting)), []
+                found = answer(block, part) if block is not None else None
+                if found is not None and found.num_rows:
+                    yield found
+
+    return sent.mapInArrow(tidy(run), schema)
+
+
+def matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+    """A column of lists of equal length as a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.asarray(column.flatten()).reshape(rows, -1)
+
+
 def ddl(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

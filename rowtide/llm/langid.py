@@ -63,8 +63,8 @@ CHARS_AT_A_TIME = 1_500_000
 
 
 @lru_cache(maxsize=1)
-def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per code point: whether it is part of a word (letter or mark), its lower case, its script."""
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per code point: whether it is part of a word (letter or mark), whether it is a letter, its lower case, its script."""
     every = range(sys.maxunicode + 1)
     category = [unicodedata.category(chr(c))[0] for c in every]
     word = np.array([c in "LM" for c in category])
@@ -77,7 +77,7 @@ def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for number, (_, ranges) in enumerate(SCRIPTS, 1):
         for first, last in ranges:
             script[first : last + 1] = number
-    return word, lower, script
+    return word, np.array([c == "L" for c in category]), lower, script
 
 
 @dataclass
@@ -86,6 +86,7 @@ class Words:
 
     starts: np.ndarray  # code point at which a word begins, in its text
     lengths: np.ndarray
+    letters: np.ndarray  # a word of marks alone has none
     scripts: np.ndarray
     features: np.ndarray  # one per letter
     first_feature: np.ndarray  # per word
@@ -93,7 +94,7 @@ class Words:
 
 
 def read_words(texts: list[str]) -> Words:
-    is_word, lower, script = _characters()
+    is_word, is_letter, lower, script = _characters()
     points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "replace"), np.uint32)
     inside = is_word[points]
     small = np.where(inside, lower[points], np.uint32(0))
@@ -110,7 +111,8 @@ def read_words(texts: list[str]) -> Words:
     first_word = np.searchsorted(begin, offsets)
     text_of = np.repeat(np.arange(len(texts)), np.diff(first_word))
     lengths = np.diff(np.append(opens, len(at)))
-    return Words(begin - offsets[text_of], lengths, script[points[begin]], features, opens, first_word)
+    letters = np.add.reduceat(is_letter[points[at]].astype(np.int64), opens) if len(opens) else lengths
+    return Words(begin - offsets[text_of], lengths, letters, script[points[begin]], features, opens, first_word)
 
 
 @dataclass
@@ -234,8 +236,9 @@ def identify(
 ) -> DataFrame:
     """``<id_col>, lang_pred, score`` and ``spans`` (array of start, end, lang in code points) for every row.
 
-    ``lang_pred`` is the language of most letters (ties: the first by name) and ``score`` its share of them. A text
-    that is null or has no letter is ``und`` with score 0 and no spans. Null ids and repeated rows are kept, other
+    ``lang_pred`` is the language of most letters (ties: the first by name) and ``score`` its share of them. Letters of
+    scripts that no learned language uses are nobody's: they lower the share, to 0 where there are no others. A text
+    that is null or has no letter is ``und`` with score 0 and no spans; marks are no letters. Null ids and repeated rows are kept, other
     columns are not looked at, an empty table gives no rows. With ``carry`` the whole row comes along as a struct
     ``row``.
     """
@@ -256,15 +259,17 @@ def identify(
                 for a, b in _batches(texts):
                     words = read_words(texts[a:b])
                     label = known.label(words, penalty) if known.languages else None
+                    ours = words.letters * known.candidates.any(1)[words.scripts] if known.languages else words.letters
                     langs, shares, found = [], [], []
                     for i, j in zip(words.first_word[:-1].tolist(), words.first_word[1:].tolist()):
-                        if i == j or label is None:
+                        every = words.letters[i:j].sum()
+                        if not every or label is None:
                             langs.append(UNKNOWN), shares.append(0.0), found.append([])
                             continue
-                        letters = np.bincount(label[i:j], words.lengths[i:j])
+                        letters = np.bincount(label[i:j], ours[i:j])
                         top = int(letters.argmax())
                         langs.append(known.languages[top])
-                        shares.append(float(letters[top] / letters.sum()))
+                        shares.append(float(letters[top] / every))
                         if spans:
                             found.append(_spans(label[i:j], words.starts[i:j], words.lengths[i:j], known.languages))
                     columns = [batch.column("id").slice(a, b - a), pa.array(langs, pa.string()), pa.array(shares, pa.float64())]

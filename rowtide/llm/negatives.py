@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowtide.llm.common import stored, tidy
+from rowtide.llm.common import ask_blocks, matrix, stored
 
 REFERENCES, SAMPLE, BINS = 8, 4096, 1024
 BLOCK_ROWS, MOST_BLOCKS, PORTION_ANCHORS = 4096, 16384, 65536
@@ -58,12 +58,6 @@ def usable(rows: DataFrame, scale: int, id_col: str, vector_col: str, label_col:
     )
 
 
-def _matrix(column: pa.Array, rows: int) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return np.asarray(column.flatten()).reshape(rows, -1)
-
-
 def _norms(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt((vectors.astype(float) ** 2).sum(1))
 
@@ -123,14 +117,14 @@ class Block:
 
     def __init__(self, table: pa.Table):
         count = table.num_rows
-        spread = _matrix(table.column("angles"), count)
+        spread = matrix(table.column("angles"), count)
         self.own = int(np.bincount(spread.argmin(1)).argmax())
         order = np.argsort(spread[:, self.own], kind="stable")
         self.angles = spread[order]
         self.row, self.id, self.label, self.norm = (
             table.column(c).to_numpy()[order] for c in ("row", "id", "label", "norm")
         )
-        self.vectors = _matrix(table.column("vector"), count)[order]
+        self.vectors = matrix(table.column("vector"), count)[order]
         self.most_norm = float(self.norm.max())
 
     def best(self, row, label, norm, angle, vector, lows, highs, bars, k: int, same: bool) -> Iterator[tuple]:
@@ -183,12 +177,12 @@ def build(rows: DataFrame, every: int) -> Index | None:
         return None
     near = (F.xxhash64("row") / F.lit(2.0**64) + 0.5) * count <= 2 * SAMPLE
     drawn = rows.filter(near).orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("vector").toArrow()
-    references = choose_references(_matrix(drawn.column(0), drawn.num_rows))
+    references = choose_references(matrix(drawn.column(0), drawn.num_rows))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                vectors = _matrix(batch.column(3), batch.num_rows)
+                vectors = matrix(batch.column(3), batch.num_rows)
                 norms = _norms(vectors)
                 spread = angles(vectors, norms, references)
                 own = spread.argmin(1)
@@ -246,47 +240,27 @@ def _visit(index: Index, asked: DataFrame, k: int, same: bool) -> DataFrame:
     columns = ["row", "id", "label", "vector", "norm", "angles", "block"]
     windows = ["lows", "highs", "bars"]
     held = index.rows.select(
-        *columns,
-        F.explode(F.sequence(F.lit(0), F.lit(index.portions - 1))).alias("portion"),
-        *(F.lit(None).cast("array<bigint>").alias(w) for w in windows),
+        *columns, F.explode(F.sequence(F.lit(0), F.lit(index.portions - 1))).alias("portion")
     )
-    both = held.unionByName(asked.select(*columns, portion.alias("portion"), *windows))
-    both = both.withColumn("asks", F.col("lows").isNotNull())
-    # blocks that no anchor visits stop here: their rows come first and find nobody
-    sent = both.repartition("block", "portion").sortWithinPartitions("block", "portion", "asks")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, waiting, block = None, [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            marks = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "portion", "asks")], 1)
-            cuts = np.flatnonzero((np.diff(marks.astype(np.int64), axis=0) != 0).any(1)) + 1
-            out = []
-            for low, high in zip([0, *cuts], [*cuts, len(marks)]):
-                place, asks, part = tuple(marks[low][:2]), marks[low][2], batch.slice(low, high - low)
-                if place != key:
-                    key, waiting, block = place, [], None
-                if not asks:
-                    waiting.append(part)
-                    continue
-                if block is None:
-                    block, waiting = Block(pa.Table.from_batches(waiting)), []
-                vectors, spread = (_matrix(part.column(c), part.num_rows) for c in ("vector", "angles"))
-                lists = (part.column(c).to_pylist() for c in ("row", "label", "norm", *windows))
-                for vector, angle, row, label, norm, *limits in zip(vectors, spread, *lists):
-                    for number, at, scores in block.best(row, label, norm, angle, vector, *limits, k, same):
-                        out.append((row, number, block.row[at], block.id[at], scores))
-            if out:
-                length = [len(o[2]) for o in out]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([o[0] for o in out], length)),
-                     pa.array(np.repeat(np.array([o[1] for o in out], np.int32), length)),
-                     *(pa.array(np.concatenate([o[c] for o in out])) for c in (2, 3, 4))],
-                    ["anchor_row", "window", "row", "id", "score"],
-                )
+    def answer(block: Block, part: pa.RecordBatch) -> pa.RecordBatch | None:
+        vectors, spread = (matrix(part.column(c), part.num_rows) for c in ("vector", "angles"))
+        lists = (part.column(c).to_pylist() for c in ("row", "label", "norm", *windows))
+        out = []
+        for vector, angle, row, label, norm, *limits in zip(vectors, spread, *lists):
+            for number, at, scores in block.best(row, label, norm, angle, vector, *limits, k, same):
+                out.append((row, number, block.row[at], block.id[at], scores))
+        if not out:
+            return None
+        length = [len(o[2]) for o in out]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat([o[0] for o in out], length)),
+             pa.array(np.repeat(np.array([o[1] for o in out], np.int32), length)),
+             *(pa.array(np.concatenate([o[c] for o in out])) for c in (2, 3, 4))],
+            ["anchor_row", "window", "row", "id", "score"],
+        )
 
-    return sent.mapInArrow(tidy(run), _FOUND)
+    asking = asked.select(*columns, portion.alias("portion"), *windows)
+    return ask_blocks(held, asking, ["block", "portion"], Block, answer, _FOUND)
 
 
 def _elsewhere(index: Index, asked: DataFrame) -> DataFrame:
@@ -298,7 +272,7 @@ def _elsewhere(index: Index, asked: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            spread = _matrix(batch.column("angles"), batch.num_rows)
+            spread = matrix(batch.column("angles"), batch.num_rows)
             lists = (batch.column(c).to_pylist() for c in ("norm", "block", "lows", "highs", "bars"))
             for number, (norm, own, lows, highs, bars) in enumerate(zip(*lists)):
                 low, high = summary.bounds(spread[number], norm)

@@ -9,7 +9,7 @@ them at least, so rows meet under every pair of blocks (the join key) and their
 fingerprints take part: copies, however many, are one row. A key with more fingerprints than ``GROUP`` is not compared
 pair by pair; its fingerprints meet under every fingerprint one bit away, where at most 65 can meet. Two that are at most
 two bits apart always share such a midpoint, and two that share one are at most two bits apart, so this finds the same
-links exactly, in work proportional to the rows.
+links exactly, in work proportional to the rows. For a distance of one bit they are joined with their 64 neighbours.
 """
 
 from __future__ import annotations
@@ -115,16 +115,26 @@ def links(distinct: DataFrame, distance: int = 2) -> DataFrame:
     groups = met.filter(F.col("size") <= GROUP).groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps")
     close = groups.mapInArrow(tidy(_close_in_group(distance)), "a long, b long")
     crowded = met.filter(F.col("size") > GROUP).select("fp").distinct()
-    flips = [F.lit(0)] + [F.lit((1 << i) - (1 << BITS) if i == BITS - 1 else 1 << i) for i in range(BITS)]
-    reach = F.array(*(F.col("fp").bitwiseXOR(f.cast("long")) for f in flips[: 1 if distance == 0 else None]))
-    at_midpoint = crowded.select("fp", F.explode(reach).alias("mid")).groupBy("mid")
+    flips = [F.lit((1 << i) - (1 << BITS) if i == BITS - 1 else 1 << i).cast("long") for i in range(BITS)]
+    neighbours = F.array(*(F.col("fp").bitwiseXOR(f) for f in flips))
+    if distance < 2:
+        # fingerprints are distinct, so at distance 0 there is nothing to link
+        near = crowded.select(F.col("fp").alias("a"), F.explode(neighbours).alias("b")).filter(F.lit(distance == 1) & (F.col("a") > F.col("b")))
+        return close.unionByName(near.join(crowded.withColumnRenamed("fp", "b"), "b", "left_semi").select("a", "b"))
+    at_midpoint = crowded.select("fp", F.explode(F.concat(F.array("fp"), neighbours)).alias("mid")).groupBy("mid")
     stars = at_midpoint.agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
     stars = stars.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).filter("a <> b")
-    if distance == 1:
-        stars = stars.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 1)
     return close.unionByName(stars)
 
 
+def _rooted(fps: DataFrame, distance: int) -> DataFrame:
+    """``fp, root``: the smallest fingerprint that each can reach."""
+    distinct = fps.select("fp").distinct()
+    linked = components(links(distinct, distance))
+    joined = distinct.join(linked, distinct["fp"] == linked["vertex"], "left")
+    return joined.select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -136,12 +146,30 @@ def near_duplicates(
     Other columns of ``docs`` are not looked at.
     """
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    classes = fps.groupBy("fp").agg(F.min("id").alias("least"))
-    linked = components(links(classes.select("fp"), distance))
-    rooted = classes.join(linked, classes["fp"] == linked["vertex"], "left")
-    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(fps, distance).join(fps.groupBy("fp").agg(F.min("id").alias("least")), "fp")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(named, "root").select("fp", "component_id")
     return fps.join(of_class, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
+) -> DataFrame:
+    """The rows of ``docs`` that stay when one of each group of near duplicates does: that with the smallest id.
+
+    A row is known by its id and its text: of rows alike in both one stays, rows that share only the id are judged by
+    their own texts, so one may stay while the other goes, or both may stay. Rows without id link others, stay and
+    stand for no group.
+    """
+    digest = F.xxhash64(docs[text_col].cast("string"))
+    known = docs.withColumn("__row", F.struct(docs[id_col].alias("id"), digest.alias("digest")))
+    fps = stored(fingerprints(known, "__row", text_col, shingle), "simhash-rows")
+    grouped = fps.filter("id.id is not null").join(_rooted(fps, distance), "fp").groupBy("root")
+    kept = grouped.agg(F.min(F.struct("id.id", "fp", "id.digest")).alias("first")).select(
+        F.struct("first.id", "first.digest").alias("__row")
+    )
+    # repeats of a row meet in the task of the join
+    named = known.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    return named.unionByName(docs.filter(docs[id_col].isNull()))

@@ -53,6 +53,17 @@ def test_stitching_equals_one_pass():
         assert pieces == find(text)
 
 
+@pytest.mark.parametrize("pattern", [r"\s*[\r\n]+|\s+(?!\S)|\s+|[^\s]+", PATTERN])
+@pytest.mark.parametrize("middle", ["\n" + " " * 2500 + "\n", " " * 700 + "\n\n" + "\t" * 900, "\r\n" * 600, "x" * 1500])
+def test_runs_over_a_cut(pattern, middle):
+    find = regex.compile(pattern).findall
+    for before in range(0, 130, 7):
+        text = "w" * 3 + " ab" * before + middle + "cd ef" * 40
+        chunks = [(s, text[s : s + 400], bpe.boundaries(find, text[s : s + 400], s)) for s in bpe.chunk_starts(len(text), 400, 100)]
+        pieces = [t[a:b] for _, t, e in bpe.stitch(chunks, find) for a, b in zip([0, *e[:-1]], e)]
+        assert pieces == find(text)
+
+
 def test_pattern_cuts_every_character_as_the_library_does(reference):
     find, pieces = regex.compile(PATTERN).findall, bpe._Pieces(bpe.read_ranks(RANKS))
     for c in map(chr, range(sys.maxunicode + 1)):

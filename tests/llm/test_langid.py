@@ -47,11 +47,23 @@ def test_viterbi_against_all_paths(model):
 def test_odd_rows(spark, model):
     rows = [(1, None), (2, ""), (3, "12 !?"), (None, "the dog"), (4, "the dog"), (4, "the dog"), (5, "漢字"), (6, "lazy " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [(r[0], r[1]) for r in langid.identify(docs, model, spans=False).collect()]
+    found = langid.identify(docs, model, spans=False).collect()
+    # letters that no learned language uses are nobody's
+    assert {r["doc_id"]: r["score"] for r in found}[5] == 0.0
+    got = [(r[0], r[1]) for r in found]
     assert sorted(got, key=str) == sorted(
         [(1, "und"), (2, "und"), (3, "und"), (None, "en"), (4, "en"), (4, "en"), (5, "de"), (6, "en")], key=str)
 
 
+def test_marks_are_no_letters(spark, model):
+    texts = ["12 \ufe0f 34", "\u0301", "a\u0301", "the dog \ufe0f", "the dog 漢字漢字漢字"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = sorted(map(tuple, langid.identify(docs, model, spans=False).collect()))
+    assert [g[1] == "und" for g in got] == [True, True, False, False, False]
+    assert [g[2] for g in got[:2]] == [0.0, 0.0] and got[2][2] == 1.0 and got[3][1:] == ("en", 1.0)
+    assert got[4][1:] == ("en", 0.5)
+
+
 def test_nothing_to_learn(spark):
     none = langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")

@@ -72,6 +72,14 @@ def test_stages_against_brute_force(spark, tmp_path):
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_texts_that_share_an_id_are_not_lost(spark):
+    rng = np.random.default_rng(13)
+    one, two = prose(rng, 60), prose(rng, 60)
+    docs = frame(spark, [(1, one, "a"), (1, two, "a"), (1, two, "b"), (2, one, "a")])
+    kept = STAGES["SimHash near-dedup"](spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, one), (1, two)])
+
+
 @pytest.mark.parametrize("name", list(STAGES))
 def test_stage_on_an_empty_table(spark, name):
     assert STAGES[name](spark, frame(spark, []), "").count() == 0

@@ -84,3 +84,28 @@ def test_smaller_distances(spark, distance):
     frame = spark.createDataFrame([(0,), (1,), (3,), (1 << 40,)], "fp long")
     found = dict(map(tuple, components(simhash.links(frame, distance)).collect()))
     assert found == ({} if distance == 0 else {1: 0, 3: 0, 1 << 40: 0})
+
+
+@pytest.mark.parametrize("group", [256, 1])
+def test_one_bit_links_of_crowded_keys(spark, monkeypatch, group):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    rng = np.random.default_rng(5)
+    fps = {56, 57, 25, 40} | {int(x) for x in rng.integers(1 << 62, size=5)}
+    fps |= {f ^ (1 << int(b)) for f in list(fps) for b in rng.integers(0, 63, 4)}
+    frame = spark.createDataFrame([(f,) for f in fps], "fp long")
+    found = dict(map(tuple, components(simhash.links(frame, 1)).collect()))
+    root = {f: f for f in fps}
+    for _ in fps:
+        root = {a: min(root[b] for b in fps if (a ^ b).bit_count() <= 1) for a in fps}
+    assert found == {a: r for a, r in root.items() if a != r} and found[57] == found[56] == found[40] == 25
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    rng = np.random.default_rng(6)
+    one, two, three = (" ".join(f"w{n}" for n in rng.integers(0, 5000, 60)) for _ in range(3))
+    rows = [(1, one), (1, two), (1, two), (2, two), (3, three), (3, one), (None, three), (None, three), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, fp string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.representatives(docs).collect()), key=str)
+    assert kept == sorted([(1, one), (1, two), (3, three), (None, three), (None, three), (4, None)], key=str)
+    assert simhash.representatives(docs).columns == docs.columns
+    assert simhash.representatives(docs.limit(0)).count() == 0
