@@ -22,12 +22,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id; repeated rows stay once. Rows
-    without id stay."""
-    found = simhash.near_duplicates(docs, shingle=3, distance=2)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.filter("doc_id is null"))
+    """One document of each group of near duplicates stays, that with the smallest id; repeated rows stay once. Rows that
+    share an id but not their text are judged each by its own text. Rows without id stay."""
+    return simhash.representatives(docs, shingle=3, distance=2).select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
