@@ -36,20 +36,20 @@ def _as_struct(image: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(image) if isinstance(image, str) else image
 
 
-def _scalars_as_text(image: T.StructType) -> T.StructType:
+def scalars_as_text(image: T.StructType) -> T.StructType:
     nested = (T.StructType, T.ArrayType, T.MapType)
     return T.StructType(
         [T.StructField(f.name, f.dataType if isinstance(f.dataType, nested) else T.StringType()) for f in image.fields]
     )
 
 
-def _try_casts(image: Column, schema: T.StructType) -> Column:
+def try_casts(image: Column, schema: T.StructType) -> Column:
     return F.when(
-        image.isNotNull(), F.struct(*(_scalar(image[f.name], f.dataType).alias(f.name) for f in schema.fields))
+        image.isNotNull(), F.struct(*(scalar(image[f.name], f.dataType).alias(f.name) for f in schema.fields))
     )
 
 
-def _scalar(text: Column, kind: T.DataType) -> Column:
+def scalar(text: Column, kind: T.DataType) -> Column:
     """A scalar read as text, null where it is not a value of ``kind``: whole numbers take no fraction."""
     value = text.try_cast(kind)
     if isinstance(kind, T.IntegralType):
@@ -57,11 +57,11 @@ def _scalar(text: Column, kind: T.DataType) -> Column:
     return value
 
 
-def _lost(image: Column, schema: T.StructType) -> Column:
+def lost(image: Column, schema: T.StructType) -> Column:
     """Whether a value is there that the cast could not keep."""
     lost = F.lit(False)
     for f in schema.fields:
-        lost = lost | (image[f.name].isNotNull() & _scalar(image[f.name], f.dataType).isNull())
+        lost = lost | (image[f.name].isNotNull() & scalar(image[f.name], f.dataType).isNull())
     return F.coalesce(lost, F.lit(False))
 
 
@@ -87,7 +87,7 @@ def parse(feed: DataFrame, image: T.StructType | str, lenient: bool = False) ->
     cannot keep (``"abc"``, ``1.7`` or ``true`` for an integer) makes the event malformed there too.
     """
     target = _as_struct(image)
-    read_as = _scalars_as_text(target) if lenient else target
+    read_as = scalars_as_text(target) if lenient else target
     parsed = F.from_json("value", envelope_schema(read_as), {"columnNameOfCorruptRecord": _CORRUPT})
     # inline() keeps later filters above the parse. A plain projection would be merged into them and parse twice.
     events = feed.select("*", F.inline(F.array(parsed)))
@@ -95,7 +95,7 @@ def parse(feed: DataFrame, image: T.StructType | str, lenient: bool = False) ->
     before, after = F.col("payload.before"), F.col("payload.after")
     malformed = F.col(_CORRUPT).isNotNull()
     if lenient:
-        malformed = malformed | _lost(before, target) | _lost(after, target)
+        malformed = malformed | lost(before, target) | lost(after, target)
     reason = (
         F.when(value.isNull(), TOMBSTONE)
         .when(F.trim(value) == "", BLANK)
@@ -104,7 +104,7 @@ def parse(feed: DataFrame, image: T.StructType | str, lenient: bool = False) ->
         .otherwise(OK)
     )
     if lenient:
-        before, after = _try_casts(before, target), _try_casts(after, target)
+        before, after = try_casts(before, target), try_casts(after, target)
     return events.select(
         *feed.columns,
         before.alias("before"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowtide.functions.instants import current_instant
 from rowtide.operators import decode as d
-from rowtide.spec import COMMIT, DELETED, SRC_FILE, SRC_POS, SRC_ROW, TableSpec
+from rowtide.spec import COMMIT, DELETED, REFUSED_REASON, REFUSED_VALUE, SRC_FILE, SRC_POS, SRC_ROW, TableSpec
 
 
 def upserts(events: DataFrame) -> DataFrame:
@@ -48,26 +48,36 @@ def _with_commit(events: DataFrame, commit: Column | str | None) -> DataFrame:
 
 
 def to_records(
-    parsed: DataFrame, spec: TableSpec, commit: Column | str | None = None, follow_moves: bool = False
+    parsed: DataFrame,
+    spec: TableSpec,
+    commit: Column | str | None = None,
+    follow_moves: bool = False,
+    keep_refused: bool = False,
 ) -> DataFrame:
     """Records of parsed events (``decode.parse`` or ``decode.decode``).
 
     A record has the image columns, ``is_deleted``, the position in the source (or in the feed) and ``_commit_time``. Events with another
     operation or an incomplete key are left out; ``decode.quarantine`` returns them. ``commit`` is a column over the
     events, an instant, or None for the time of the running batch. With ``follow_moves`` an update that changes the
-    partition also deletes the row in the old partition.
+    partition also deletes the row in the old partition. With ``keep_refused`` the events left out are rows too: without
+    image, with the reason and the raw text in ``_refused_reason`` and ``_refused_value``.
     """
     if "reason" not in parsed.columns:
         parsed = parsed.withColumn("reason", F.lit(d.OK))
     routed = _with_commit(d.with_routing_reason(parsed, spec.scope), commit)
-    routed = routed.filter(F.col("reason") == d.OK)
-    op = F.col("op")
+    op, more = F.col("op"), []
+    if keep_refused:
+        refused = F.col("reason") != d.OK
+        more = [F.when(refused, F.col("reason")).alias(REFUSED_REASON), F.when(refused, F.col("value")).alias(REFUSED_VALUE)]
+        routed = routed.withColumns({c: F.when(~refused, F.col(c)) for c in ("op", "before", "after")})
+    else:
+        routed = routed.filter(F.col("reason") == d.OK)
     own = _record(d.image_of(op, F.col("before"), F.col("after")), op.isin(*d.DELETE_OPS), spec)
     if follow_moves and spec.partition:
         left_behind = F.struct(*_record(F.col("before"), F.lit(True), spec))
         both = F.when((op == "u") & _moved(spec), F.array(F.struct(*own), left_behind))
         own = [F.inline(both.otherwise(F.array(F.struct(*own))))]
-    return routed.select(*own, *_position(parsed), COMMIT)
+    return routed.select(*own, *_position(parsed), COMMIT, *more)
 
 
 def _position(parsed: DataFrame) -> list[Column]:

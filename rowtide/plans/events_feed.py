@@ -119,3 +119,31 @@ def positioned_feed(spark: SparkSession, sf_dir: str, span: int = SPAN) -> DataF
     )
     bucket = F.floor(F.col("event_id") / F.lit(span)).cast("long")
     return dense_index(rows, ["partition"], bucket, [F.col("event_id").asc()], "offset")
+
+
+AUTHORITIES = TableSpec(
+    image=image_of_types(username="string", authority="string", ts="long"),
+    record_key=("username", "authority"),
+    order_by="ts",
+)
+TABLES = {"auth.users": USERS, "auth.authorities": AUTHORITIES}
+
+
+def two_table_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value, timestamp``: changes of users and of their authorities in one feed, and of a table nobody knows.
+
+    Every fifth event is of ``authorities``, every 89th of ``audit``; every 101st is damaged.
+    """
+    rows = events(spark, sf_dir).selectExpr(
+        "event_id", "event_type", "epoch",
+        "case when event_id % 89 = 0 then 'audit' when event_id % 5 = 0 then 'authorities' else 'users' end as name",
+        f"{_image('event_id', 'epoch', None)} as user",
+        "struct(concat('user', user_id) as username, event_type as authority, epoch as ts) as right",
+    )
+    return rows.selectExpr(
+        """case when event_id % 101 = 0 then concat('{broken ', event_id) else concat('{"payload":{"',
+             if(event_type = 'error', 'before', 'after'), '":', if(name = 'users', to_json(user), to_json(right)),
+             ',"source":', to_json(struct('auth' as db, name as `table`, 'log.000001' as file, event_id as pos, 0 as row)),
+             ',"op":"', if(event_type = 'error', 'd', 'u'), '","ts_ms":', epoch * 1000, '}}') end as value""",
+        "epoch as timestamp",
+    )

@@ -79,6 +79,11 @@ bounds as (
   from f group by feed_partition)
 """
 
+_TWO_TABLES = _FEED + """,
+t as (
+  select *, case when pos % 89 = 0 then 'audit' when pos % 5 = 0 then 'authorities' else 'users' end as name
+  from (select * replace (case when event_type = 'error' then 'd' else 'u' end as op) from b) where pos % 101 <> 0)"""
+
 _SNAPSHOT = _fold() + f" select {_ROW} from cur where not is_deleted"
 _AS_OF_MID_MONTH = _fold("commit_time <= '20240115000000000'") + f" select {_ROW} from cur where not is_deleted"
 
@@ -126,6 +131,25 @@ ORACLES: dict[str, str] = {
             else 'ok' end as reason, count(*) as events,
           count(*) filter (where kind = 'ok' and epoch % 7 <> 0) as with_number
           from l group by 1""",
+    "feed_two_tables": _TWO_TABLES
+    + """ select 'auth.' || name as "table", case when name = 'audit' then 'unknown_table' else 'ok' end as reason, op,
+            pos as _src_pos, case when name <> 'audit' then username end as username,
+            case when name = 'users' then password end as password,
+            case when name = 'authorities' then event_type end as authority
+          from t""",
+    "feed_two_tables_fold": _TWO_TABLES
+    + """, c as (select *, row_number() over (partition by username, event_type order by commit_time desc, epoch desc, pos desc)
+             as rn from t where name = 'authorities')
+         select username, event_type as authority, epoch as ts, commit_time as _commit_time from c where rn = 1 and op <> 'd'""",
+    "feed_schema_inferred": _FEED
+    + """, i as (
+           select username, password, enabled, ts, country, number from decoded where op <> 'd'
+           union all
+           select username, b_password, b_enabled, b_ts, b_country, b_number from decoded where op not in ('c', 'r'))
+         select unnest(['username', 'password', 'enabled', 'ts', 'country', 'number']) as "column",
+           unnest(['string', 'string', 'int', 'bigint', 'string', 'bigint']) as type,
+           unnest([count(username), count(password), count(enabled), count(ts), count(country), count(number)]) as images
+         from i""",
     "normalize_epoch": """
       with g as (select event_id, cast(floor(epoch(ts)) as bigint) * case when event_type = 'view' then 1000 else 1 end
         as given from events)
@@ -167,11 +191,11 @@ ORACLES: dict[str, str] = {
     "version_changes": _COMBINED
     + _pick("old", "comb", "country, username", "commit_time desc", "commit_time <= '20240115000000000'")
     + _pick("new", "comb", "country, username", "commit_time desc", "commit_time <= '20240125000000000'")
-    + """, a as (select * from old where not is_deleted), b as (select * from new where not is_deleted)
-         select case when a.pos is null then 'insert' when b.pos is null then 'delete' else 'update' end as change,
-           country, username, a.password as before_password, b.password as after_password,
-           a.commit_time as before_commit, b.commit_time as after_commit
-         from a full join b using (country, username) where a.commit_time is distinct from b.commit_time""",
+    + """, o as (select * from old where not is_deleted), n as (select * from new where not is_deleted)
+         select case when o.pos is null then 'insert' when n.pos is null then 'delete' else 'update' end as change,
+           country, username, o.password as before_password, n.password as after_password,
+           o.commit_time as before_commit, n.commit_time as after_commit
+         from o full join n using (country, username) where o.commit_time is distinct from n.commit_time""",
     "incremental": _SNAPSHOT + " and commit_time > '20240125000000000'",
     "time_travel": _AS_OF_MID_MONTH,
     "time_travel_prefix": _AS_OF_MID_MONTH,

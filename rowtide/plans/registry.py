@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.epoch import normalize_epoch
-from rowtide.operators import decode, merge, meta, offsets, route
+from rowtide.operators import decode, merge, meta, offsets, route, tables_of_feed
 from rowtide.plans import business_tables as business
 from rowtide.plans import events_feed as ef
 from rowtide.plans import reads
@@ -111,6 +111,35 @@ def feed_decode_lenient(spark, sf_dir):
     return reasons.agg(F.count(F.lit(1)).alias("events"), kept.alias("with_number"))
 
 
+def feed_two_tables(spark, sf_dir):
+    """The events of a feed of two tables, each with its own image, and how those of neither are marked."""
+    routed = tables_of_feed.route_tables(ef.two_table_feed(spark, sf_dir), ef.TABLES)
+    image = {n: F.coalesce(f"t{n}.after", f"t{n}.before") for n in range(2)}
+    return routed.select(
+        "table",
+        "reason",
+        "op",
+        F.col("source.pos").alias(SRC_POS),
+        F.coalesce(image[0]["username"], image[1]["username"]).alias("username"),
+        image[0]["password"].alias("password"),
+        image[1]["authority"].alias("authority"),
+    ).filter(F.col(SRC_POS).isNotNull())
+
+
+def feed_two_tables_fold(spark, sf_dir):
+    """The current authorities, out of the feed of two tables."""
+    routed = tables_of_feed.route_tables(ef.two_table_feed(spark, sf_dir), ef.TABLES)
+    events = tables_of_feed.events_of(routed, ef.TABLES, "auth.authorities")
+    records = route.to_records(events, ef.AUTHORITIES, ef.day_of_feed())
+    return merge.fold(records, ef.AUTHORITIES).select("username", "authority", "ts", COMMIT)
+
+
+def feed_schema_inferred(spark, sf_dir):
+    """The columns that the images of the evolved feed turn out to have; it gained one that the known image lacks."""
+    feed = ef.change_feed(spark, sf_dir, number_since=ef.NUMBER_SINCE)
+    return tables_of_feed.image_columns(feed, USERS.image)
+
+
 def normalize_epochs(spark, sf_dir):
     rows = ef.events(spark, sf_dir)
     given = F.when(F.col("event_type") == "view", F.col("epoch") * 1000).otherwise(F.col("epoch"))
@@ -366,6 +395,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_offsets_for_time": feed_offsets_for_time,
     "feed_offsets_json": feed_offsets_json,
     "feed_replay_window": feed_replay_window,
+    "feed_two_tables": feed_two_tables,
+    "feed_two_tables_fold": feed_two_tables_fold,
+    "feed_schema_inferred": feed_schema_inferred,
     "normalize_epoch": normalize_epochs,
     "json_rows_inferred": json_rows_inferred,
     "route_upserts": route_upserts,

@@ -12,6 +12,10 @@ COMMIT = "_commit_time"
 COMMIT_DAY = "_commit_day"
 DELETED = "is_deleted"
 SRC_FILE, SRC_POS, SRC_ROW = "_src_file", "_src_pos", "_src_row"
+# What a refused event keeps beside its commit.
+REFUSED_REASON, REFUSED_VALUE = "_refused_reason", "_refused_value"
+# In front of the day in the folders of refused events; after all days in text order.
+REFUSED_DAY = "refused-"
 POSITION = (SRC_FILE, SRC_POS, SRC_ROW)
 
 

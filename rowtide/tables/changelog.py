@@ -19,7 +19,7 @@ from rowtide.functions import lists
 from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_instant
 from rowtide.operators.merge import combine, fold
 from rowtide.operators.meta import FILE_NAME, with_file_name, with_read_meta
-from rowtide.spec import COMMIT, COMMIT_DAY, DELETED, TableSpec
+from rowtide.spec import COMMIT, COMMIT_DAY, DELETED, REFUSED_DAY, REFUSED_REASON, REFUSED_VALUE, TableSpec
 from rowtide.tables import folders
 from rowtide.tables.changes import between
 from rowtide.tables.folders import COMMITTED, COMPACTED, SLICE, TRIMMED, Entry
@@ -159,8 +159,8 @@ class ChangelogTable:
         day = F.col(COMMIT_DAY)
         if first:
             stored = stored.filter(day >= first[:8])
-        if last:
-            stored = stored.filter(day <= last[:8])
+        # what was refused lies in folders after all days
+        stored = stored.filter(day <= last[:8]) if last else stored.filter(day < REFUSED_DAY)
         columns = self.spec.record_schema.fieldNames()
         if names:
             stored, columns = with_file_name(stored), [*columns, FILE_NAME]
@@ -173,6 +173,16 @@ class ChangelogTable:
         bases, log = self._base(entries, instant), self._log(entries, instant, self.file_names)
         return self.slices.read(self.slices.newest(bases), self.file_names).unionByName(log) if bases else log
 
+    def refused(self) -> DataFrame:
+        """``_commit_time, _refused_reason, _refused_value``: what a stream with ``keep_refused`` did not take."""
+        schema = T.StructType(
+            [T.StructField(c, T.StringType()) for c in (COMMIT, REFUSED_REASON, REFUSED_VALUE, COMMIT_DAY)]
+        )
+        if not self.streamed or not folders.exists(self.spark, self.log_path):
+            return self.spark.createDataFrame([], schema).drop(COMMIT_DAY)
+        stored = self.spark.read.schema(schema).parquet(self.log_path).filter(F.col(COMMIT_DAY) >= REFUSED_DAY)
+        return stored.select(COMMIT, REFUSED_REASON, REFUSED_VALUE)
+
     @staticmethod
     def _base(entries: list[Entry], instant: str) -> list[Entry]:
         """The compactions that make up the base at an instant."""
@@ -360,7 +370,7 @@ class ChangelogTable:
         """Keep the last ``keep`` commits readable and remove what only older ones need. Returns the oldest kept.
 
         With ``above`` nothing happens until there are more commits than that. Run it while nobody writes or reads an
-        older version. Of a streamed log whole days go.
+        older version. Of a streamed log whole days go, and what was refused on them.
         """
         instants = self._last_instants(self.timeline.entries(), max(keep, (above or 0) + 1))
         floor = folders.oldest_kept(instants, keep, above)
@@ -386,7 +396,8 @@ class ChangelogTable:
         gone = []
         for name in folders.children(self.spark, self.log_path):
             superseded = name.startswith(f"{SLICE}=") and name not in live
-            if superseded or name.startswith(f"{COMMIT_DAY}=") and name.removeprefix(f"{COMMIT_DAY}=") < floor[:8]:
+            day = name.removeprefix(f"{COMMIT_DAY}=").removeprefix(REFUSED_DAY)
+            if superseded or name.startswith(f"{COMMIT_DAY}=") and day < floor[:8]:
                 gone.append(f"{self.log_path}/{name}")
         notes = {f"{e.instant}.{e.attempt}" for e in kept if e.action == COMPACTED}
         gone += [f"{self.path}/folded/{n}" for n in folders.children(self.spark, f"{self.path}/folded") if n not in notes]

@@ -1,0 +1,135 @@
+"""Feeds of several tables, images learned from a feed, refused events beside records."""
+
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from rowtide import TableSpec, image_of_types
+from rowtide.operators import decode, merge, route
+from rowtide.operators import tables_of_feed as tf
+from tests.helpers import C1, USERS, event, feed, plan, rows, user
+
+RIGHTS = TableSpec(image=image_of_types(username="string", authority="string", ts="long"), record_key=("username", "authority"))
+TABLES = {"auth.users": USERS, "auth.authorities": RIGHTS}
+
+
+def of_table(name, text):
+    body = json.loads(text)
+    body["payload"]["source"]["table"] = name
+    return json.dumps(body)
+
+
+def right(name, authority, **more):
+    return {"username": name, "authority": authority, "ts": 1, **more}
+
+
+def test_events_reach_their_table(spark):
+    texts = [
+        event("c", after=user("a"), pos=1),
+        of_table("authorities", event("c", after=right("a", "admin"), pos=2)),
+        of_table("authorities", event("d", before=right("a", "admin"), pos=3)),
+        event("u", before=user("a"), after=user("a", "p2"), pos=4),
+    ]
+    routed = tf.route_tables(feed(spark, *texts), TABLES)
+    assert rows(routed, "table", "reason") == sorted(
+        [("auth.users", "ok")] * 2 + [("auth.authorities", "ok")] * 2)
+    users = route.to_records(tf.events_of(routed, TABLES, "auth.users"), USERS, C1)
+    rights = route.to_records(tf.events_of(routed, TABLES, "auth.authorities"), RIGHTS, C1)
+    assert rows(merge.fold(users, USERS), "username", "password", "ts") == [("a", "p2", 1)]
+    assert merge.fold(rights, RIGHTS).count() == 0 and rows(rights, "authority", "is_deleted") == [("admin", False), ("admin", True)]
+    # the same records as by the reader of one table
+    one = route.to_records(decode.parse(feed(spark, texts[0], texts[3]), USERS.image), USERS, C1)
+    assert users.select(*one.columns).exceptAll(one).count() == 0 == one.exceptAll(users.select(*one.columns)).count()
+
+
+@pytest.mark.parametrize(
+    "text, table, reason",
+    [
+        (None, None, "tombstone"), (" ", None, "blank"), ("{oops", None, "malformed"), ("null", None, "unknown_table"),
+        ("[1]", None, "unknown_table"), ('{"payload":{"op":"c"}}', None, "unknown_table"),
+        (of_table("audit", event("c", after=user("a"))), "auth.audit", "unknown_table"),
+        (event(None, after=user("a")), "auth.users", "no_op"), (event("t", after=user("a")), "auth.users", "unknown_op"),
+        (event("c", after=None), "auth.users", "null_key"), (event("c", after=user(None)), "auth.users", "null_key"),
+        (event("d", after=user("a")), "auth.users", "null_key"),
+        (event("c", after=user("a", enabled="x")), "auth.users", "malformed"),
+        (event("c", after=user("a", enabled=1.5)), "auth.users", "malformed"),
+        (event("c", after=user("a", enabled="1")), "auth.users", "ok"),
+        (event("c", after=user("a", more={"x": [1]})), "auth.users", "ok"),
+        (of_table("authorities", event("c", after=right("a", None))), "auth.authorities", "null_key"),
+        # the other table's columns do not matter
+        (of_table("authorities", event("c", after=right("a", "b", enabled="x"))), "auth.authorities", "ok"),
+    ],
+)
+def test_reasons(spark, text, table, reason):
+    given = feed(spark, text)
+    routed = tf.route_tables(given, TABLES)
+    assert [(r["table"], r["reason"]) for r in routed.collect()] == [(table, reason)]
+    refused = tf.quarantined(routed, given).collect()
+    assert [(r["value"], r["reason"]) for r in refused] == ([] if reason == "ok" else [(text, reason)])
+
+
+def test_a_text_is_parsed_once(spark):
+    routed = tf.route_tables(feed(spark, event("c", after=user("a"))), TABLES)
+    records = route.to_records(tf.events_of(routed, TABLES, "auth.users"), USERS, C1)
+    for df in (routed, records):
+        text = plan(df).lower()
+        assert text.count("parse_json") + text.count("parsejson") <= 2 and "exchange" not in text
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
+# --- images
+
+
+def image_rows(spark, *images, known=None, **options):
+    texts = [event("u", before=None, after=i, pos=n) for n, i in enumerate(images)]
+    return [tuple(r) for r in tf.image_columns(feed(spark, *texts), known, **options).collect()]
+
+
+def test_image_is_learned(spark):
+    found = image_rows(spark, {"a": 1, "b": "x"}, {"a": 2.5, "c": True, "d": None}, {"e": {"f": [1, 2]}, "b": None})
+    assert dict((n, (t, c)) for n, t, c in found) == {
+        "a": (found[0][1], 2), "b": ("string", 1), "c": ("boolean", 1), "d": ("string", 0), "e": ("struct<f:array<bigint>>", 1)}
+    assert found[0][0] == "a" and (found[0][1].startswith("decimal") or found[0][1] == "double")
+
+
+def test_known_types_stay_or_widen(spark):
+    known = T.StructType.fromDDL("a int, b string, c long, d int, e int, gone date")
+    found = image_rows(
+        spark, {"a": 1, "b": 5, "c": 1 << 40, "d": 1 << 40, "e": 1.5}, {"a": -7, "b": "x", "c": 2, "d": 3, "e": 2, "new": 4}, known=known)
+    assert found == [("a", "int", 2), ("b", "string", 2), ("c", "bigint", 2), ("d", "bigint", 2), ("e", "double", 2), ("gone", "date", 0),
+                     ("new", "bigint", 1)]
+
+
+def test_nothing_to_learn_from(spark):
+    assert image_rows(spark) == [] == image_rows(spark, None)
+    assert image_rows(spark, known=T.StructType.fromDDL("a int")) == [("a", "int", 0)]
+    given = feed(spark, None, "{broken", "[1]", '{"payload":{"after":7}}')
+    assert tf.image_columns(given).collect() == []
+
+
+def test_image_of_one_table_reads_its_events(spark):
+    texts = [event("c", after=user("a", number=5)), of_table("authorities", event("c", after=right("a", "b")))]
+    given = feed(spark, *texts)
+    assert tf.image_of_feed(given, RIGHTS.image, "auth.authorities") == RIGHTS.image
+    image = tf.image_of_feed(given, USERS.image, "auth.users")
+    assert image.fieldNames() == [*USERS.columns, "number"]
+    (row,) = decode.decode(feed(spark, texts[0]), image).collect()
+    assert row["after"]["number"] == 5 and row["after"]["username"] == "a"
+
+
+# --- refused events
+
+
+@pytest.mark.parametrize("follow_moves", [False, True])
+def test_refused_events_pass_with_the_records(spark, follow_moves):
+    texts = [event("c", after=user("a"), pos=1), "{oops", None, event("t", after=user("b")), event("u", user("a"), user("a", country="ID"), pos=2)]
+    parsed = decode.parse(feed(spark, *texts), USERS.image)
+    both = route.to_records(parsed, USERS, C1, follow_moves, keep_refused=True)
+    refused = both.filter("_refused_reason is not null")
+    assert sorted(map(str, (r["_refused_reason"] for r in refused.collect()))) == ["malformed", "tombstone", "unknown_op"]
+    assert {r["_refused_value"] for r in refused.collect()} == {"{oops", None, texts[3]}
+    assert refused.filter("username is not null or country is not null").count() == 0
+    plain = route.to_records(parsed, USERS, C1, follow_moves)
+    kept = both.filter("_refused_reason is null").select(*plain.columns)
+    assert kept.exceptAll(plain).count() == 0 == plain.exceptAll(kept).count()
