@@ -11,6 +11,8 @@ the base is not shuffled; else only slices the log has records for are folded an
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +22,9 @@ from rowtide.functions.instants import LAST_INSTANT, pad_instant, validate_insta
 from rowtide.operators.merge import combine, fold
 from rowtide.operators.meta import FILE_NAME, with_file_name, with_read_meta
 from rowtide.spec import COMMIT, COMMIT_DAY, DELETED, REFUSED_DAY, REFUSED_REASON, REFUSED_VALUE, TableSpec
-from rowtide.tables import folders
+from rowtide.tables import folders, sizing
 from rowtide.tables.changes import between
-from rowtide.tables.folders import COMMITTED, COMPACTED, SLICE, TRIMMED, Entry
+from rowtide.tables.folders import COMMITTED, COMPACTED, JOINED, SLICE, TRIMMED, Entry
 from rowtide.tables.slices import Slices
 
 
@@ -30,6 +32,18 @@ class LateCommit(ValueError):
     """Records arrived for a commit that was compacted before."""
 
 
+@dataclass(frozen=True)
+class Joined:
+    """A folder of the log with the commits from ``first`` to ``last``."""
+
+    first: str
+    last: str
+    folder: str
+
+    def covers(self, commit: str) -> bool:
+        return self.first <= commit <= self.last
+
+
 class ChangelogTable:
     def __init__(
         self,
@@ -57,20 +71,59 @@ class ChangelogTable:
     # --- writing
 
     def append(
-        self, records: DataFrame, commit: str, combine_first: bool = True, max_records_per_file: int = 0
+        self,
+        records: DataFrame,
+        commit: str,
+        combine_first: bool = True,
+        max_records_per_file: int = 0,
+        file_bytes: int = 0,
     ) -> None:
         """Add one commit. Repeating a commit replaces it once the repeat is complete, so a failed job can run again.
 
         ``combine_first`` stores one record per key. Without it nothing is shuffled and readers do the combining; the
-        rows read are the same.
+        rows read are the same. ``max_records_per_file`` caps files by rows, ``file_bytes`` makes them of about that size.
         """
         self._check_new(self.timeline.entries(), [commit])
         batch = folders.require_keys(records, self.spec).withColumn(COMMIT, F.lit(commit))
-        if combine_first:
-            batch = combine(batch, self.spec, self.by_partition).hint("rebalance", *self.spec.partition)
         attempt = folders.new_attempt()
+        if combine_first:
+            batch = combine(batch, self.spec, self.by_partition)
+        if file_bytes:
+            batch = self._sized(batch, file_bytes, attempt)
+        elif combine_first:
+            batch = batch.hint("rebalance", *self.spec.partition)
         self._write(batch, f"{self.log_path}/{SLICE}={commit}.{attempt}", max_records_per_file)
         self.timeline.enter(commit, COMMITTED, attempt)
+        folders.remove(self.spark, f"{self.path}/pending/{attempt}")
+
+    def _sized(self, rows: DataFrame, file_bytes: int, attempt: str) -> DataFrame:
+        """The rows, stored once and dealt to files of about a size."""
+        pending = f"{self.path}/pending/{attempt}"
+        rows.select(*self.spec.record_schema.fieldNames()).write.parquet(f"{pending}/rows")
+        rows = self.spark.read.schema(self.spec.record_schema).parquet(f"{pending}/rows")
+        # rows of a key keep their order of commits in a file, which its statistics serve
+        dealt = sizing.deal(rows, self.spec.partition, [*self.spec.record_key, COMMIT], file_bytes, f"{pending}/trial")
+        return dealt.sortWithinPartitions(*self.spec.partition, COMMIT)
+
+    def join_files(self, file_bytes: int) -> str | None:
+        """Write the log since the last base anew, in files of about ``file_bytes`` per partition value whatever commits
+        they are of, and read it from there. Returns the folder, None if there is nothing to join.
+
+        The commits stay what they were, each can be read as before; the old files go with the next ``retain``. Reads
+        that began before go on with them. Those commits cannot be repeated afterwards.
+        """
+        self._check_batches_allowed()
+        entries = self.timeline.entries()
+        base = folders.last_instant(entries, COMPACTED) or ""
+        commits = [e.instant for e in folders.of_action(entries, COMMITTED) if e.instant > base]
+        if len(commits) < 2:
+            return None
+        attempt = folders.new_attempt()
+        path = f"{self.log_path}/{SLICE}={commits[0]}.{attempt}"
+        self._write(self._sized(self._log(entries, commits[-1], False), file_bytes, attempt), path, 0)
+        self.timeline.enter(commits[-1], JOINED, f"{commits[0]}.{attempt}")
+        folders.remove(self.spark, f"{self.path}/pending/{attempt}")
+        return path
 
     def append_history(self, records: DataFrame, max_records_per_file: int = 0) -> None:
         """Add many commits at once, each record under the commit it carries. They become visible one after another,
@@ -101,12 +154,13 @@ class ChangelogTable:
 
     def _check_new(self, entries: list[Entry], commits: list[str], known: set[str] = frozenset()) -> None:
         self._check_batches_allowed()
-        base = folders.last_instant(entries, COMPACTED)
+        final = {a: folders.last_instant(entries, a) or "" for a in (COMPACTED, JOINED)}
         for commit in commits:
             if commit not in known:
                 folders.check_new_commit(entries, commit)
-            if base is not None and commit <= base:
-                raise ValueError(f"commit {commit} is already compacted")
+            for action, instant in final.items():
+                if commit <= instant:
+                    raise ValueError(f"commit {commit} is already {action}")
 
     # --- reading
 
@@ -194,12 +248,25 @@ class ChangelogTable:
         start = after if after is not None else bases[-1].instant if bases else ""
         if not self.streamed:
             wanted = [e for e in folders.of_action(entries, COMMITTED, instant) if e.instant > start]
-            return self._scan([self._folder(self.log_path, e) for e in wanted], self.log_path, names)
+            joined = self._joined(entries)
+            if joined is None or not any(joined.covers(e.instant) for e in wanted):
+                return self._scan([self._folder(self.log_path, e) for e in wanted], self.log_path, names)
+            paths = [f"{self.log_path}/{joined.folder}"]
+            paths += [self._folder(self.log_path, e) for e in wanted if not joined.covers(e.instant)]
+            # its files may have rows of commits before and after those wanted
+            log = self._scan(paths, self.log_path, names)
+            return log.filter((F.col(COMMIT) > start) & (F.col(COMMIT) <= wanted[-1].instant))
         log = self._streamed_log(start, pad_instant(instant), names)
         log = log.filter((F.col(COMMIT) > start) & (F.col(COMMIT) <= pad_instant(instant)))
         late = self._late(bases[-1], names) if bases and after is None else None
         return log if late is None else log.unionByName(late)
 
+    @staticmethod
+    def _joined(entries: list[Entry]) -> Joined | None:
+        """What the last ``join_files`` wrote; it has the commits of those before it that no base has."""
+        found = folders.of_action(entries, JOINED)
+        return Joined(found[-1].attempt.split(".")[0], found[-1].instant, f"{SLICE}={found[-1].attempt}") if found else None
+
     @staticmethod
     def _folder(parent: str, entry: Entry) -> str:
         return f"{parent}/{SLICE}={entry.instant}.{entry.attempt}"
@@ -392,7 +459,13 @@ class ChangelogTable:
         ]
         self.timeline.forget(kept)
         # the log of the floor itself is in its base
-        live = {f"{SLICE}={e.instant}.{e.attempt}" for e in kept if e.action == COMMITTED and e.instant > floor}
+        joined = self._joined(kept)
+        live = {joined.folder} if joined and joined.last > floor else set()
+        live |= {
+            f"{SLICE}={e.instant}.{e.attempt}"
+            for e in kept
+            if e.action == COMMITTED and e.instant > floor and not (joined and joined.covers(e.instant))
+        }
         gone = []
         for name in folders.children(self.spark, self.log_path):
             superseded = name.startswith(f"{SLICE}=") and name not in live

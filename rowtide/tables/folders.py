@@ -19,7 +19,7 @@ from rowtide.functions.instants import pad_instant, validate_instant
 from rowtide.spec import COMMIT, TableSpec
 
 # What a timeline entry says happened at its instant.
-COMMITTED, COMPACTED, TRIMMED, REPLACED = "committed", "compacted", "trimmed", "replaced"
+COMMITTED, COMPACTED, TRIMMED, REPLACED, JOINED = "committed", "compacted", "trimmed", "replaced", "joined"
 
 # Folder columns of stored data: the attempt that wrote it, and what of the table it holds.
 ATTEMPT, SLICE = "_attempt", "_slice"
@@ -64,6 +64,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the Parquet files in a folder, those of its folders not counted."""
+    fs, folder = _file_system(spark, path)
+    found = fs.listStatus(folder) if fs.exists(folder) else []
+    return sum(s.getLen() for s in found if s.getPath().getName().endswith(".parquet"))
+
+
 def create(spark: SparkSession, path: str) -> None:
     """An empty file."""
     fs, file = _file_system(spark, path)
@@ -111,6 +118,19 @@ class Entry:
     attempt: str
 
 
+def parse_entries(names: Iterable[str]) -> list[Entry]:
+    """What the files of a timeline say, oldest first: per action and instant the last entry, and nothing from before a
+    replacement."""
+    found = []
+    for name in names:
+        if not name.startswith("."):  # checksums beside the files
+            written, instant, action, attempt = name.split("-")
+            found.append(Entry(int(written), instant, action, attempt))
+    started = max((e.written for e in found if e.action == REPLACED), default=0)
+    last = {(e.action, e.instant): e for e in sorted(found) if e.written >= started}
+    return sorted(last.values(), key=lambda e: (e.instant, e.written))
+
+
 class Timeline:
     """Which attempts at a commit count. Data is written first and entered here last.
 
@@ -124,14 +144,8 @@ class Timeline:
         self.spark, self.path = spark, f"{path}/timeline"
 
     def entries(self) -> list[Entry]:
-        """What counts, oldest first: per action and instant the last entry, and nothing from before a replacement."""
-        found = []
-        for name in children(self.spark, self.path):
-            written, instant, action, attempt = name.split("-")
-            found.append(Entry(int(written), instant, action, attempt))
-        started = max((e.written for e in found if e.action == REPLACED), default=0)
-        last = {(e.action, e.instant): e for e in sorted(found) if e.written >= started}
-        return sorted(last.values(), key=lambda e: (e.instant, e.written))
+        """What counts, see ``parse_entries``."""
+        return parse_entries(children(self.spark, self.path))
 
     def enter(self, instant: str, action: str, attempt: str, replace: bool = False) -> None:
         """Make an attempt count. ``replace``: and nothing that was entered before."""

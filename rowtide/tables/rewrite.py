@@ -43,12 +43,12 @@ class RewriteTable:
         return self.slices.buckets
 
     def apply(
-        self, records: DataFrame, commit: str, overwrite: bool = False, max_records_per_file: int = 0
+        self, records: DataFrame, commit: str, overwrite: bool = False, max_records_per_file: int = 0, file_bytes: int = 0
     ) -> None:
         """Upsert and delete one batch of records as one commit. Repeating a commit replaces it once it is complete.
 
         ``overwrite`` replaces the whole table, commits included; the old one can be read until the new one stands, so
-        records may come from it.
+        records may come from it. ``max_records_per_file`` caps files by rows, ``file_bytes`` makes them of about that size.
         """
         entries = [] if overwrite else self.timeline.entries()
         folders.check_new_commit(entries, commit)
@@ -61,7 +61,7 @@ class RewriteTable:
             return fold(rows, self.spec, by_partition=self.by_partition) if before else rows.filter(~F.col(DELETED))
 
         batch = combine(records, self.spec, self.by_partition)
-        self.slices.write(batch, commit, attempt, before, merge, max_records_per_file)
+        self.slices.write(batch, commit, attempt, before, merge, max_records_per_file, file_bytes)
         self.timeline.enter(commit, COMMITTED, attempt, replace=overwrite)
         if overwrite:
             self._clean()

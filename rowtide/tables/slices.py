@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from rowtide.functions.lists import broadcast_if_short
 from rowtide.operators.meta import FILE_NAME, with_file_name
 from rowtide.spec import TableSpec
-from rowtide.tables import folders
+from rowtide.tables import folders, sizing
 from rowtide.tables.folders import ATTEMPT, SLICE, Entry
 
 VERSION, BUCKET = "_version", "_bucket"
@@ -113,11 +113,12 @@ class Slices:
         before: list[Entry],
         merge: Callable[[DataFrame], DataFrame],
         max_records_per_file: int = 0,
+        file_bytes: int = 0,
     ) -> str:
         """New versions of the slices that ``batch`` has rows of; returns the path of their list.
 
         ``merge`` turns the batch, and the old rows of those slices if there are any, into their new rows. It must not
-        lose columns. The batch is evaluated once.
+        lose columns. The batch is evaluated once. With ``file_bytes`` files are of about that size, see ``sizing``.
         """
         batch = batch.select(*self.spec.record_schema.fieldNames(), self.bucket().alias(BUCKET))
         digest = F.sha1(F.to_json(F.struct(*self.key)).cast("binary"))
@@ -131,7 +132,15 @@ class Slices:
             touched = batch.select(*self.key).distinct()
             old = self.newest(before).alias("o").join(touched.alias("n"), self.same("o", "n"), "left_semi")
             batch = self.read(old).withColumn(BUCKET, self.bucket()).unionByName(batch)
-        merged = merge(batch).withColumn(SLICE, named).drop(BUCKET).hint("rebalance", SLICE)
+        merged = merge(batch).withColumn(SLICE, named).drop(BUCKET)
+        if file_bytes:
+            # evaluated once, for it is measured, counted and dealt
+            merged.write.parquet(f"{pending}-merged")
+            merged = self.spark.read.schema(merged.schema).parquet(f"{pending}-merged")
+            folder_columns = [*dict.fromkeys([SLICE, *self.spec.partition])]
+            merged = sizing.deal(merged, folder_columns, self.spec.record_key, file_bytes, f"{pending}-trial")
+        else:
+            merged = merged.hint("rebalance", SLICE)
         writer = merged.write.option("maxRecordsPerFile", max_records_per_file)
         writer.partitionBy(SLICE, *self.spec.partition).parquet(folder)
         # the folders that stand now, with what their names say
@@ -149,7 +158,7 @@ class Slices:
         listed = self._write_list(rows, instant, attempt)
         if self._stored_buckets() is None:
             folders.create(self.spark, f"{self.path}/settings/buckets={self.buckets}")
-        folders.remove(self.spark, pending)
+        folders.remove_all(self.spark, [pending, f"{pending}-merged", f"{pending}-trial"])
         return listed
 
     def _write_list(self, rows: DataFrame, instant: str, attempt: str) -> str:

@@ -1,0 +1,79 @@
+"""The commits of a stored changelog as a stream."""
+
+import pytest
+
+from rowtide.sources.follow import CommitReader, Commits
+from rowtide.tables import ChangelogTable
+from tests.helpers import C1, C2, C3, USERS, event, records, rows, user
+
+C4, C5 = "20240104000000000", "20240105000000000"
+WAIT = 120
+
+
+def put(table, commit, *events):
+    table.append(records(table.spark, (commit, list(events))), commit)
+
+
+def follow(spark, table, folder, after=""):
+    """One run over all that is new, into files."""
+    spark.dataSource.register(Commits)
+    stream = spark.readStream.format("rowtide_commits").schema(USERS.record_schema).option("path", table.path).option("after", after).load()
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start(f"{folder}/out")
+    assert query.awaitTermination(WAIT)
+    return query
+
+
+def seen(spark, folder):
+    return rows(spark.read.schema(USERS.record_schema).parquet(f"{folder}/out"), "_commit_time", "country", "username", "password", "is_deleted")
+
+
+def test_two_consumers_see_each_change_once(spark, tmp_path):
+    table = ChangelogTable(spark, str(tmp_path / "t"), USERS)
+    one, two = (str(tmp_path / n) for n in ("one", "two"))
+    put(table, C1, event("c", after=user("a"), pos=1), event("c", after=user("b", country="x y/Ж"), pos=2))
+    first = [(C1, "SG", "a", "p", False), (C1, "x y/Ж", "b", "p", False)]
+    follow(spark, table, one)
+    assert seen(spark, one) == first
+    follow(spark, table, one)
+    put(table, C2, event("d", before=user("a", "p"), pos=3))
+    put(table, C3, event("c", after=user("c"), pos=4))
+    table.compact(C2)
+    follow(spark, table, one)
+    follow(spark, table, two, after=C1)
+    later = [(C2, "SG", "a", "p", True), (C3, "SG", "c", "p", False)]
+    assert seen(spark, one) == first + later and seen(spark, two) == later
+    # joined files carry the same commits, old files stay until retention
+    put(table, C4, event("c", after=user("d"), pos=5))
+    table.join_files(30_000)
+    follow(spark, table, one)
+    put(table, C5, event("c", after=user("e"), pos=6))
+    assert table.retain(3) == C3
+    follow(spark, table, one)
+    follow(spark, table, two)
+    rest = [(C4, "SG", "d", "p", False), (C5, "SG", "e", "p", False)]
+    assert seen(spark, one) == first + later + rest and seen(spark, two) == later + rest
+
+
+def test_removed_commits_raise(spark, tmp_path):
+    table = ChangelogTable(spark, str(tmp_path / "t"), USERS)
+    for n, commit in enumerate((C1, C2, C3)):
+        put(table, commit, event("c", after=user(f"u{n}"), pos=n))
+    assert table.retain(1) == C3
+    reader = CommitReader(table.path, "", USERS.record_schema)
+    for after in ("", C1, C2):
+        with pytest.raises(ValueError, match="were removed"):
+            reader.partitions({"commit": after}, reader.latestOffset())
+    assert reader.partitions({"commit": C3}, reader.latestOffset()) == []
+    with pytest.raises(Exception, match="were removed"):
+        follow(spark, table, str(tmp_path / "late"), after=C1)
+
+
+def test_attempts_without_an_entry_are_not_seen(spark, tmp_path):
+    table = ChangelogTable(spark, str(tmp_path / "t"), USERS)
+    reader = CommitReader(table.path, "", USERS.record_schema)
+    assert reader.latestOffset() == {"commit": ""} and reader.partitions({"commit": ""}, {"commit": ""}) == []
+    put(table, C1, event("c", after=user("a"), pos=1))
+    put(table, C2, event("c", after=user("b"), pos=1))
+    table.timeline.forget([e for e in table.timeline.entries() if e.instant == C1])
+    assert reader.latestOffset() == {"commit": C1}
+    assert [p.first for p in reader.partitions({"commit": ""}, {"commit": C1})] == [C1]
