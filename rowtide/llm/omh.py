@@ -25,7 +25,7 @@ KMER, PICKED, FUNCTIONS = 8, 2, 32
 # k-mers expected below the threshold that narrows the search for the smallest, per function.
 NARROWED = 16
 # k-mers hashed under all functions at a time, and the text of a bucket of neighbouring documents.
-COLUMNS, BUCKET_BYTES = 16384, 8_000_000
+COLUMNS, BUCKET_BYTES, MOST_BUCKETS = 16384, 8_000_000, 16384
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -152,8 +152,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     size, least, unnamed = rows.agg(
         F.sum(F.octet_length("text")), F.min("id"), F.count_if(F.col("id").isNull())
     ).first()
-    buckets = max(64, (size or 0) // BUCKET_BYTES)
-    # as many ids as there are buckets
+    # as many ids on the driver as there are buckets; a larger corpus has larger buckets, which tasks stream through
+    buckets = min(MOST_BUCKETS, max(64, (size or 0) // BUCKET_BYTES))
     cuts = rows.select("id").approxQuantile("id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
     starts = sorted({int(c) for c in cuts} - {least}) if least is not None else []
     dealt = rows.mapInArrow(

@@ -3,7 +3,8 @@
 A text is the set of its hashed n-grams (lower case, 3 to 5 characters). Every n-gram present is scaled by the log ratio
 of its smoothed counts in toxic and other labelled texts, and a logistic regression with an L2 penalty is fitted on the
 scaled features. The fit sees at most ``per_class`` labelled texts of each class, chosen by a hash of their id, and at
-most ``MOST_FEATURES`` features in all, so it is one task of bounded size. Scoring reads every whole text once.
+most ``features_per_class`` features of each (texts that would exceed it are passed over), so it is one task of bounded
+size and a scarce class is not crowded out. Scoring reads every whole text once.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from rowtide.llm.common import bounded_sample, ddl, small_batches, stored
 ORDERS = (3, 4, 5)
 BITS = 17
 PER_CLASS = 3000
-MOST_FEATURES = 40_000_000
+FEATURES_PER_CLASS = 20_000_000
 ROUNDS, STEP, PENALTY = 60, 0.5, 1e-3
 # Features of the training texts handled at a time.
 BLOCK = 1_000_000
@@ -142,6 +143,7 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     per_class: int = PER_CLASS,
+    features_per_class: int = FEATURES_PER_CLASS,
 ) -> Model:
     """Learn from the rows of ``labels`` (``id_col``, ``label_col`` 0 or 1) whose document is in ``docs``.
 
@@ -162,11 +164,11 @@ def fit(
                                              ["toxic", "features", "turn"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, toxic, total = [], [], 0
+        features, toxic, total = [], [], {0: 0, 1: 0}
         for batch in batches:
             for label, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total += len(packed) // 4
-                if total <= MOST_FEATURES:
+                if total[label] + len(packed) // 4 <= features_per_class:
+                    total[label] += len(packed) // 4
                     features.append(np.frombuffer(packed, "<u4"))
                     toxic.append(label == 1)
         model = train(features, np.array(toxic, bool))

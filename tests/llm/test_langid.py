@@ -1,4 +1,7 @@
 import itertools
+import math
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -64,6 +67,63 @@ def test_marks_are_no_letters(spark, model):
     assert got[4][1:] == ("en", 0.5)
 
 
+def by_hand(text):
+    """Words of a text as (script, letters, features), character by character."""
+    scripts = [(n, r) for n, (_, r) in enumerate(langid.SCRIPTS, 1)]
+
+    def inside(c):
+        return unicodedata.category(c)[0] in "LM"
+
+    def low(c):
+        return (ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if inside(c) else 0
+
+    padded, words, at = f"\n{text}\n", [], 1
+    while at < len(padded) - 1:
+        if not inside(padded[at]):
+            at += 1
+            continue
+        start, features = at, []
+        while inside(padded[at]):
+            a, b, c = (low(padded[at + d]) for d in (-1, 0, 1))
+            h = (b * 0x9E3779B1 + a * 0x85EBCA6B + c * 0xC2B2AE35) % (1 << 32)
+            h = (h ^ h >> 15) * 0x2C1B3C6D % (1 << 32)
+            features.append((h >> 18) % (1 << 16))
+            at += 1
+        script = next((n for n, ranges in scripts if any(x <= ord(padded[start]) <= y for x, y in ranges)), 0)
+        words.append((script, sum(unicodedata.category(c)[0] == "L" for c in padded[start:at]), features))
+    return words
+
+
+def test_counts_scores_and_shares_against_brute_force(spark, model):
+    learned = sorted(TRAIN)
+    assert model.languages == learned
+    weight, used = {}, {}
+    for lang in learned:
+        words = [w for t in TRAIN[lang] for w in by_hand(t)]
+        counts = Counter(f for *_, fs in words for f in fs)
+        total = sum(counts.values()) + 0.5 * langid.FEATURES
+        weight[lang] = lambda f, c=counts, n=total: math.log((c[f] + 0.5) / n)
+        scripts = Counter()
+        for script, _, fs in words:
+            scripts[script] += len(fs)
+        used[lang] = {s for s, n in scripts.items() if n / sum(scripts.values()) >= langid.SCRIPT_SHARE}
+    texts = ["The fox, der Hund und лиса", "schöner 漢字 tag", "a\u0301 é Ö quick", "was das the", "лиса the лиса"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r for r in langid.identify(docs, model, penalty=3.0, spans=False).collect()}
+    for number, text in enumerate(texts):
+        words = by_hand(text)
+        known = [any(s in used[lang] for lang in learned) for s, *_ in words]
+        score = [[sum(map(weight[lang], fs)) - (0 if s in used[lang] else 1e6) if k else 0.0 for lang in learned]
+                 for (s, _, fs), k in zip(words, known)]
+        def value(path):
+            return sum(score[i][p] for i, p in enumerate(path)) - 3.0 * sum(a != b for a, b in zip(path, path[1:]))
+        best = max(itertools.product(range(len(learned)), repeat=len(words)), key=value)
+        letters = [sum(n for (_, n, _), p, k in zip(words, best, known) if p == lang and k) for lang in range(len(learned))]
+        top = letters.index(max(letters))
+        assert got[number]["lang_pred"] == learned[top]
+        assert got[number]["score"] == pytest.approx(max(letters) / sum(n for _, n, _ in words))
+
+
 def test_nothing_to_learn(spark):
     none = langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
