@@ -103,6 +103,13 @@ ORACLES: dict[str, str] = {
     "feed_replay_window": _POSITIONS
     + """ select event_id, feed_partition, feed_offset, "timestamp" from f join bounds using (feed_partition)
           where feed_offset >= lo and feed_offset < hi""",
+    "feed_projection": _POSITIONS + """ select event_id, feed_partition, feed_offset, "timestamp" from f""",
+    "feed_sentinels": _POSITIONS
+    + """ select '-2 to 0' as arguments, count(*) as rows from f
+          union all select '-1 to 0', 0
+          union all select '7 to -1', count(*) from f
+          union all select '1704844800 to -2', count(*) from f join bounds using (feed_partition) where feed_offset >= lo
+          union all select '0 to 1705708800', 0""",
     "feed_offsets_for_time": _POSITIONS + " select feed_partition, lo, hi from bounds",
     "feed_offsets_json": _POSITIONS
     + """, first as (select feed_partition, coalesce(min(case when "timestamp" >= 1704844800 then feed_offset end), -1)
@@ -188,6 +195,15 @@ ORACLES: dict[str, str] = {
     "snapshot": _SNAPSHOT,
     "compact_equivalence": _SNAPSHOT,
     "compact_slices": _SNAPSHOT,
+    "joined_files": _SNAPSHOT,
+    "catalog_current": _SNAPSHOT,
+    "full_range_read": _SNAPSHOT,
+    "stream_redelivered": _FEED + f" select {_RECORD} from rows",
+    "stream_commits": _COMBINED + f" select {_RECORD} from comb where commit_time > '20240115000000000'",
+    "stream_refused": _FEED
+    + """ select case when kind <> 'ok' then kind else 'unknown_op' end as reason, count(*) as events,
+            count(*) filter (where kind <> 'tombstone') as with_text
+          from l where kind <> 'ok' or op = 't' group by 1""",
     "version_changes": _COMBINED
     + _pick("old", "comb", "country, username", "commit_time desc", "commit_time <= '20240115000000000'")
     + _pick("new", "comb", "country, username", "commit_time desc", "commit_time <= '20240125000000000'")

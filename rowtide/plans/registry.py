@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,12 @@ from rowtide.operators import decode, merge, meta, offsets, route, tables_of_fee
 from rowtide.plans import business_tables as business
 from rowtide.plans import events_feed as ef
 from rowtide.plans import reads
+from rowtide.sources.follow import Commits
 from rowtide.sources.json_rows import read_json_rows, write_json_rows
-from rowtide.sources.landed import bounded_landed, land, stream_landed
-from rowtide.spec import COMMIT, DELETED, SRC_POS
+from rowtide.sources.landed import bounded_landed, land, project_feed, stream_landed
+from rowtide.spec import COMMIT, DELETED, REFUSED_REASON, REFUSED_VALUE, SRC_POS
 from rowtide.streaming.ingest import live_view, start_changelog, stream_records
+from rowtide.tables import catalog
 from rowtide.tables.changelog import ChangelogTable
 from rowtide.tables.folders import shared_folder
 
@@ -26,6 +29,9 @@ MID_MONTH = "20240115000000000"
 LATE_MONTH = "20240125000000000"
 WINDOW_START, WINDOW_END = 1_704_844_800, 1_705_708_800
 KEPT_COMMITS = 3
+# Fixed value: the size of a file that the demonstration asks for.
+FILE_BYTES = 30_000
+CATALOG_NAME = "rowtide_current_users"
 MICRO_BATCHES = 3
 
 ROW = (*USERS.columns, COMMIT)
@@ -67,6 +73,29 @@ def feed_replay_window(spark, sf_dir):
     return _positions(offsets.replay_window(_landed(spark, sf_dir), WINDOW_START, WINDOW_END))
 
 
+def feed_projection(spark, sf_dir):
+    """Messages as a queue hands them out, bytes with a time stamp, as a feed."""
+    messages = ef.positioned_feed(spark, sf_dir).select(
+        F.encode(F.col("event_id").cast("string"), "UTF-8").alias("value"),
+        F.timestamp_millis(F.col("timestamp") * 1000 + 789).alias("timestamp"),
+        F.lit("users").alias("topic"),
+        "partition",
+        "offset",
+    )
+    return _positions(project_feed(messages))
+
+
+def feed_sentinels(spark, sf_dir):
+    """How many messages a replay has, by the arguments of its start and its end."""
+    feed = _landed(spark, sf_dir)
+    windows = [(offsets.EARLIEST, 0), (offsets.LATEST, 0), (7, offsets.LATEST), (WINDOW_START, offsets.EARLIEST), (0, WINDOW_END)]
+    counted = [
+        offsets.replay_window(feed, *w).agg(F.lit(f"{w[0]} to {w[1]}").alias("arguments"), F.count(F.lit(1)).alias("rows"))
+        for w in windows
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def _positions(feed: DataFrame) -> DataFrame:
     return feed.select(
         F.col("value").cast("long").alias("event_id"),
@@ -249,6 +278,11 @@ def time_travel_prefix(spark, sf_dir):
     return reads.read(_records(spark, sf_dir), USERS, instant=MID_MONTH[:14]).select(*ROW)
 
 
+def full_range_read(spark, sf_dir):
+    """What changed since the first instant is all there is."""
+    return reads.incremental(_records(spark, sf_dir), USERS).select(*ROW)
+
+
 def table_count(spark, sf_dir):
     return reads.snapshot(_records(spark, sf_dir), USERS).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -285,6 +319,23 @@ def compact_slices(spark, sf_dir):
     return table.snapshot().select(*ROW)
 
 
+def joined_files(spark, sf_dir):
+    """The fold of a log whose thirty commits were joined into files of a byte size, read after a base was made in between."""
+    table = ChangelogTable(spark, shared_folder(spark, "users-joined"), USERS, buckets=2)
+    table.append_history(_records(spark, sf_dir))
+    table.join_files(FILE_BYTES)
+    table.compact(MID_MONTH)
+    return table.snapshot().select(*ROW)
+
+
+def catalog_current(spark, sf_dir):
+    """The rows of a table by its name in the catalog."""
+    table = ChangelogTable(spark, shared_folder(spark, "users-named"), USERS, buckets=2)
+    table.append_history(_records(spark, sf_dir))
+    catalog.register_current(table, CATALOG_NAME)
+    return catalog.live_rows(spark, CATALOG_NAME).select(*ROW)
+
+
 def version_changes(spark, sf_dir):
     """Rows inserted, updated and removed between two instants, with what they were and are."""
     table = ChangelogTable(spark, shared_folder(spark, "users-changes"), USERS, buckets=2)
@@ -359,6 +410,44 @@ def stream_upsert_fold(spark, sf_dir):
     return _streamed(spark, sf_dir, "event").snapshot().select(*USERS.columns)
 
 
+def stream_redelivered(spark, sf_dir):
+    """A feed that was delivered twice: every change is stored once."""
+    folder = shared_folder(spark, "users-twice")
+    feed = ef.change_feed(spark, sf_dir)
+    for _ in range(2):
+        land(feed.repartition(1), f"{folder}/feed")
+    stream = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=1)
+    records = stream_records(stream, USERS, ef.day_of_feed(), redelivered_within="400 days")
+    start_changelog(records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None).awaitTermination()
+    return ChangelogTable(spark, f"{folder}/table", USERS, streamed=True).records().select(*RECORD)
+
+
+def stream_refused(spark, sf_dir):
+    """What a stream did not take, by reason, stored beside its records."""
+    folder = shared_folder(spark, "users-refused")
+    land(ef.change_feed(spark, sf_dir).repartition(2), f"{folder}/feed")
+    stream = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=1)
+    records = stream_records(stream, USERS, keep_refused=True)
+    start_changelog(records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None).awaitTermination()
+    refused = ChangelogTable(spark, f"{folder}/table", USERS, streamed=True).refused()
+    return refused.groupBy(F.col(REFUSED_REASON).alias("reason")).agg(
+        F.count(F.lit(1)).alias("events"), F.count(REFUSED_VALUE).alias("with_text")
+    )
+
+
+def stream_commits(spark, sf_dir):
+    """The commits of a stored changelog after an instant, followed as a stream."""
+    folder = shared_folder(spark, "users-followed")
+    table = ChangelogTable(spark, f"{folder}/table", USERS)
+    table.append_history(_records(spark, sf_dir))
+    spark.dataSource.register(Commits)
+    followed = spark.readStream.format(Commits.name()).schema(USERS.record_schema)
+    followed = followed.option("path", table.path).option("after", MID_MONTH).load()
+    writer = followed.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(USERS.record_schema).parquet(f"{folder}/out").select(*RECORD)
+
+
 def stream_retention(spark, sf_dir):
     table = _streamed(spark, sf_dir, "commit", ef.day_of_feed())
     table.retain(KEPT_COMMITS)
@@ -392,6 +481,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_decode": feed_decode,
     "feed_decode_lenient": feed_decode_lenient,
     "feed_malformed": feed_malformed,
+    "feed_projection": feed_projection,
+    "feed_sentinels": feed_sentinels,
     "feed_offsets_for_time": feed_offsets_for_time,
     "feed_offsets_json": feed_offsets_json,
     "feed_replay_window": feed_replay_window,
@@ -416,9 +507,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "commit_timeline": commit_timeline,
     "quickstart_roundtrip": quickstart_roundtrip,
     "limit_update": limit_update,
+    "full_range_read": full_range_read,
     "table_count": table_count,
     "compact_equivalence": compact_equivalence,
     "compact_slices": compact_slices,
+    "joined_files": joined_files,
+    "catalog_current": catalog_current,
     "version_changes": version_changes,
     "changelog_global_moves": changelog_global_moves,
     "retention": retention,
@@ -432,6 +526,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert_fold": stream_upsert_fold,
     "snapshot_meta": snapshot_meta,
     "stream_retention": stream_retention,
+    "stream_redelivered": stream_redelivered,
+    "stream_refused": stream_refused,
+    "stream_commits": stream_commits,
     "rewrite_versions": rewrite_versions,
     "rewrite_retained": rewrite_retained,
     "rewrite_incremental": rewrite_incremental,
