@@ -166,8 +166,10 @@ def representatives(
     digest = F.xxhash64(docs[text_col].cast("string"))
     known = docs.withColumn("__row", F.struct(docs[id_col].alias("id"), digest.alias("digest")))
     fps = stored(fingerprints(known, "__row", text_col, shingle), "simhash-rows")
-    grouped = fps.filter("id.id is not null").join(_rooted(fps, distance), "fp").groupBy("root")
-    kept = grouped.agg(F.min(F.struct("id.id", "fp", "id.digest")).alias("first")).select(
+    # one row per fingerprint before it is joined, however many copies there are
+    least = fps.filter("id.id is not null").groupBy("fp").agg(F.min("id").alias("row"))
+    grouped = least.join(_rooted(fps, distance), "fp").groupBy("root")
+    kept = grouped.agg(F.min(F.struct("row.id", "fp", "row.digest")).alias("first")).select(
         F.struct("first.id", "first.digest").alias("__row")
     )
     # repeats of a row meet in the task of the join
