@@ -13,7 +13,7 @@ SF = f"/root/testdata/{os.environ.get('TEST_SF', 'sf0.001')}"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "conversations"):
+    for table in ("documents", "embeddings", "pages", "conversations", "benchmark", "labels"):
         connection.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     return connection
 
