@@ -164,14 +164,13 @@ def representatives(
     stand for no group.
     """
     digest = F.xxhash64(docs[text_col].cast("string"))
-    known = docs.withColumn("__row", F.struct(docs[id_col].alias("id"), digest.alias("digest")))
-    fps = stored(fingerprints(known, "__row", text_col, shingle), "simhash-rows")
+    known = docs.withColumns({"__id": docs[id_col], "__digest": digest})
+    rows = known.select(F.struct("__id", "__digest").alias("__row"), text_col)
+    fps = stored(fingerprints(rows, "__row", text_col, shingle), "simhash-rows")
     # one row per fingerprint before it is joined, however many copies there are
-    least = fps.filter("id.id is not null").groupBy("fp").agg(F.min("id").alias("row"))
+    least = fps.filter("id.__id is not null").groupBy("fp").agg(F.min("id").alias("row"))
     grouped = least.join(_rooted(fps, distance), "fp").groupBy("root")
-    kept = grouped.agg(F.min(F.struct("row.id", "fp", "row.digest")).alias("first")).select(
-        F.struct("first.id", "first.digest").alias("__row")
-    )
-    # repeats of a row meet in the task of the join
-    named = known.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
-    return named.unionByName(docs.filter(docs[id_col].isNull()))
+    kept = grouped.agg(F.min(F.struct("row.__id", "fp", "row.__digest")).alias("first")).select("first.__id", "first.__digest")
+    # plain columns, so that repeats of a row are found where the join has dealt them
+    named = known.join(kept, ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"])
+    return named.select(*docs.columns).unionByName(docs.filter(docs[id_col].isNull()))
