@@ -7,10 +7,10 @@ weights add up to one, so every block gets a slot in its window, and after any n
 one block from its target, as long as it has rows. A source that runs out leaves its later slots empty and the others keep
 their proportions; no row is dropped or repeated.
 
-The schedule is made slot by slot in one row, so its length has a bound: ``block_rows`` grows with the rows so that there
-are about ``MOST_SLOTS`` slots (or twice as many, as a source's last block is hardly full). Slots are handed on in
-stretches, for appending to one long array copies it. At most ``MOST_SOURCES`` sources are scheduled by their own weight;
-the lightest of more share one, and their rows come in the order of their digests. Rows are numbered inside a source in
+Every source is scheduled by its own weight, however many there are. ``schedule`` goes slot by slot in one row, which is for
+at most ``MOST_SOURCES`` sources and twice ``MOST_SLOTS`` slots; slots are handed on in stretches, for appending to one long
+array copies it. ``schedule_spread`` makes the same schedule of any number of blocks in tasks of bounded size. By default
+``block_rows`` grows with the rows so that there are about ``MOST_SLOTS`` slots. Rows are numbered inside a source in
 buckets of the digest, so a source with a third of all rows is spread over many tasks.
 """
 
@@ -21,7 +21,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from rowtide.functions.lists import broadcast_if_short
 from rowtide.functions.ordered import dense_index
 from rowtide.llm.common import carried_row, stored
 
@@ -33,12 +35,11 @@ MOST_SLOTS, MOST_SOURCES, STRETCH = 32768, 1024, 256
 TEMPER = 0.5
 # Rows numbered in one window.
 BUCKET_ROWS = 64
+# Blocks and slots that a task of ``schedule_spread`` sorts, and rounds of it between two stored tables.
+SPREAD_ROWS, ROUNDS = 1 << 17, 6
 # What a quotient may miss a whole number by and still count as one.
 NEAR = 1e-6
 
-# Columns of what is scheduled: a source, or all that share a weight.
-LANE = ("pooled", "lane")
-
 
 def shares(counts: DataFrame, weights: dict[str, float] | None, temper: float) -> DataFrame:
     """``source, n, share``: the target weight of every source of ``counts`` (``source, n``); they add up to one.
@@ -73,12 +74,12 @@ def deadline(n: Column, share: Column) -> Column:
 
 
 def schedule(lanes: DataFrame, slots: int) -> DataFrame:
-    """``pooled, lane, block, slot`` of every block: earliest deadline first over ``slots`` slots.
+    """``lane, share, block, slot`` of every block: earliest deadline first over ``slots`` slots.
 
-    ``lanes`` has ``pooled, lane, share, blocks``. What is released is known per lane by its next block, so a slot looks
-    at each lane once.
+    ``lanes`` has ``lane, share, blocks``. What is released is known per lane by its next block, so a slot looks at each
+    lane once.
     """
-    row = lanes.agg(F.sort_array(F.collect_list(F.struct(*LANE, "share", "blocks"))).alias("lanes"))
+    row = lanes.agg(F.sort_array(F.collect_list(F.struct("lane", "share", "blocks"))).alias("lanes"))
     window = "cast(floor({n} / {w} + {near}) as bigint)", "cast(ceil(({n} + 1) / {w} - {near}) as bigint)"
 
     def at(n: str, i: str) -> list[str]:
@@ -106,7 +107,77 @@ def schedule(lanes: DataFrame, slots: int) -> DataFrame:
             'next', done.next, 'out', concat(whole.out, array(done.out))))[0]).out"""
     taken = row.filter("size(lanes) > 0").select("lanes", F.explode(F.expr(every)).alias("stretch"))
     taken = taken.select("lanes", F.explode("stretch").alias("x"))
-    return taken.select(*(F.expr(f"lanes[x.i].{c}").alias(c) for c in LANE), F.col("x.n").alias("block"), F.col("x.slot").alias("slot"))
+    own = (F.expr(f"lanes[x.i].{c}").alias(c) for c in ("lane", "share"))
+    return taken.select(*own, F.col("x.n").alias("block"), F.col("x.slot").alias("slot"))
+
+
+def _queued(rows: DataFrame, count: int, largest: int) -> DataFrame:
+    """Adds ``before`` and ``idle`` to ``node, value, is_slot, id, first``: blocks of the first half that come before a row of
+    its node, and the slots before its value that these blocks leave empty. A node has at most ``largest`` of the ``count`` rows; if that is
+    more than a task should hold, rows are dealt by ranges and the sums are carried from range to range."""
+    order = ["value", "is_slot", "id"]
+
+    def within(*group: str) -> DataFrame:
+        window = Window.partitionBy(*group).orderBy(*order)
+        before = F.coalesce(F.sum("first").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        idle = F.max(F.col("value") - F.col("before")).over(window.rowsBetween(Window.unboundedPreceding, 0))
+        return rows.withColumn("before", before).withColumn("idle", idle)
+
+    if largest <= SPREAD_ROWS:
+        return within("node")
+    rows = stored(rows.repartitionByRange(-(-count // SPREAD_ROWS), "node", *order).withColumn("part", F.spark_partition_id()), "mixing-ranges")
+    held = within("node", "part")
+    sums = held.groupBy("node", "part").agg(F.sum("first").alias("count"), F.max("idle").alias("top"))
+    earlier = Window.partitionBy("node").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("passed", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+    sums = sums.withColumn("least", F.max(F.col("top") - F.col("passed")).over(earlier))
+    # a row per range and node in it
+    held = held.join(F.broadcast(sums.select("node", "part", "passed", "least")), ["node", "part"])
+    return held.select(
+        "node", "value", "is_slot", "id", "first", (F.col("before") + F.col("passed")).alias("before"),
+        F.greatest(F.col("idle") - F.col("passed"), "least").alias("idle"),
+    )
+
+
+def schedule_spread(lanes: DataFrame) -> DataFrame:
+    """What ``schedule`` gives, for any number of lanes and blocks.
+
+    A block takes the first slot from its release on that no block due before it takes, so the blocks due first can be
+    scheduled without the others, and which slots they fill together follows from their releases alone: the i-th of them
+    by release comes at the i-th slot, or later by the slots found empty until then. Every round halves the blocks by their
+    rank in the order of deadlines: the slots that the first half fills are that half's, the others the second half's, and
+    both go on with their slots numbered anew. In the end each block has one slot. A round is a sort and running sums.
+    """
+    blocks = lanes.select("lane", "share", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
+    blocks = blocks.withColumn("due", deadline(F.col("block"), F.col("share")))
+    count = lanes.agg(F.sum("blocks")).first()[0] or 0
+    ranges = -(-max(1, count) // SPREAD_ROWS)
+    blocks = blocks.repartitionByRange(ranges, "due", "lane", "block").withColumn("part", F.spark_partition_id())
+    order = [F.col(c) for c in ("due", "lane", "block")]
+    ranked = stored(dense_index(stored(blocks, "mixing-blocks"), [], F.col("part"), order, "rank"), "mixing-ranks")
+    rows = ranked.select(
+        F.lit(0).cast("long").alias("node"), release(F.col("block"), F.col("share")).alias("value"),
+        F.lit(False).alias("is_slot"), F.col("rank").alias("id"), F.lit(1).cast("long").alias("first"),
+    )
+    # the slots filled at all; from here on they are counted without the empty ones
+    held = stored(_queued(rows, count, count), "mixing-filled")
+    rows = held.select("node", (F.col("value") - F.col("idle")).alias("value"), "is_slot", "id")
+    slots = held.select("node", F.col("before").alias("value"), F.lit(True).alias("is_slot"), (F.col("before") + F.col("idle")).alias("id"))
+    rows = rows.unionByName(slots)
+    for number, bit in enumerate(range(max(0, count - 1).bit_length() - 1, -1, -1), 1):
+        first = F.when(~F.col("is_slot") & (F.shiftright("id", bit).bitwiseAND(F.lit(1)) == 0), 1).otherwise(0)
+        held = _queued(rows.withColumn("first", first.cast("long")), 2 * count, min(2 * count, 4 << bit))
+        # the first half's slots before a row's value, and whether a slot is the first half's
+        filled = F.col("value") - F.col("idle")
+        ours = F.when(F.col("is_slot"), F.col("before") > filled).otherwise(F.col("first") == 1)
+        rows = held.select(
+            (F.col("node") * 2 + F.when(ours, 0).otherwise(1)).alias("node"),
+            F.when(ours, filled).otherwise(F.col("idle")).alias("value"), "is_slot", "id",
+        )
+        if number % ROUNDS == 0:
+            rows = stored(rows, "mixing-halves")
+    slots = rows.filter("is_slot").select(F.col("node").alias("rank"), F.col("id").alias("slot"))
+    return ranked.join(slots, "rank").select("lane", "share", "block", "slot")
 
 
 def _digested(docs: DataFrame, id_col: str, source_col: str, carry: bool) -> DataFrame:
@@ -130,11 +201,12 @@ def mix(
     carry: bool = False,
     block_rows: int = BLOCK_ROWS,
     temper: float = TEMPER,
+    growing: bool = True,
 ) -> DataFrame:
     """``<id_col>, <source_col>, block, release, deadline, slot, position`` for every row; sort by ``position`` to read
     the mix.
 
-    ``block_rows`` is the least size of a block. ``position`` is ``slot`` times the size of a block plus the place in the
+    ``block_rows`` is the least size of a block, or its size at any number of rows without ``growing``. ``position`` is ``slot`` times the size of a block plus the place in the
     block, and unique. ``release <= slot < deadline`` by the source's target weight. A null source is a source of its own.
     Null ids and repeated rows get positions like others; rows that differ in nothing may change places. An empty table
     gives no rows. With ``carry`` the whole row comes along as a struct ``row``, so no column name can clash.
@@ -146,38 +218,23 @@ def mix(
     sources, largest, longest = wanted.agg(
         F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max(F.col("n") / F.col("share")), F.lit(0.0))
     ).first()
-    block_rows = max(block_rows, math.ceil(longest / MOST_SLOTS))
-    if sources > MOST_SOURCES:
-        top = wanted.orderBy(F.desc("share"), "source").limit(MOST_SOURCES).select(F.col("source").alias("own"))
-        # of bounded size
-        top = F.broadcast(stored(top.withColumn("named", F.lit(True)), "mixing-own"))
-
-        def laned(df: DataFrame) -> DataFrame:
-            joined = df.join(top, F.col("source").eqNullSafe(F.col("own")), "left")
-            pooled = F.col("named").isNull()
-            return joined.withColumns({"pooled": pooled, "lane": F.when(~pooled, F.col("source"))}).drop("own", "named")
-    else:
-
-        def laned(df: DataFrame) -> DataFrame:
-            return df.withColumns({"pooled": F.lit(False), "lane": F.col("source")})
-
-    lanes = laned(wanted).groupBy(*LANE).agg(F.sum("share").alias("share"), F.sum("n").alias("n"))
-    lanes = stored(lanes.withColumn("blocks", F.expr(f"(n + {block_rows - 1}) div {block_rows}")), "mixing-lanes")
+    if growing:
+        block_rows = max(block_rows, math.ceil(longest / MOST_SLOTS))
+    lanes = wanted.select(F.col("source").alias("lane"), "share", F.expr(f"(n + {block_rows - 1}) div {block_rows}").alias("blocks"))
+    lanes = stored(lanes, "mixing-lanes")
     # a lane's last block has its slot by its deadline; one of a single block may wait for all others
     last = F.max(F.when(F.col("blocks") > 1, deadline(F.col("blocks") - 1, F.col("share"))))
-    slots = (lanes.agg(last).first()[0] or 0) + min(sources, MOST_SOURCES + 1)
-    # a row per block, some MOST_SLOTS
-    taken = stored(schedule(lanes, slots), "mixing-schedule")
+    slots = (lanes.agg(last).first()[0] or 0) + sources
+    in_a_row = sources <= MOST_SOURCES and slots <= 2 * MOST_SLOTS + MOST_SOURCES
+    # a row per block
+    taken = stored(schedule(lanes, slots) if in_a_row else schedule_spread(lanes), "mixing-schedule")
     bits = max(4, min(20, (largest // BUCKET_ROWS).bit_length()))
     numbered = dense_index(
-        laned(rows), [*LANE], F.shiftright("digest", 60 - bits), [F.col("digest"), F.col("id"), F.col("tie")], name="index"
+        rows, ["source"], F.shiftright("digest", 60 - bits), [F.col("digest"), F.col("id"), F.col("tie")], name="index"
     )
     placed = numbered.withColumn("at", F.expr(f"index div {block_rows}"))
-    held = F.broadcast(taken.select(F.col("pooled").alias("p"), F.col("lane").alias("l"), "block", "slot"))
-    weighed = F.broadcast(lanes.select(F.col("pooled").alias("q"), F.col("lane").alias("m"), "share"))
-    found = placed.join(
-        held, (F.col("pooled") == F.col("p")) & F.col("lane").eqNullSafe(F.col("l")) & (F.col("at") == F.col("block"))
-    ).join(weighed, (F.col("pooled") == F.col("q")) & F.col("lane").eqNullSafe(F.col("m")))
+    held = broadcast_if_short(taken)
+    found = placed.join(held, F.col("source").eqNullSafe(F.col("lane")) & (F.col("at") == F.col("block")))
     return found.select(
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),

@@ -107,6 +107,32 @@ def test_lightest_of_many_sources_share_a_weight(spark, monkeypatch):
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
 
 
+def test_every_source_of_many_has_its_own_weight(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 4)
+    rows = [(i, f"s{i % 40:02}" if i % 2 else f"s{i % 4:02}") for i in range(1200)] + [(i, None) for i in range(3)]
+    got = run(spark, rows, block_rows=2)
+    check(rows, got, 2)
+    count = sorted(Counter(s for _, s in rows).items(), key=lambda x: x[0] or "")
+    every = sum(n**0.5 for _, n in count)
+    slots = edf([n**0.5 / every for _, n in count], [-(-n // 2) for _, n in count])
+    place = {s: i for i, (s, _) in enumerate(count)}
+    assert all(r["slot"] == slots[place[r["source"]], r["block"]] for r in got)
+
+
+@pytest.mark.parametrize("most", [1 << 17, 150])
+def test_spread_schedule_against_brute_force(spark, monkeypatch, most):
+    """Also with empty slots, equal weights, and blocks and slots in many ranges."""
+    monkeypatch.setattr(mixing, "SPREAD_ROWS", most)
+    rng = np.random.default_rng(3)
+    for count, alpha, blocks in ((60, 0.3, 12), (90, 10.0, 5), (1, 1.0, 9), (7, None, 40), (120, None, 2)):
+        w = np.full(count, 1 / count) if alpha is None else np.maximum(rng.dirichlet(np.full(count, alpha)), 1e-3)
+        w = w / w.sum()
+        lanes = [(f"s{i:03}" if i else None, float(x), int(n)) for i, (x, n) in enumerate(zip(w, rng.integers(1, blocks + 1, count)))]
+        made = mixing.schedule_spread(spark.createDataFrame(lanes, "lane string, share double, blocks long")).collect()
+        slots = edf(w, [n for *_, n in lanes])
+        assert {(int((r["lane"] or "s0")[1:]), r["block"]): r["slot"] for r in made} == slots and len(made) == len(slots)
+
+
 @pytest.mark.parametrize("weights", [None, {}, {"x": 0.0}])
 def test_odd_tables(spark, weights):
     assert run(spark, [], weights=weights) == []
