@@ -39,7 +39,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of the mix: part files in the order of their names, rows in the order they have."""
-    mixed = mixing.mix(docs, carry=True)
+    mixed = mixing.mix(docs, carry=True, growing=False)
     return mixed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
@@ -48,7 +48,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``position`` is the place in the mix, which neither the files read nor the rows written keep: it depends on ids and
     sources alone, so it is counted again here. Sorting by it gives the order of the mix."""
-    mixed = mixing.mix(docs, carry=True).select(F.struct("doc_id", "position").alias("id"), F.col("row.text").alias("text"))
+    mixed = mixing.mix(docs, carry=True, growing=False).select(F.struct("doc_id", "position").alias("id"), F.col("row.text").alias("text"))
     # stored, as encoding reads it twice and rows of equal id must keep their places
     found = bpe.digests(stored(mixed, "tokens-mixed"), RANKS, public_tokenizers.PATTERN, id_col="id", ids=True)
     return found.select("id.*", *found.columns[1:])

@@ -121,3 +121,14 @@ def test_order_of_the_mix_survives(spark, tmp_path):
     blocks = {r["position"] // 16: s for r, (_, s) in zip(got, order)}
     assert all(blocks[r["position"] // 16] == s for r, (_, s) in zip(got, order))
     assert len({blocks[b] for b in sorted(blocks)[:6]}) >= 3
+
+
+def test_places_do_not_depend_on_how_many_slots_a_row_may_have(spark, monkeypatch):
+    rows = [(i, f"text {i}", f"s{i % 9 if i % 2 else 0}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    places = []
+    for slots, sources in ((1 << 15, 1024), (4, 2)):
+        monkeypatch.setattr(corpus_pipeline.mixing, "MOST_SLOTS", slots)
+        monkeypatch.setattr(corpus_pipeline.mixing, "MOST_SOURCES", sources)
+        places.append({r["doc_id"]: r["position"] for r in STAGES["byte-level BPE encoding and decoding"](spark, docs, "").collect()})
+    assert places[0] == places[1] and len(places[0]) == len(rows)
