@@ -33,6 +33,8 @@ KEPT_COMMITS = 3
 FILE_BYTES = 30_000
 CATALOG_NAME = "rowtide_current_users"
 MICRO_BATCHES = 3
+# Events in a file of a feed that is streamed, about; what a task has of a feed does not grow with it.
+FEED_FILE_ROWS = 1 << 18
 
 ROW = (*USERS.columns, COMMIT)
 RECORD = (*USERS.columns, DELETED, COMMIT, SRC_POS)
@@ -395,13 +397,21 @@ def snapshot_meta(spark, sf_dir):
     return table.snapshot(meta=True).select(COMMIT, meta.SEQNO, meta.RECORD_KEY, meta.PARTITION_PATH, *USERS.columns)
 
 
+def _files_per_batch(spark: SparkSession, sf_dir: str, batches: int = 1) -> int:
+    """Files that each of ``batches`` micro-batches of the feed has, if none holds more than ``FEED_FILE_ROWS``."""
+    return max(1, -(-ef.events(spark, sf_dir).count() // (batches * FEED_FILE_ROWS)))
+
+
 def _streamed(spark: SparkSession, sf_dir: str, policy: str, commit=None) -> ChangelogTable:
     """The feed landed as files and streamed into a table in several micro-batches."""
     folder = shared_folder(spark, "users-stream")
-    land(ef.change_feed(spark, sf_dir).repartition(MICRO_BATCHES), f"{folder}/feed")
-    feed = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=1)
+    files = _files_per_batch(spark, sf_dir, MICRO_BATCHES)
+    land(ef.change_feed(spark, sf_dir).repartition(MICRO_BATCHES * files), f"{folder}/feed")
+    feed = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=files)
     records = stream_records(feed, USERS, commit)
-    query = start_changelog(records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None)
+    query = start_changelog(
+        records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None, files_per_partition=files
+    )
     query.awaitTermination()
     return ChangelogTable(spark, f"{folder}/table", USERS, policy=policy, streamed=True)
 
@@ -414,21 +424,30 @@ def stream_redelivered(spark, sf_dir):
     """A feed that was delivered twice: every change is stored once."""
     folder = shared_folder(spark, "users-twice")
     feed = ef.change_feed(spark, sf_dir)
+    files = _files_per_batch(spark, sf_dir)
     for _ in range(2):
-        land(feed.repartition(1), f"{folder}/feed")
-    stream = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=1)
+        land(feed.repartition(files), f"{folder}/feed")
+    # a delivery is one micro-batch: were it several, its oldest events could come late
+    stream = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=files)
     records = stream_records(stream, USERS, ef.day_of_feed(), redelivered_within="400 days")
-    start_changelog(records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None).awaitTermination()
+    query = start_changelog(
+        records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None, files_per_partition=files
+    )
+    query.awaitTermination()
     return ChangelogTable(spark, f"{folder}/table", USERS, streamed=True).records().select(*RECORD)
 
 
 def stream_refused(spark, sf_dir):
     """What a stream did not take, by reason, stored beside its records."""
     folder = shared_folder(spark, "users-refused")
-    land(ef.change_feed(spark, sf_dir).repartition(2), f"{folder}/feed")
-    stream = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=1)
+    files = _files_per_batch(spark, sf_dir, 2)
+    land(ef.change_feed(spark, sf_dir).repartition(2 * files), f"{folder}/feed")
+    stream = stream_landed(spark, f"{folder}/feed", max_files_per_trigger=files)
     records = stream_records(stream, USERS, keep_refused=True)
-    start_changelog(records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None).awaitTermination()
+    query = start_changelog(
+        records, USERS, f"{folder}/table", f"{folder}/checkpoint", interval=None, files_per_partition=files
+    )
+    query.awaitTermination()
     refused = ChangelogTable(spark, f"{folder}/table", USERS, streamed=True).refused()
     return refused.groupBy(F.col(REFUSED_REASON).alias("reason")).agg(
         F.count(F.lit(1)).alias("events"), F.count(REFUSED_VALUE).alias("with_text")
